@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from skyroute.functions.javahash import java_hash
 from skyroute.functions.ordered import number_rows
+from skyroute.functions.scratch import write_table
 
 NOWHERE = "nowhere"
 
@@ -42,19 +43,26 @@ def rejected_flights(flights: DataFrame) -> DataFrame:
     return ends.agg(F.count_if(missing).alias("rejected"))
 
 
+def _airports_at(ends: DataFrame) -> DataFrame:
+    codes = ends.select(F.explode(F.array("src", "dst")).alias("code")).distinct()
+    return codes.select("code", java_hash(F.col("code")).alias("vertex_id"))
+
+
 def airports(flights: DataFrame) -> DataFrame:
     """Every code that a route starts or ends at, with its hash id."""
-    codes = (
-        _ends(flights)
-        .na.drop()
-        .select(F.explode(F.array("src", "dst")).alias("code"))
-        .distinct()
-    )
-    return codes.select("code", java_hash(F.col("code")).alias("vertex_id"))
+    return _airports_at(_ends(flights).na.drop())
+
 
+def build_graph(flights: DataFrame, store: bool = True) -> RouteGraph:
+    """The graph of the flights; its airports are taken from the distinct routes.
 
-def build_graph(flights: DataFrame) -> RouteGraph:
-    return RouteGraph(airports(flights), routes(flights))
+    The routes are written once, as most queries go over them several times and the
+    flights may be costly to read; ``store=False`` is for a single pass.
+    """
+    distinct = routes(flights)
+    if store:
+        distinct = write_table(distinct)
+    return RouteGraph(_airports_at(distinct), distinct)
 
 
 def known_airports(graph: RouteGraph) -> DataFrame:

@@ -12,7 +12,7 @@ import math
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from skyroute.functions.scratch import TwoSlots, write_bucketed, write_table
@@ -77,6 +77,13 @@ def lay_out(edges: DataFrame, slot_rows: int = SLOT_ROWS) -> EdgeLayout:
     return EdgeLayout(table, fans, name)
 
 
+def _write_counting(slots: TwoSlots, state: DataFrame) -> tuple[DataFrame, int]:
+    """Write the state; its active rows are counted by the same job."""
+    seen = Observation()
+    table = slots.write(state.observe(seen, F.count_if("active").alias("active")))
+    return table, seen.get["active"]
+
+
 def propagate(
     state: DataFrame,
     layout: EdgeLayout,
@@ -97,23 +104,21 @@ def propagate(
       - selects ``update`` from the merged columns as the next state.
     """
     keys = list(keys)
+    along = [k for k in keys if k != "vertex"]
     slots = TwoSlots(state.sparkSession)
-    table = slots.write(state)
+    table, active = _write_counting(slots, state)
     rounds = 0
-    while max_rounds is None or rounds < max_rounds:
-        frontier = table.filter("active")
-        if frontier.isEmpty():
-            break
-        along = [k for k in keys if k != "vertex"]
-        messages = layout.out_of(frontier).select(
+    while active and (max_rounds is None or rounds < max_rounds):
+        messages = layout.out_of(table.filter("active")).select(
             F.col("dst").alias("vertex"), *along, *[c.alias(name) for name, c in send.items()]
         )
-        table = slots.write(
+        table, active = _write_counting(
+            slots,
             table.drop("active")
             .unionByName(messages, allowMissingColumns=True)
             .groupBy(*keys)
             .agg(*[c.alias(name) for name, c in merge.items()])
-            .select(*keys, *[c.alias(name) for name, c in update.items()])
+            .select(*keys, *[c.alias(name) for name, c in update.items()]),
         )
         rounds += 1
     return table

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyroute import schema
-from skyroute.functions.scratch import new_folder
+from skyroute.functions.scratch import new_folder, write_table
 from skyroute.operators import evaluate, graph, learn, paths, prep, ranks
 from skyroute.plans import sql
 from skyroute.sources import flights as source
@@ -33,12 +33,12 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def _graph(spark: SparkSession, sf: str) -> graph.RouteGraph:
-    return graph.build_graph(testviews.flights(spark, sf))
+def _graph(spark: SparkSession, sf: str, store: bool = True) -> graph.RouteGraph:
+    return graph.build_graph(testviews.flights(spark, sf), store)
 
 
 def _hop_graph(spark: SparkSession, sf: str) -> graph.RouteGraph:
-    routes = testviews.hops(spark, sf).withColumnRenamed("dist", "distance")
+    routes = write_table(testviews.hops(spark, sf).withColumnRenamed("dist", "distance"))
     codes = routes.select(F.explode(F.array("src", "dst")).alias("code")).distinct()
     return graph.RouteGraph(codes, routes)
 
@@ -155,17 +155,17 @@ def project_flights(spark, sf):
 
 @query("graph_vertices", f"WITH {sql.GRAPH} SELECT code FROM airports")
 def graph_vertices(spark, sf):
-    return _graph(spark, sf).airports.select("code")
+    return graph.airports(testviews.flights(spark, sf)).select("code")
 
 
 @query("vertex_hash_ids", f"WITH {sql.GRAPH} SELECT code, vertex_id FROM airports")
 def vertex_hash_ids(spark, sf):
-    return _graph(spark, sf).airports
+    return graph.airports(testviews.flights(spark, sf))
 
 
 @query("graph_edges", f"WITH {sql.GRAPH} SELECT src, dst, distance FROM routes")
 def graph_edges(spark, sf):
-    return _graph(spark, sf).routes
+    return graph.routes(testviews.flights(spark, sf))
 
 
 @query(
@@ -189,7 +189,7 @@ def graph_dangling(spark, sf):
     """The airport list leaves out one region, so routes to it dangle."""
     listed = testviews.table(spark, sf, "nation").filter(F.col("n_regionkey") != 0)
     airports = listed.select(F.col("n_name").alias("code"))
-    return graph.attach_codes(graph.RouteGraph(airports, _graph(spark, sf).routes))
+    return graph.attach_codes(graph.RouteGraph(airports, _graph(spark, sf, store=False).routes))
 
 
 @query(
@@ -236,7 +236,7 @@ def edges_longer_than(spark, sf):
 
 @query("edge_costs", f"WITH {sql.GRAPH} SELECT *, 50 + distance / 2 AS cost FROM routes")
 def edge_costs(spark, sf):
-    return graph.route_costs(_graph(spark, sf).routes)
+    return graph.route_costs(_graph(spark, sf, store=False).routes)
 
 
 # --- degrees and top-k ---
@@ -244,12 +244,12 @@ def edge_costs(spark, sf):
 
 @query("in_degrees", f"WITH {sql.GRAPH} SELECT dst AS code, count(*) AS routes FROM routes GROUP BY dst")
 def in_degrees(spark, sf):
-    return graph.in_degrees(_graph(spark, sf))
+    return graph.in_degrees(_graph(spark, sf, store=False))
 
 
 @query("out_degrees", f"WITH {sql.GRAPH} SELECT src AS code, count(*) AS routes FROM routes GROUP BY src")
 def out_degrees(spark, sf):
-    return graph.out_degrees(_graph(spark, sf))
+    return graph.out_degrees(_graph(spark, sf, store=False))
 
 
 _ENDS = "ends AS (SELECT src AS code FROM routes UNION ALL SELECT dst FROM routes)"
@@ -260,7 +260,7 @@ _ENDS = "ends AS (SELECT src AS code FROM routes UNION ALL SELECT dst FROM route
     f"WITH {sql.GRAPH}, {_ENDS} SELECT code, count(*) AS routes FROM ends GROUP BY code",
 )
 def total_degrees(spark, sf):
-    return graph.total_degrees(_graph(spark, sf))
+    return graph.total_degrees(_graph(spark, sf, store=False))
 
 
 @query(
@@ -273,7 +273,7 @@ def total_degrees(spark, sf):
     QUALIFY row_number() OVER (PARTITION BY kind ORDER BY routes DESC, code) = 1""",
 )
 def max_degrees(spark, sf):
-    return graph.max_degrees(_graph(spark, sf))
+    return graph.max_degrees(_graph(spark, sf, store=False))
 
 
 def _top_sql(end: str, limit: str) -> str:
