@@ -96,7 +96,7 @@ def hub_edges():
     draw = random.Random(5)
     edges = [(0, draw.randrange(1, 60), float(draw.randrange(1, 40))) for _ in range(150)]
     edges += [(draw.randrange(60), draw.randrange(60), float(draw.randrange(1, 6))) for _ in range(250)]
-    return edges + [(100 + i, 101 + i, 1.0) for i in range(20)] + [(3, 100, 2.0)]
+    return edges + [(100 + i, 101 + i, 1.0) for i in range(6)] + [(3, 100, 2.0)]
 
 
 @pytest.fixture(scope="module")
@@ -135,9 +135,9 @@ def test_against_brute_force_with_a_hub(spark, hub, slot_rows, monkeypatch):
         assert r.path[0] == 0 and r.path[-1] == r.vertex
         assert sum(cheapest[a, b] for a, b in zip(r.path, r.path[1:])) == r.cost
 
-    reached = paths.costs_to_landmarks(codes, table, [119, 5]).collect()
+    reached = paths.costs_to_landmarks(codes, table, [105, 5]).collect()
     backwards = [(d, s, c) for s, d, c in edges]
-    for landmark in (119, 5):
+    for landmark in (105, 5):
         assert {r.vertex: r.cost for r in reached if r.landmark == landmark} == brute_force(
             backwards, landmark
         )
