@@ -29,6 +29,7 @@ from skyroute.operators.prep import (
     SEED,
     STRING_COLUMNS,
     assembler,
+    label_counts,
     random_split,
 )
 
@@ -93,7 +94,10 @@ LEARNERS: dict[str, Learner] = {
 
 @dataclass(frozen=True)
 class Trained:
+    """A fitted model with its reports; ``splits`` is (part, label, n)."""
+
     model: Model
+    splits: DataFrame
     tally: DataFrame
     metrics: DataFrame
     confusion: DataFrame
@@ -205,6 +209,9 @@ def train(
     inputs = [*string_columns, *numeric_columns, "label"]
     # Stored first, so that both parts are drawn from the same partitions every time.
     fitting, testing = random_split(write_table(dataset.select(*inputs)))
+    splits = label_counts(fitting).select(F.lit("train").alias("part"), "*").unionByName(
+        label_counts(testing).select(F.lit("test").alias("part"), "*")
+    )
     fitting = fitting.persist()
     try:
         model = fit(name, fitting, string_columns, numeric_columns, tune, grid, parallelism)
@@ -215,6 +222,7 @@ def train(
     has_importances = hasattr(best_stages(model)[-1], "featureImportances")
     return Trained(
         model=model,
+        splits=splits,
         tally=tallied,
         metrics=evaluate.metrics_report(tallied, bins=evaluate.CURVE_BINS),
         confusion=evaluate.confusion_matrix(tallied),

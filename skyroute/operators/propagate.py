@@ -12,7 +12,7 @@ import math
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyroute.functions.scratch import TwoSlots, write_bucketed, write_table
@@ -45,7 +45,8 @@ class EdgeLayout(NamedTuple):
         slots = F.sequence(F.lit(0), F.coalesce("fan", F.lit(1)) - 1)
         rows = rows.join(F.broadcast(self.fans), "src", "left")
         rows = rows.withColumn("slot", F.explode(slots)).drop("fan")
-        return rows.join(self.edges, ["src", "slot"]).drop("slot")
+        # Hash the rows and stream the edges: they need neither a shuffle nor a sort.
+        return rows.hint("shuffle_hash").join(self.edges, ["src", "slot"]).drop("slot")
 
 
 def lay_out(edges: DataFrame, slot_rows: int = SLOT_ROWS) -> EdgeLayout:
@@ -72,18 +73,13 @@ def lay_out(edges: DataFrame, slot_rows: int = SLOT_ROWS) -> EdgeLayout:
         .withColumn("slot", F.pmod(F.xxhash64(*others), F.coalesce("fan", F.lit(1))).cast("int"))
         .select("src", "slot", *others)
     )
-    buckets = min(max(math.ceil(total / slot_rows), 2), MAX_BUCKETS)
+    # With fewer buckets than shuffle partitions Spark would shuffle the table after all.
+    least = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(min(math.ceil(total / slot_rows), MAX_BUCKETS), least)
     table, name = write_bucketed(slotted, ["src", "slot"], buckets)
     return EdgeLayout(table, fans, name)
 
 
-def _write_counting(slots: TwoSlots, state: DataFrame) -> tuple[DataFrame, int]:
-    """Write the state; its active rows are counted by the same job."""
-    seen = Observation()
-    table = slots.write(state.observe(seen, F.count_if("active").alias("active")))
-    return table, seen.get["active"]
-
-
 def propagate(
     state: DataFrame,
     layout: EdgeLayout,
@@ -106,19 +102,21 @@ def propagate(
     keys = list(keys)
     along = [k for k in keys if k != "vertex"]
     slots = TwoSlots(state.sparkSession)
-    table, active = _write_counting(slots, state)
+    table = slots.write(state)
     rounds = 0
-    while active and (max_rounds is None or rounds < max_rounds):
-        messages = layout.out_of(table.filter("active")).select(
+    while max_rounds is None or rounds < max_rounds:
+        frontier = table.filter("active")
+        if frontier.isEmpty():
+            break
+        messages = layout.out_of(frontier).select(
             F.col("dst").alias("vertex"), *along, *[c.alias(name) for name, c in send.items()]
         )
-        table, active = _write_counting(
-            slots,
+        table = slots.write(
             table.drop("active")
             .unionByName(messages, allowMissingColumns=True)
             .groupBy(*keys)
             .agg(*[c.alias(name) for name, c in merge.items()])
-            .select(*keys, *[c.alias(name) for name, c in update.items()]),
+            .select(*keys, *[c.alias(name) for name, c in update.items()])
         )
         rounds += 1
     return table

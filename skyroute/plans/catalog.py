@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyroute import schema
+from skyroute.functions.costmaps import add_to_costs, cheaper_costs
 from skyroute.functions.scratch import new_folder, write_table
 from skyroute.operators import evaluate, graph, learn, paths, prep, ranks
 from skyroute.plans import sql
@@ -398,6 +399,22 @@ def landmark_maps(spark, sf):
     return paths.landmark_maps(hops.airports, graph.route_costs(hops.routes), LANDMARKS)
 
 
+@query(
+    "landmark_map_merge",
+    f"WITH RECURSIVE {sql.TO_LANDMARKS} SELECT vertex, landmark, cost + 50 AS cost FROM settled",
+)
+def landmark_map_merge(spark, sf):
+    """The maps of two landmark lists that overlap, merged, with a fee on every cost."""
+    hops = _hop_graph(spark, sf)
+    edges = graph.route_costs(hops.routes)
+    first = paths.landmark_maps(hops.airports, edges, LANDMARKS[:2])
+    second = paths.landmark_maps(hops.airports, edges, LANDMARKS[1:])
+    merged = first.join(second.withColumnRenamed("costs", "others"), "vertex").select(
+        "vertex", add_to_costs(cheaper_costs(F.col("costs"), F.col("others")), F.lit(50)).alias("costs")
+    )
+    return merged.select("vertex", F.explode("costs").alias("landmark", "cost"))
+
+
 # --- labels, samples, features ---
 
 

@@ -43,6 +43,10 @@ def test_learner_reports(labelled, name):
     assert report["BalancedAccuracy"] > 0.55, "better than the majority class"
     tested = sum(r.n for r in result.confusion.collect())
     assert abs(tested / 1500 - 0.3) < 0.06
+    if name == "Naive Bayes":
+        parts = {(r.part, r.label): r.n for r in result.splits.collect()}
+        assert len(parts) == 4 and sum(parts.values()) == 1500
+        assert parts["test", 0.0] + parts["test", 1.0] == tested
     if name in ("Decision Tree", "Random Forest"):
         values = [r.importance for r in result.importances.collect()]
         assert len(values) == 7 and min(values) >= 0 and sum(values) == pytest.approx(1)
