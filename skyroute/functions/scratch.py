@@ -39,7 +39,15 @@ def write_table(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_bucketed(df: DataFrame, keys: list[str], buckets: int) -> tuple[DataFrame, str]:
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that no table handed to a caller reads."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def write_bucketed(
+    df: DataFrame, keys: list[str], buckets: int, path: str
+) -> tuple[DataFrame, str]:
     """Write ``df`` hashed and bucketed on ``keys``; return the table and its name.
 
     A join or aggregation on ``keys`` reads the buckets as they are, without a shuffle.
@@ -50,7 +58,7 @@ def write_bucketed(df: DataFrame, keys: list[str], buckets: int) -> tuple[DataFr
         df.repartition(buckets, *keys)
         .write.bucketBy(buckets, *keys)
         .sortBy(*keys)
-        .option("path", new_folder(spark))
+        .option("path", path)
         .saveAsTable(name)
     )
     return spark.table(name), name
@@ -66,3 +74,7 @@ class TwoSlots:
     def write(self, df: DataFrame) -> DataFrame:
         self._turn = 1 - self._turn
         return write_table(df, f"{self._folder}/{self._turn}")
+
+    def keep_last(self, spark: SparkSession) -> None:
+        """Delete the state before the last one."""
+        delete_folder(spark, f"{self._folder}/{1 - self._turn}")

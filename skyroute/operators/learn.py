@@ -106,9 +106,11 @@ class Trained:
 
 
 def indexers(columns: Sequence[str]) -> list[StringIndexer]:
+    """One indexer for all columns, which counts their values in one pass."""
+    outputs = [f"Indexed{c}" for c in columns]
     return [
-        StringIndexer(inputCol=c, outputCol=f"Indexed{c}", handleInvalid="keep") for c in columns
-    ]
+        StringIndexer(inputCols=list(columns), outputCols=outputs, handleInvalid="keep")
+    ] if columns else []
 
 
 def _widest(rows: DataFrame, columns: Sequence[str]) -> int:

@@ -15,7 +15,13 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyroute.functions.scratch import TwoSlots, write_bucketed, write_table
+from skyroute.functions.scratch import (
+    TwoSlots,
+    delete_folder,
+    new_folder,
+    write_bucketed,
+    write_table,
+)
 
 SLOT_ROWS = 4_000_000
 MAX_HUBS = 100_000
@@ -30,12 +36,16 @@ class EdgeLayout(NamedTuple):
     """
 
     edges: DataFrame
+    folder: str
     fans: DataFrame | None = None
     table: str | None = None
 
     def drop(self) -> None:
+        """Delete the stored edges, once all that reads them has been written."""
+        spark = self.edges.sparkSession
         if self.table:
-            self.edges.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
+            spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        delete_folder(spark, self.folder)
 
     def out_of(self, rows: DataFrame) -> DataFrame:
         """Join ``rows``, by their ``vertex``, to the edges that leave it."""
@@ -55,17 +65,20 @@ def lay_out(edges: DataFrame, slot_rows: int = SLOT_ROWS) -> EdgeLayout:
     Past ``slot_rows`` edges the table is bucketed on (src, slot), so no round shuffles
     edges. A source with more edges than that has several slots, spread by hash.
     """
-    stored = write_table(edges)
+    spark = edges.sparkSession
+    folder = new_folder(spark)
+    stored = write_table(edges, f"{folder}/edges")
     total = stored.count()
     if total <= slot_rows:
-        return EdgeLayout(stored)
+        return EdgeLayout(stored, folder)
     # At most total / slot_rows sources exceed slot_rows, which bounds the broadcast.
     slot_rows = max(slot_rows, math.ceil(total / MAX_HUBS))
     fans = write_table(
         stored.groupBy("src")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > slot_rows)
-        .select("src", F.ceil(F.col("n") / slot_rows).cast("int").alias("fan"))
+        .select("src", F.ceil(F.col("n") / slot_rows).cast("int").alias("fan")),
+        f"{folder}/fans",
     )
     others = [c for c in edges.columns if c != "src"]
     slotted = (
@@ -74,10 +87,11 @@ def lay_out(edges: DataFrame, slot_rows: int = SLOT_ROWS) -> EdgeLayout:
         .select("src", "slot", *others)
     )
     # With fewer buckets than shuffle partitions Spark would shuffle the table after all.
-    least = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(min(math.ceil(total / slot_rows), MAX_BUCKETS), least)
-    table, name = write_bucketed(slotted, ["src", "slot"], buckets)
-    return EdgeLayout(table, fans, name)
+    table, name = write_bucketed(slotted, ["src", "slot"], buckets, f"{folder}/slotted")
+    delete_folder(spark, f"{folder}/edges")
+    return EdgeLayout(table, folder, fans, name)
 
 
 def propagate(
@@ -119,4 +133,5 @@ def propagate(
             .select(*keys, *[c.alias(name) for name, c in update.items()])
         )
         rounds += 1
+    slots.keep_last(state.sparkSession)
     return table

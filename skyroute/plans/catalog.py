@@ -496,7 +496,8 @@ def assemble_features(spark, sf):
 
 
 def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return prep.stratified_sample(_labelled(spark, sf))
+    inputs = [*prep.STRING_COLUMNS, *prep.NUMERIC_COLUMNS, "label"]
+    return prep.stratified_sample(write_table(_labelled(spark, sf).select(*inputs)))
 
 
 def _scores(name: str) -> Query:

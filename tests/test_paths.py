@@ -127,8 +127,9 @@ def test_against_brute_force_with_a_split_hub(spark, hub, monkeypatch):
     seen = []
 
     def split(edges):
-        seen.append(laid_out(edges, 20))
-        return seen[-1]
+        layout = laid_out(edges, 20)
+        seen.append((layout.table, layout.fans.count()))
+        return layout
 
     monkeypatch.setattr(paths, "lay_out", split)
     edges, codes, table = hub
@@ -151,9 +152,9 @@ def test_against_brute_force_with_a_split_hub(spark, hub, monkeypatch):
         assert {r.vertex: r.cost for r in reached if r.landmark == landmark} == brute_force(
             backwards, landmark
         )
-    assert seen[0].fans.count() >= 1, "the hub has several slots"
+    assert seen[0][1] >= 1, "the hub has several slots"
     tables = [t.name for t in spark.catalog.listTables()]
-    assert not any(s.table in tables for s in seen), "the laid-out tables are dropped"
+    assert not any(table in tables for table, _ in seen), "the laid-out tables are dropped"
 
 
 def test_large_layout_shuffles_no_edges(spark, hub):
