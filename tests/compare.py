@@ -58,7 +58,7 @@ if __name__ == "__main__":
     from skyroute.session import local_session
 
     sf_dir, wanted = sys.argv[1], sys.argv[2:]
-    spark = local_session(8)
+    spark = local_session(8, spark__ui__showConsoleProgress="false")
     con = duck(sf_dir)
     for name, run in entry.queries().items():
         if wanted and name not in wanted:
