@@ -85,10 +85,11 @@ def route_costs(routes: DataFrame) -> DataFrame:
 
 def attach_codes(graph: RouteGraph) -> DataFrame:
     """Routes with the codes of both ends, ``nowhere`` for an end that is no airport."""
-    known = graph.airports.select("code")
+    src_known = graph.airports.select(F.col("code").alias("src_known"))
+    dst_known = graph.airports.select(F.col("code").alias("dst_known"))
     return (
-        graph.routes.join(known.withColumnRenamed("code", "src_known"), F.col("src") == F.col("src_known"), "left")
-        .join(known.withColumnRenamed("code", "dst_known"), F.col("dst") == F.col("dst_known"), "left")
+        graph.routes.join(src_known, F.col("src") == F.col("src_known"), "left")
+        .join(dst_known, F.col("dst") == F.col("dst_known"), "left")
         .select(
             "src",
             "dst",
@@ -189,7 +190,8 @@ def ranked(values: DataFrame, by: Column, rows: int | None = 10) -> DataFrame:
         return number_rows(values, [by, "code"], name="rank", unique=True)
     top = values.orderBy(by, "code").limit(rows)
     # The window sees the limited rows only.
-    return top.select(F.row_number().over(Window.orderBy(by, "code")).cast("long").alias("rank"), *values.columns)
+    rank = F.row_number().over(Window.orderBy(by, "code")).cast("long")
+    return top.select(rank.alias("rank"), *values.columns)
 
 
 def top_incoming(graph: RouteGraph, rows: int | None = 10) -> DataFrame:
