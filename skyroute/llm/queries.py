@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyroute.llm import chat, packing, rules, sql
+from skyroute.llm import chat, packing, rules, simhash, sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,10 +37,18 @@ def power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES = {
     "op2_quality_rules": quality_rules,
     "op6_chat_formatting": chat_formatting,
     "op7_power_packing": power_packing,
+    "op9_simhash_components": simhash_components,
 }
 ORACLES = {
     "op2_quality_rules": sql.QUALITY_RULES,
