@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyroute.llm import chat, packing, rules, simhash, sql
+from skyroute.llm import chat, decontaminate, licenses, lines, packing, rules, simhash, sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,10 +44,26 @@ def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def minhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item", "n_shared", "containment")
+
+
+def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_license_scan": license_scan,
     "op2_quality_rules": quality_rules,
+    "op4_minhash_decontamination": minhash_decontamination,
     "op6_chat_formatting": chat_formatting,
     "op7_power_packing": power_packing,
+    "op8_fuzzy_lines": fuzzy_lines,
     "op9_simhash_components": simhash_components,
 }
 ORACLES = {
