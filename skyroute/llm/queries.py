@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyroute.llm import chat, decontaminate, licenses, lines, packing, rules, simhash, sql
+from skyroute.llm import chat, decontaminate, licenses, lines, packing, recompress, rules, simhash, sql, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,16 +57,31 @@ def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(_table(spark, sf_dir, "documents"))
 
 
+_CUT = ("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.dedup(_table(spark, sf_dir, "documents")).select(*_CUT)
+
+
+def suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup(_table(spark, sf_dir, "documents")).select(*_CUT)
+
+
 QUERIES = {
     "op1_license_scan": license_scan,
     "op2_quality_rules": quality_rules,
     "op4_minhash_decontamination": minhash_decontamination,
+    "op5_recompression": recompression,
     "op6_chat_formatting": chat_formatting,
     "op7_power_packing": power_packing,
     "op8_fuzzy_lines": fuzzy_lines,
     "op9_simhash_components": simhash_components,
+    "op10_suffix_array": suffix_array,
 }
 ORACLES = {
     "op2_quality_rules": sql.QUALITY_RULES,
+    "op5_recompression": sql.REPEATS,
     "op6_chat_formatting": sql.CHAT_FORMATTING,
+    "op10_suffix_array": sql.REPEATS,
 }

@@ -59,3 +59,27 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(body + CASE WHEN opens THEN 13 + length(role) + 11 ELSE 10 END) AS BIGINT) AS formatted_chars
 FROM o GROUP BY conv_id
 """
+
+REPEATS = r"""
+WITH w AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT rid, doc_id, i, array_to_string(words[i : i + 49], ' ') AS win
+  FROM (SELECT rid, doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50)
+), later AS (
+  SELECT rid, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY win) AS first FROM windows) WHERE doc_id > first
+), marks AS (
+  SELECT rid, i AS k, 1 AS d FROM later UNION ALL SELECT rid, i + 50, -1 FROM later
+), steps AS (
+  SELECT rid, k, sum(sum(d)) OVER (PARTITION BY rid ORDER BY k) AS depth,
+    lead(k) OVER (PARTITION BY rid ORDER BY k) AS upto
+  FROM marks GROUP BY rid, k
+), gone AS (
+  SELECT rid, unnest(range(k, upto)) AS p FROM steps WHERE depth > 0
+), removed AS (SELECT rid, list(p) AS ps FROM gone GROUP BY rid)
+SELECT doc_id, len(words) AS n_words, coalesce(len(ps), 0) AS n_removed,
+  sha256(CASE WHEN ps IS NULL THEN array_to_string(words, ' ')
+    ELSE array_to_string(list_filter(words, lambda x, i: NOT list_contains(ps, i)), ' ') END) AS kept_sha256
+FROM w LEFT JOIN removed USING (rid)
+"""
