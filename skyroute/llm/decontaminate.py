@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyroute.functions.scratch import write_table
-from skyroute.llm.text import ALNUM, FOLD, PRIMARY, U64, Slots, Words, mix, signed, small_batches, words_of
+from skyroute.llm.text import ALNUM, FOLD, PRIMARY, U64, Slots, Words, mix, small_batches, words_of
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -56,10 +56,11 @@ def _shingles(words: Words, shingle: int) -> tuple[np.ndarray, np.ndarray]:
 def _bands(shingles: np.ndarray, starts: np.ndarray, size_class: int) -> np.ndarray:
     """Band values, one row per hash function, of the groups that begin at ``starts``."""
     out = np.empty((HASHES, len(starts)), U64)
+    tags = _SEEDS * np.full(HASHES, CLASSES + size_class, U64)
     for i, seed in enumerate(_SEEDS):
         x = (shingles ^ seed) * U64(0x9E3779B97F4A7C15)
         x ^= x >> U64(29)
-        out[i] = mix(np.minimum.reduceat(x, starts) + seed * U64(CLASSES + size_class))
+        out[i] = mix(np.minimum.reduceat(x, starts) + tags[i])
     return out
 
 

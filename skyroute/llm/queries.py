@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyroute.llm import chat, decontaminate, licenses, lines, packing, recompress, rules, simhash, sql, suffixes
+from skyroute.llm import chat, crf, decontaminate, licenses, lines, packing, recompress, rules, simhash, sql, suffixes
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers look for this package where the driver has it, besides --py-files.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    judged = rules.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    judged = rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("row.doc_id", *(f"figures.{c}" for c in counts), "base_failed", "kept")
 
 
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"),
         F.col("id").alias("turn"),
@@ -30,7 +34,7 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     pieces = packing.pack(docs, packing.default_vocabulary(), with_ids=False)
     return pieces.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
@@ -38,39 +42,47 @@ def power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.components(_table(spark, sf_dir, "documents"))
+    found = simhash.components(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(_table(spark, sf_dir, "documents"))
+    return licenses.scan(table(spark, sf_dir, "documents"))
 
 
 def minhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_item", "n_shared", "containment")
 
 
 def fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.report(_table(spark, sf_dir, "documents"))
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
+def line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = crf.score(docs, crf.fit(docs, table(spark, sf_dir, "labels")))
+    scored = scored.select("row.doc_id", crf.held_out("row.doc_id").alias("held_out"), "score")
+    return scored.withColumn("predicted", (F.col("score") >= crf.THRESHOLD).cast("int"))
 
 
 _CUT = ("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recompress.dedup(_table(spark, sf_dir, "documents")).select(*_CUT)
+    return recompress.dedup(table(spark, sf_dir, "documents")).select(*_CUT)
 
 
 def suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.dedup(_table(spark, sf_dir, "documents")).select(*_CUT)
+    return suffixes.dedup(table(spark, sf_dir, "documents")).select(*_CUT)
 
 
 QUERIES = {
     "op1_license_scan": license_scan,
     "op2_quality_rules": quality_rules,
+    "op3_line_crf": line_crf,
     "op4_minhash_decontamination": minhash_decontamination,
     "op5_recompression": recompression,
     "op6_chat_formatting": chat_formatting,
