@@ -98,12 +98,12 @@ def matches(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> Dat
     spark = docs.sparkSession
     grams = spark.createDataFrame(_gram_rows(templates), "template int, q int, gram string")
     words = F.col("words")
-    starts = F.when(F.size(words) >= GRAM, F.sequence(F.lit(1), F.size(words) - (GRAM - 1)))
+    starts = F.when(F.size(words) >= GRAM, F.sequence(F.lit(0), F.size(words) - GRAM))
     runs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _words(F.col("text")).alias("words"))
     runs = runs.select(
         "doc_id",
         "text_hash",
-        F.posexplode(F.transform(starts, lambda i: F.array_join(F.slice(words, i, GRAM), " "))).alias("p", "run"),
+        F.posexplode(F.transform(starts, lambda i: F.concat_ws(" ", *(F.get(words, i + k) for k in range(GRAM))))).alias("p", "run"),
     )
     # Fold all letters for the join, then compare with only ASCII folded.
     found = runs.join(F.broadcast(grams), F.lower("run") == F.col("gram"))

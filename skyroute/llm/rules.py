@@ -63,9 +63,9 @@ def _staged(docs: DataFrame) -> DataFrame:
     filled = docs.select(F.struct("*").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     split = filled.withColumn("words", F.array_remove(F.split(text, SPACE, -1), ""))
     split = split.withColumn("lines", F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    starts = F.when(F.size(words) >= WINDOW, F.sequence(F.lit(1), F.size(words) - (WINDOW - 1)))
+    starts = F.when(F.size(words) >= WINDOW, F.sequence(F.lit(0), F.size(words) - WINDOW))
     starts = F.coalesce(starts, F.array().cast("array<int>"))
-    windows = split.withColumn("hashes", F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, WINDOW))))
+    windows = split.withColumn("hashes", F.transform(starts, lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(WINDOW)))))
     # Equal windows are neighbours among the sorted pairs; most texts have none.
     some = F.size(F.array_distinct(hashes)) < F.size(hashes)
     pair = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
