@@ -205,7 +205,10 @@ def top_outgoing(graph: RouteGraph, rows: int | None = 10) -> DataFrame:
 
 
 def cheapest_routes(graph: RouteGraph, rows: int = 10) -> DataFrame:
-    """Of the ``rows`` cheapest routes, those between known airports."""
+    """Of the ``rows`` cheapest routes, those between known airports, with their rank."""
     cheapest = route_costs(graph.routes).orderBy("cost", "src", "dst").limit(rows)
     ends = triplets(RouteGraph(graph.airports, cheapest.drop("cost")))
-    return ends.select("src", "dst", route_cost(F.col("distance")).alias("cost"))
+    # At most ``rows`` rows, which the join may have put out of order.
+    found = ends.select("src", "dst", route_cost(F.col("distance")).alias("cost"))
+    rank = F.row_number().over(Window.orderBy("cost", "src", "dst")).cast("long")
+    return found.select(rank.alias("rank"), "src", "dst", "cost")

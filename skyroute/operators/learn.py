@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import product
 
 from pyspark.ml import Estimator, Model, Pipeline
@@ -16,10 +16,9 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyroute.functions.scratch import write_table
@@ -29,8 +28,11 @@ from skyroute.operators.prep import (
     SEED,
     STRING_COLUMNS,
     assembler,
+    content_key,
+    index_column,
+    index_values,
     label_counts,
-    random_split,
+    split_by_key,
 )
 
 # Bins, iterations, penalties, depths and impurities to train and tune with.
@@ -47,15 +49,10 @@ SVC_PENALTIES_TUNED = (0.1, 0.01, 0.001)
 
 @dataclass(frozen=True)
 class Learner:
-    """How to make an estimator, and its grids; without grids it is fitted once.
-
-    A learner of many short passes gains from full partitions; ``rows_per_partition``
-    merges smaller ones for it.
-    """
+    """How to make an estimator, and its grids; without grids it is fitted once."""
 
     estimator: Callable[..., Estimator]
     categorical: bool = False
-    rows_per_partition: int | None = None
     grid: dict[str, Sequence] | None = None
     tuned_grid: dict[str, Sequence] | None = None
 
@@ -74,7 +71,6 @@ LEARNERS: dict[str, Learner] = {
     ),
     "Linear SVC": Learner(
         LinearSVC,
-        rows_per_partition=250_000,
         grid={"maxIter": (SVC_ITERATIONS,), "regParam": (SVC_PENALTY,)},
         tuned_grid={"maxIter": SVC_ITERATIONS_TUNED, "regParam": SVC_PENALTIES_TUNED},
     ),
@@ -93,30 +89,90 @@ LEARNERS: dict[str, Learner] = {
 
 
 @dataclass(frozen=True)
-class Trained:
-    """A fitted model with its reports; ``splits`` is (part, label, n)."""
+class Indexed:
+    """The dictionary of a text column: a table, and its number of values."""
+
+    values: DataFrame
+    size: int
+
+
+@dataclass(frozen=True)
+class Fitted:
+    """A fitted pipeline behind the dictionaries of its text columns.
+
+    The dictionaries are tables that rows are joined with. Trees are told only how many
+    values a ``nominal`` column has.
+    """
 
+    dictionaries: dict[str, Indexed]
+    nominal: tuple[str, ...]
     model: Model
-    splits: DataFrame
-    tally: DataFrame
-    metrics: DataFrame
-    confusion: DataFrame
-    importances: DataFrame | None
-    grid: DataFrame | None
 
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return self.model.transform(_with_indexes(rows, self.dictionaries, self.nominal))
 
-def indexers(columns: Sequence[str]) -> list[StringIndexer]:
-    """One indexer for all columns, which counts their values in one pass."""
-    outputs = [f"Indexed{c}" for c in columns]
-    return [
-        StringIndexer(inputCols=list(columns), outputCols=outputs, handleInvalid="keep")
-    ] if columns else []
+    @property
+    def stages(self) -> list:
+        return getattr(self.model, "bestModel", self.model).stages
 
 
-def _widest(rows: DataFrame, columns: Sequence[str]) -> int:
-    """The largest number of distinct values in a text column, and one for the unseen."""
-    counts = [rows.select(c).na.drop().distinct().count() for c in columns]
-    return max(counts, default=0) + 1
+@dataclass(frozen=True)
+class Trained:
+    """A fitted model with its reports, each made when it is first asked for.
+
+    ``predictions`` holds the scored test rows with the caller's key columns.
+    """
+
+    model: Fitted
+    fitting: DataFrame
+    testing: DataFrame
+    keys: tuple[str, ...]
+    input_columns: tuple[str, ...]
+    curve_bins: int
+
+    @cached_property
+    def splits(self) -> DataFrame:
+        """(part, label, n)."""
+        return label_counts(self.fitting).select(F.lit("train").alias("part"), "*").unionByName(
+            label_counts(self.testing).select(F.lit("test").alias("part"), "*")
+        )
+
+    @cached_property
+    def predictions(self) -> DataFrame:
+        """The keys, label, prediction and score of the test rows."""
+        return score(self.model, self.testing, self.keys)
+
+    @cached_property
+    def tally(self) -> DataFrame:
+        return write_table(evaluate.tally(score(self.model, self.testing)))
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return evaluate.metrics_report(self.tally, bins=self.curve_bins)
+
+    @cached_property
+    def confusion(self) -> DataFrame:
+        return evaluate.confusion_matrix(self.tally)
+
+    @cached_property
+    def importances(self) -> DataFrame | None:
+        if not hasattr(best_stages(self.model)[-1], "featureImportances"):
+            return None
+        return importances(self.model, self.input_columns, self.fitting)
+
+    @cached_property
+    def grid(self) -> DataFrame | None:
+        return grid_scores(self.model, self.fitting) if hasattr(self.model.model, "avgMetrics") else None
+
+
+def _with_indexes(rows: DataFrame, dictionaries: dict[str, Indexed], nominal: Sequence[str]) -> DataFrame:
+    for column, known in dictionaries.items():
+        rows = index_column(rows, column, known.values, known.size)
+        if column in nominal:
+            name = f"Indexed{column}"
+            about = {"ml_attr": {"type": "nominal", "num_vals": known.size + 1, "name": name}}
+            rows = rows.withColumn(name, F.col(name).alias(name, metadata=about))
+    return rows
 
 
 def _param_grid(estimator: Estimator, grid: dict[str, Sequence], bins: int) -> list[dict]:
@@ -136,50 +192,60 @@ def fit(
     tune: bool = False,
     grid: dict[str, Sequence] | None = None,
     parallelism: int = 4,
-) -> Model:
+    nominal: Sequence[str] | None = None,
+) -> Fitted:
     """Fit the learner called ``name``, by cross-validation if it has a grid.
 
-    Trees get at least as many bins as a text column has values. The metric of the
-    validation is the ROC area of the 0/1 prediction.
+    Text columns become the positions of their values by frequency in ``train``. Trees
+    take the ``nominal`` ones, by default all, as categories and get at least as many
+    bins as one of them has values; leave out columns whose values grow with the data,
+    and trees take their positions as numbers. The metric of the validation is the ROC
+    area of the 0/1 prediction.
     """
     if name not in LEARNERS:
         raise ValueError(f"unknown learner {name!r}; known are {', '.join(LEARNERS)}")
     learner = LEARNERS[name]
-    if learner.rows_per_partition:
-        train = train.coalesce(max(1, math.ceil(train.count() / learner.rows_per_partition)))
+    nominal = tuple(string_columns if nominal is None else nominal) if learner.categorical else ()
+    dictionaries = {}
+    for column in string_columns:
+        values = write_table(index_values(train, column))
+        dictionaries[column] = Indexed(values, values.count())
+    bins = max((dictionaries[c].size for c in nominal), default=0) + 1
     estimator = learner.estimator(labelCol="label", featuresCol="features")
-    bins = _widest(train, string_columns) if learner.categorical else 0
     if learner.categorical:
         estimator = estimator.setMaxBins(max(TREE_BINS, bins))
-    stages = [*indexers(string_columns), assembler(string_columns, numeric_columns), estimator]
-    pipeline = Pipeline(stages=stages)
+    pipeline = Pipeline(stages=[assembler(string_columns, numeric_columns), estimator])
+    rows = _with_indexes(train, dictionaries, nominal)
     grid = grid or (learner.tuned_grid if tune else learner.grid)
-    if grid is None:
-        return pipeline.fit(train)
-    validator = CrossValidator(
-        estimator=pipeline,
-        evaluator=BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="prediction"),
-        estimatorParamMaps=_param_grid(estimator, grid, bins),
-        parallelism=parallelism,
-        seed=SEED,
-    )
-    return validator.fit(train)
+    if grid is not None:
+        pipeline = CrossValidator(
+            estimator=pipeline,
+            evaluator=BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="prediction"),
+            estimatorParamMaps=_param_grid(estimator, grid, bins),
+            parallelism=parallelism,
+            seed=SEED,
+        )
+    rows = rows.persist()
+    try:
+        return Fitted(dictionaries, nominal, pipeline.fit(rows))
+    finally:
+        rows.unpersist()
 
 
-def best_stages(model: Model) -> list:
-    return getattr(model, "bestModel", model).stages
+def best_stages(model: Fitted) -> list:
+    return model.stages
 
 
-def score(model: Model, rows: DataFrame) -> DataFrame:
-    """(label, prediction, score); the score is the probability of class 1, or the
+def score(model: Fitted, rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, label, prediction, score); the score is the probability of class 1, or the
     prediction of a learner that has no probabilities."""
     scored = model.transform(rows)
     known = "probability" in scored.columns
     value = vector_to_array(F.col("probability"))[1] if known else F.col("prediction")
-    return scored.select("label", "prediction", value.alias("score"))
+    return scored.select(*keys, "label", "prediction", value.alias("score"))
 
 
-def importances(model: Model, input_columns: Sequence[str], rows: DataFrame) -> DataFrame:
+def importances(model: Fitted, input_columns: Sequence[str], rows: DataFrame) -> DataFrame:
     """(name, importance), the most important feature first."""
     values = best_stages(model)[-1].featureImportances.toArray()
     pairs = [(c, float(v)) for c, v in zip(input_columns, values)]
@@ -187,14 +253,14 @@ def importances(model: Model, input_columns: Sequence[str], rows: DataFrame) ->
     return named.orderBy(F.col("importance").desc(), "name")
 
 
-def grid_scores(model: Model, rows: DataFrame) -> DataFrame:
+def grid_scores(model: Fitted, rows: DataFrame) -> DataFrame:
     """(params, metric) for each point of a cross-validated grid."""
     points = [
         ", ".join(f"{p.name}={v}" for p, v in sorted(point.items(), key=lambda i: i[0].name))
-        for point in model.getEstimatorParamMaps()
+        for point in model.model.getEstimatorParamMaps()
     ]
     return rows.sparkSession.createDataFrame(
-        list(zip(points, map(float, model.avgMetrics))), "params STRING, metric DOUBLE"
+        list(zip(points, map(float, model.model.avgMetrics))), "params STRING, metric DOUBLE"
     )
 
 
@@ -206,34 +272,27 @@ def train(
     tune: bool = False,
     grid: dict[str, Sequence] | None = None,
     parallelism: int = 4,
+    keys: Sequence[str] = (),
+    draw: Column | None = None,
+    curve_bins: int = 0,
+    nominal: Sequence[str] | None = None,
 ) -> Trained:
-    """Split labelled rows 70 to 30, fit on the larger part and report on the smaller."""
-    inputs = [*string_columns, *numeric_columns, "label"]
-    # Stored first, so that both parts are drawn from the same partitions every time.
-    fitting, testing = random_split(write_table(dataset.select(*inputs)))
-    splits = label_counts(fitting).select(F.lit("train").alias("part"), "*").unionByName(
-        label_counts(testing).select(F.lit("test").alias("part"), "*")
-    )
-    fitting = fitting.persist()
-    try:
-        model = fit(name, fitting, string_columns, numeric_columns, tune, grid, parallelism)
-    finally:
-        fitting.unpersist()
-    tallied = write_table(evaluate.tally(score(model, testing)))
+    """Split labelled rows 70 to 30, fit on the larger part and report on the smaller.
+
+    ``draw`` is the integer that decides a row's part, by default a hash of the row, so
+    the parts don't depend on how files are cut. ``keys`` are handed on to the
+    predictions. Curves are exact unless ``curve_bins`` asks for so many points.
+    """
+    inputs = [*dict.fromkeys([*keys, *string_columns, *numeric_columns, "label"])]
+    draw = content_key(dataset.select(inputs)) if draw is None else draw
+    stored = write_table(split_by_key(dataset, draw).select(*inputs, "part"))
+    fitting, testing = (stored.filter(F.col("part") == p).drop("part") for p in ("train", "test"))
+    model = fit(name, fitting, string_columns, numeric_columns, tune, grid, parallelism, nominal)
     columns = [f"Indexed{c}" for c in string_columns] + list(numeric_columns)
-    has_importances = hasattr(best_stages(model)[-1], "featureImportances")
-    return Trained(
-        model=model,
-        splits=splits,
-        tally=tallied,
-        metrics=evaluate.metrics_report(tallied, bins=evaluate.CURVE_BINS),
-        confusion=evaluate.confusion_matrix(tallied),
-        importances=importances(model, columns, dataset) if has_importances else None,
-        grid=grid_scores(model, dataset) if hasattr(model, "avgMetrics") else None,
-    )
+    return Trained(model, fitting, testing, tuple(keys), tuple(columns), curve_bins)
 
 
-def naive_bayes_parameters(model: Model, rows: DataFrame) -> DataFrame:
+def naive_bayes_parameters(model: Fitted, rows: DataFrame) -> DataFrame:
     """(label, feature, log_theta, log_pi) of a fitted naive Bayes, features from 0 on."""
     bayes = best_stages(model)[-1]
     theta, pi = bayes.theta.toArray(), bayes.pi.toArray()

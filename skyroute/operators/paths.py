@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyroute.functions.scratch import TwoSlots
-from skyroute.operators.graph import RouteGraph, all_codes, known_only, route_costs
+from skyroute.operators.graph import RouteGraph, all_codes, known_only, ranked, route_costs
 from skyroute.operators.propagate import EdgeLayout, lay_out, propagate
 
 INFINITY = float("inf")
@@ -76,29 +76,36 @@ def cheapest_costs(vertices: DataFrame, edges: DataFrame, source: object) -> Dat
     )
 
 
-def cheapest_paths(vertices: DataFrame, edges: DataFrame, source: object) -> DataFrame:
-    """(vertex, cost, path) of the reached vertices; the path runs from the source on.
+def _predecessors(vertices: DataFrame, edges: DataFrame, source: object, slots: TwoSlots) -> DataFrame:
+    """(vertex, cost, head) of the reached vertices but the source, stored.
 
     The rounds carry costs alone. One pass over the edges then picks each vertex's
-    predecessor, the smallest that gives its cost, and the paths are put together by
-    doubling: with each join a path's known end grows to twice its length.
+    predecessor ``head``, the smallest that gives its cost.
     """
     layout = _laid_out(cheapest_edges(edges, positive=True))
-    slots = TwoSlots(edges.sparkSession)
     try:
         reached = _relax(_start(vertices, source), layout, ["vertex"])
         arrivals = layout.out_of(reached.withColumnRenamed("cost", "src_cost")).filter(
             F.col("dst") != F.lit(source)
         )
         best = F.min(F.struct((F.col("src_cost") + F.col("edge_cost")).alias("cost"), "src"))
-        trails = slots.write(
+        return slots.write(
             arrivals.groupBy(F.col("dst").alias("vertex"))
             .agg(best.alias("best"))
-            .select("vertex", F.col("best.cost").alias("cost"), F.col("best.src").alias("head"),
-                    F.array("vertex").alias("trail"))
+            .select("vertex", F.col("best.cost").alias("cost"), F.col("best.src").alias("head"))
         )
     finally:
         layout.drop()
+
+
+def cheapest_paths(vertices: DataFrame, edges: DataFrame, source: object) -> DataFrame:
+    """(vertex, cost, path) of the reached vertices; the path runs from the source on.
+
+    The paths are put together from the predecessors by doubling: with each join a
+    path's known end grows to twice its length.
+    """
+    slots = TwoSlots(edges.sparkSession)
+    trails = _predecessors(vertices, edges, source, slots).withColumn("trail", F.array("vertex"))
     while True:
         is_open = F.col("head") != F.lit(source)
         if trails.filter(is_open).isEmpty():
@@ -113,6 +120,7 @@ def cheapest_paths(vertices: DataFrame, edges: DataFrame, source: object) -> Dat
             F.concat("earlier_trail", "trail").alias("trail"),
         )
         trails = slots.write(trails.filter(~is_open).unionByName(longer))
+    slots.keep_last(edges.sparkSession)
     start = _start(vertices, source).select("vertex", "cost", F.array("vertex").alias("path"))
     return start.unionByName(
         trails.select("vertex", "cost", F.array_prepend("trail", F.col("head")).alias("path"))
@@ -167,14 +175,31 @@ def render_path(path: Column) -> Column:
 
 
 def cheapest_multi_hop_paths(graph: RouteGraph, source: object = "LAX", rows: int = 10) -> DataFrame:
-    """The ``rows`` cheapest paths of more than two vertices, rendered."""
-    paths = cheapest_paths(all_codes(graph), route_costs(graph.routes), source)
-    top = paths.filter(F.size("path") > 2).orderBy("cost", "vertex").limit(rows)
-    return top.select("vertex", render_path(F.col("path")).alias("path"), "cost")
+    """The ``rows`` cheapest paths of more than two vertices, rendered, with their rank.
+
+    A path has more than two vertices if its last predecessor is not the source, so the
+    rows are chosen first and only their paths are walked back.
+    """
+    spark = graph.routes.sparkSession
+    kept, walked = TwoSlots(spark), TwoSlots(spark)
+    before = _predecessors(all_codes(graph), route_costs(graph.routes), source, kept)
+    top = before.filter(F.col("head") != F.lit(source)).orderBy("cost", "vertex").limit(rows)
+    trails = walked.write(top.withColumn("trail", F.array("vertex")))
+    is_open = F.col("head") != F.lit(source)
+    steps = before.select(F.col("vertex").alias("head"), F.col("head").alias("new_head"))
+    while not trails.filter(is_open).isEmpty():
+        longer = F.broadcast(trails.filter(is_open)).join(steps, "head").select(
+            "vertex", "cost", F.col("new_head").alias("head"), F.array_prepend("trail", F.col("head")).alias("trail")
+        )
+        trails = walked.write(trails.filter(~is_open).unionByName(longer))
+    rank = F.row_number().over(Window.orderBy("cost", "vertex")).cast("long")
+    path = render_path(F.array_prepend("trail", F.col("head")))
+    return trails.select(rank.alias("rank"), "vertex", path.alias("path"), "cost")
 
 
 def cheapest_airports(graph: RouteGraph, source: object = "LAX", rows: int = 10) -> DataFrame:
-    """Of the ``rows`` cheapest vertices from the source, those that are known airports."""
+    """Of the ``rows`` cheapest vertices from the source, those that are known airports,
+    with their rank."""
     costs = cheapest_costs(all_codes(graph), route_costs(graph.routes), source)
     cheapest = costs.withColumnRenamed("vertex", "code").orderBy("cost", "code").limit(rows)
-    return known_only(cheapest, graph)
+    return ranked(known_only(cheapest, graph), F.col("cost"), rows)

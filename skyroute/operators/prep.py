@@ -22,14 +22,14 @@ NUMERIC_COLUMNS = ("DayOfWeek", "DepTime", "CRSDepTime", "ArrTime", "CRSArrTime"
 NUMERIC_COLUMNS_BATCH = ("DepTime", "CRSDepTime", "ArrTime", "CRSArrTime")
 
 
-def label_delays(flights: DataFrame, invalid: str = "skip") -> DataFrame:
+def label_delays(flights: DataFrame, invalid: str = "error") -> DataFrame:
     """Add ``label``: 0 for a delay in [0, 40), 1 from 40 on, null for null.
 
-    A negative or NaN delay has no bucket: its row is skipped, or with
-    ``invalid="error"`` fails the job.
+    A negative or NaN delay has no bucket and fails the job. With ``invalid="skip"`` such
+    rows go; ``rejected_delays`` counts them.
     """
     delay = F.col("DepDelay")
-    valid = (delay >= 0) & ~F.isnan(delay)
+    valid = _has_bucket(delay)
     label = F.when(delay < LATE_FROM, 0.0).when(delay >= LATE_FROM, 1.0)
     if invalid == "error":
         failed = F.raise_error(F.lit("DepDelay is negative or NaN"))
@@ -39,6 +39,21 @@ def label_delays(flights: DataFrame, invalid: str = "skip") -> DataFrame:
     return flights.filter(valid | delay.isNull()).withColumn("label", label)
 
 
+def _has_bucket(delay: Column) -> Column:
+    return (delay >= 0) & ~F.isnan(delay)
+
+
+def rejected_delays(flights: DataFrame) -> DataFrame:
+    """One row: how many delays are negative, NaN, and missing, and how many rows there are."""
+    delay = F.col("DepDelay")
+    return flights.agg(
+        F.count_if((delay < 0) & ~F.isnan(delay)).alias("negative"),
+        F.count_if(F.isnan(delay)).alias("nan"),
+        F.count_if(delay.isNull()).alias("missing"),
+        F.count(F.lit(1)).alias("total"),
+    )
+
+
 def label_counts(labelled: DataFrame) -> DataFrame:
     """Rows by label; a null label is a group of its own."""
     return labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
@@ -84,6 +99,17 @@ def balanced_by_key(labelled: DataFrame, key: Column) -> DataFrame:
     return labelled.filter(kept)
 
 
+def stratified_by_key(labelled: DataFrame, key: Column) -> DataFrame:
+    """``stratified_sample`` that draws by an integer key, the same on every run and layout."""
+    kept = F.col("label").isNotNull() & (_draw(key) < F.lit(_fraction(labelled) * 1000))
+    return labelled.filter(kept)
+
+
+def content_key(rows: DataFrame) -> Column:
+    """An integer that depends on a row's values alone."""
+    return F.xxhash64(*rows.columns)
+
+
 def random_split(rows: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     train, test = rows.randomSplit([TRAIN_SHARE, 1 - TRAIN_SHARE], seed)
     return train, test
@@ -106,13 +132,16 @@ def index_values(rows: DataFrame, column: str) -> DataFrame:
     return numbered.select("value", "n", (F.col("number") - 1).cast("double").alias("position"))
 
 
-def index_column(rows: DataFrame, column: str, values: DataFrame | None = None) -> DataFrame:
+def index_column(
+    rows: DataFrame, column: str, values: DataFrame | None = None, size: int | None = None
+) -> DataFrame:
     """Add ``Indexed<column>`` by a join; unseen and null values get the number of values.
 
-    The dictionary stays a table, so it may grow with the data.
+    The dictionary stays a table, so it may grow with the data. ``size`` is its number of
+    values, counted here if it is not given.
     """
     values = index_values(rows, column) if values is None else values
-    unseen = float(values.count())
+    unseen = float(values.count() if size is None else size)
     lookup = values.select(F.col("value").alias(column), F.col("position").alias("_position"))
     return (
         rows.join(lookup, column, "left")

@@ -31,27 +31,23 @@ MAX_BUCKETS = 20_000
 class EdgeLayout(NamedTuple):
     """Edges laid out by source once, for all rounds.
 
-    ``fans(src, fan)`` holds the sources whose edges are split into ``fan`` slots, at
-    most MAX_HUBS of them. It is None for a graph too small to have any.
+    ``fans(src, fan)`` holds the sources whose edges are split into ``fan`` slots.
     """
 
     edges: DataFrame
     folder: str
-    fans: DataFrame | None = None
-    table: str | None = None
+    fans: DataFrame
+    table: str
 
     def drop(self) -> None:
         """Delete the stored edges, once all that reads them has been written."""
         spark = self.edges.sparkSession
-        if self.table:
-            spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        spark.sql(f"DROP TABLE IF EXISTS {self.table}")
         delete_folder(spark, self.folder)
 
     def out_of(self, rows: DataFrame) -> DataFrame:
         """Join ``rows``, by their ``vertex``, to the edges that leave it."""
         rows = rows.withColumnRenamed("vertex", "src")
-        if self.fans is None:
-            return rows.join(self.edges, "src")
         slots = F.sequence(F.lit(0), F.coalesce("fan", F.lit(1)) - 1)
         rows = rows.join(F.broadcast(self.fans), "src", "left")
         rows = rows.withColumn("slot", F.explode(slots)).drop("fan")
@@ -59,20 +55,33 @@ class EdgeLayout(NamedTuple):
         return rows.hint("shuffle_hash").join(self.edges, ["src", "slot"]).drop("slot")
 
 
-def lay_out(edges: DataFrame, slot_rows: int = SLOT_ROWS) -> EdgeLayout:
+def lay_out(
+    edges: DataFrame,
+    slot_rows: int = SLOT_ROWS,
+    max_hubs: int = MAX_HUBS,
+    max_buckets: int = MAX_BUCKETS,
+) -> EdgeLayout:
     """Store (src, dst, ...) edges, bucketed by source, with large sources split.
 
-    Past ``slot_rows`` edges the table is bucketed on (src, slot), so no round shuffles
-    edges. A source with more edges than that has several slots, spread by hash.
+    The table is bucketed on (src, slot), so no round shuffles edges. A source with more
+    than ``slot_rows`` edges has several slots, spread by hash. ``max_hubs`` bounds the
+    broadcast table of such sources, by larger slots if need be, and ``max_buckets`` the
+    number of files; past it buckets grow. No edge is left out.
     """
+    folder = new_folder(edges.sparkSession)
+    try:
+        return _lay_out(edges, folder, slot_rows, max_hubs, max_buckets)
+    except BaseException:
+        delete_folder(edges.sparkSession, folder)
+        raise
+
+
+def _lay_out(edges: DataFrame, folder: str, slot_rows: int, max_hubs: int, max_buckets: int) -> EdgeLayout:
     spark = edges.sparkSession
-    folder = new_folder(spark)
     stored = write_table(edges, f"{folder}/edges")
     total = stored.count()
-    if total <= slot_rows:
-        return EdgeLayout(stored, folder)
     # At most total / slot_rows sources exceed slot_rows, which bounds the broadcast.
-    slot_rows = max(slot_rows, math.ceil(total / MAX_HUBS))
+    slot_rows = max(slot_rows, math.ceil(total / max_hubs))
     fans = write_table(
         stored.groupBy("src")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -88,7 +97,7 @@ def lay_out(edges: DataFrame, slot_rows: int = SLOT_ROWS) -> EdgeLayout:
     )
     # With fewer buckets than shuffle partitions Spark would shuffle the table after all.
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(min(math.ceil(total / slot_rows), MAX_BUCKETS), least)
+    buckets = max(min(math.ceil(total / slot_rows), max_buckets), least)
     table, name = write_bucketed(slotted, ["src", "slot"], buckets, f"{folder}/slotted")
     delete_folder(spark, f"{folder}/edges")
     return EdgeLayout(table, folder, fans, name)

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyroute.operators.graph import RouteGraph, all_codes, known_only, ranked
+from skyroute.operators.graph import RouteGraph, known_only, ranked
 from skyroute.operators.propagate import lay_out, propagate
 
 
 def page_rank(
     vertices: DataFrame, edges: DataFrame, tolerance: float = 0.1, reset: float = 0.15
 ) -> DataFrame:
-    """(vertex, rank) for every vertex; the ranks sum to the number of vertices.
+    """(vertex, rank) for every vertex and route end; the ranks sum to their number.
 
     A vertex whose rank last grew by more than ``tolerance`` hands the growth on along
     its out-edges, each parallel edge counting. Parallel edges are kept as one edge
@@ -23,8 +23,11 @@ def page_rank(
     degrees = layout.edges.groupBy(F.col("src").alias("vertex")).agg(
         F.sum("copies").alias("out_degree")
     )
+    ends = layout.edges.select(F.explode(F.array("src", "dst")).alias("vertex"))
     start = (
         vertices.select(F.col("code").alias("vertex"))
+        .unionAll(ends)
+        .distinct()
         .join(degrees, "vertex", "left")
         .select(
             "vertex",
@@ -61,6 +64,6 @@ def page_rank(
 
 def top_ranked(graph: RouteGraph, tolerance: float = 0.1, rows: int | None = 10) -> DataFrame:
     """The known airports with the highest ranks; unknown route ends take part in ranking."""
-    ranks = page_rank(all_codes(graph), graph.routes, tolerance)
+    ranks = page_rank(graph.airports.select("code"), graph.routes, tolerance)
     values = ranks.select(F.col("vertex").alias("code"), F.col("rank").alias("score"))
     return ranked(known_only(values, graph), F.col("score").desc(), rows)

@@ -56,6 +56,10 @@ def _split_key() -> Column:
     return F.expr(sql.SPLIT_KEY)
 
 
+def _second_key() -> Column:
+    return F.expr(sql.SECOND_KEY.format(div="div"))
+
+
 def _as_csv(table: DataFrame) -> str:
     path = new_folder(table.sparkSession)
     table.write.option("header", True).csv(path)
@@ -301,8 +305,8 @@ def top_outgoing(spark, sf):
 
 @query(
     "cheapest_routes",
-    f"""WITH {sql.GRAPH} SELECT src, dst, 50 + distance / 2 AS cost FROM routes
-    ORDER BY cost, src, dst LIMIT 10""",
+    f"""WITH {sql.GRAPH} SELECT row_number() OVER (ORDER BY cost, src, dst) AS rank, src, dst, cost
+    FROM (SELECT src, dst, 50 + distance / 2 AS cost FROM routes) ORDER BY rank LIMIT 10""",
 )
 def cheapest_routes(spark, sf):
     return graph.cheapest_routes(_graph(spark, sf))
@@ -368,8 +372,8 @@ def sssp_paths(spark, sf):
 @query(
     "cheapest_paths",
     f"""WITH RECURSIVE {sql.TREE}
-    SELECT vertex, path, cost FROM paths JOIN settled USING (vertex)
-    WHERE stops_on_path > 2 ORDER BY cost, vertex LIMIT 10""",
+    SELECT row_number() OVER (ORDER BY cost, vertex) AS rank, vertex, path, cost
+    FROM paths JOIN settled USING (vertex) WHERE stops_on_path > 2 ORDER BY rank LIMIT 10""",
 )
 def cheapest_paths(spark, sf):
     return paths.cheapest_multi_hop_paths(_hop_graph(spark, sf), SOURCE)
@@ -378,7 +382,8 @@ def cheapest_paths(spark, sf):
 @query(
     "cheapest_airports",
     f"""WITH RECURSIVE {sql.FROM_SOURCE}
-    SELECT vertex AS code, cost FROM settled ORDER BY cost, vertex LIMIT 10""",
+    SELECT row_number() OVER (ORDER BY cost, vertex) AS rank, vertex AS code, cost
+    FROM settled ORDER BY rank LIMIT 10""",
 )
 def cheapest_airports(spark, sf):
     return paths.cheapest_airports(_hop_graph(spark, sf), SOURCE)
@@ -393,10 +398,18 @@ def landmark_costs(spark, sf):
     return paths.costs_to_landmarks(hops.airports, graph.route_costs(hops.routes), LANDMARKS)
 
 
-@query("landmark_maps")
+@query(
+    "landmark_maps",
+    f"""WITH RECURSIVE {sql.TO_LANDMARKS}
+    SELECT code AS vertex, coalesce(string_agg(landmark || '=' || cost, ',' ORDER BY landmark), '') AS costs
+    FROM stops LEFT JOIN settled ON vertex = code GROUP BY code""",
+)
 def landmark_maps(spark, sf):
+    """Each vertex's map, its entries in order as text."""
     hops = _hop_graph(spark, sf)
-    return paths.landmark_maps(hops.airports, graph.route_costs(hops.routes), LANDMARKS)
+    maps = paths.landmark_maps(hops.airports, graph.route_costs(hops.routes), LANDMARKS)
+    entries = F.transform(F.array_sort(F.map_entries("costs")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return maps.select("vertex", F.array_join(entries, ",").alias("costs"))
 
 
 @query(
@@ -442,6 +455,56 @@ def class_balance(spark, sf):
     return prep.class_balance(_labelled(spark, sf))
 
 
+@query(
+    "rejected_delays",
+    f"""WITH {sql.DIRTY} SELECT count(*) FILTER (DepDelay < 0) AS negative,
+    count(*) FILTER (isnan(DepDelay)) AS nan, count(*) FILTER (DepDelay IS NULL) AS missing,
+    count(*) AS total FROM dirty""",
+)
+def rejected_delays(spark, sf):
+    return prep.rejected_delays(testviews.dirty_flights(spark, sf))
+
+
+def _dirty_labelled(spark: SparkSession, sf: str) -> DataFrame:
+    return prep.label_delays(testviews.dirty_flights(spark, sf), invalid="skip")
+
+
+@query("delay_label_dirty", f"WITH {sql.DIRTY_LABELLED} SELECT num, no, DepDelay, label FROM labelled")
+def delay_label_dirty(spark, sf):
+    return _dirty_labelled(spark, sf).select("num", "no", "DepDelay", "label")
+
+
+@query("label_counts_dirty", f"WITH {sql.DIRTY_LABELLED} SELECT label, count(*) AS n FROM labelled GROUP BY label")
+def label_counts_dirty(spark, sf):
+    return prep.label_counts(_dirty_labelled(spark, sf))
+
+
+@query(
+    "class_balance_dirty",
+    f"""WITH {sql.DIRTY_LABELLED}, {_BALANCE}
+    SELECT late, total, ratio, least(1, ratio) AS fraction FROM ratios""",
+)
+def class_balance_dirty(spark, sf):
+    return prep.class_balance(_dirty_labelled(spark, sf))
+
+
+@query(
+    "rejected_flights_dirty",
+    f"WITH {sql.DIRTY} SELECT count(*) FILTER ({sql.NO_ROUTE}) AS rejected FROM dirty",
+)
+def rejected_flights_dirty(spark, sf):
+    return graph.rejected_flights(testviews.dirty_flights(spark, sf))
+
+
+@query(
+    "graph_edges_dirty",
+    f"""WITH {sql.DIRTY} SELECT DISTINCT Origin AS src, Dest AS dst, Distance AS distance
+    FROM dirty WHERE NOT ({sql.NO_ROUTE})""",
+)
+def graph_edges_dirty(spark, sf):
+    return graph.routes(testviews.dirty_flights(spark, sf))
+
+
 @query("stratified_sample")
 def stratified_sample(spark, sf):
     return prep.stratified_sample(_labelled(spark, sf))
@@ -463,6 +526,17 @@ def balanced_by_key(spark, sf):
     return sample.select("num", "no", "DepDelay", "label")
 
 
+@query(
+    "stratified_by_key",
+    f"""WITH {sql.LABELLED}, {_BALANCE}
+    SELECT num, no, DepDelay, label FROM labelled, ratios
+    WHERE label IS NOT NULL AND ({sql.SPLIT_KEY}) % 1000 < least(1, ratio) * 1000""",
+)
+def stratified_by_key(spark, sf):
+    sample = prep.stratified_by_key(_labelled(spark, sf), _split_key())
+    return sample.select("num", "no", "DepDelay", "label")
+
+
 @query("random_split")
 def random_split(spark, sf):
     train, test = prep.random_split(_labelled(spark, sf))
@@ -492,12 +566,22 @@ def assemble_features(spark, sf):
     return rows.select("num", "no", "label", *[features[i].alias(f"f{i}") for i in range(7)])
 
 
+@query(
+    "split_counts",
+    f"""WITH {sql.LABELLED} SELECT CASE WHEN ({sql.SPLIT_KEY}) % 1000 < 700 THEN 'train' ELSE 'test' END AS part,
+    label, count(*) AS n FROM labelled GROUP BY ALL""",
+)
+def split_counts(spark, sf):
+    split = prep.split_by_key(_labelled(spark, sf), _split_key())
+    return split.groupBy("part", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- learners ---
 
 
 def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
-    inputs = [*prep.STRING_COLUMNS, *prep.NUMERIC_COLUMNS, "label"]
-    return prep.stratified_sample(write_table(_labelled(spark, sf).select(*inputs)))
+    inputs = [*prep.STRING_COLUMNS, *prep.NUMERIC_COLUMNS, "label", "num", "no"]
+    return prep.stratified_by_key(write_table(_labelled(spark, sf).select(*inputs)), _split_key())
 
 
 def _scores(name: str) -> Query:
@@ -522,9 +606,26 @@ query("gbt_scores")(_scores("Gradient-Boosted Tree"))
 
 @query("cv_grid")
 def cv_grid(spark, sf):
-    """A grid of two depths; the tuned grids are the callers' choice by ``tune``."""
-    grid = {"maxBins": (learn.TREE_BINS,), "maxDepth": (2, 5)}
-    return learn.train("Decision Tree", _training_rows(spark, sf), grid=grid).grid
+    """All points of the tree's tuned grid."""
+    return learn.train("Decision Tree", _training_rows(spark, sf), tune=True).grid
+
+
+@query("scored_rows")
+def scored_rows(spark, sf):
+    """The test rows with their keys, predictions and scores."""
+    trained = learn.train("Naive Bayes", _training_rows(spark, sf), keys=("num", "no"), draw=_second_key())
+    return trained.predictions
+
+
+@query(
+    "scored_row_keys",
+    f"""WITH {sql.LABELLED}, {_BALANCE}
+    SELECT num, no, label FROM labelled, ratios WHERE label IS NOT NULL
+    AND ({sql.SPLIT_KEY}) % 1000 < least(1, ratio) * 1000 AND ({sql.SECOND_KEY.format(div="//")}) % 1000 >= 700""",
+)
+def scored_row_keys(spark, sf):
+    """Which rows are scored, and their labels."""
+    return scored_rows(spark, sf).select("num", "no", "label")
 
 
 @query("feature_importance")

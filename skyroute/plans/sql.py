@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from skyroute.schema import LINE
 
-# Rounds the recursive queries run; further rounds change nothing once costs settle.
+# Rounds the recursive queries run; they fail if the last one still changed something.
 COST_ROUNDS = 24
 RANK_ROUNDS = 8
 
@@ -47,8 +47,25 @@ TRIPLETS = """triplets AS (
 
 GRAPH = f"{FLIGHTS}, {ROUTES}, {AIRPORTS}"
 
-LABELLED = f"""{FLIGHTS}, labelled AS (
+DIRTY = f"""{FLIGHTS}, dirty AS (
+ SELECT * REPLACE (
+  CASE WHEN bad <> 0 THEN Origin END AS Origin, CASE WHEN bad <> 1 THEN Dest END AS Dest,
+  CASE WHEN bad = 3 THEN CAST('NaN' AS DOUBLE) WHEN bad <> 2 THEN Distance END AS Distance,
+  CASE WHEN bad = 4 THEN -DepDelay WHEN bad = 5 THEN CAST('NaN' AS DOUBLE)
+       WHEN bad <> 6 THEN DepDelay END AS DepDelay)
+ FROM (SELECT *, (num * 7 + no) % 23 AS bad FROM flights))"""
+
+NO_ROUTE = "Origin IS NULL OR Dest IS NULL OR Distance IS NULL OR isnan(Distance)"
+
+DIRTY_LABELLED = f"""{DIRTY}, labelled AS (
  SELECT *, CASE WHEN DepDelay < 40 THEN CAST(0 AS DOUBLE)
+                WHEN DepDelay >= 40 THEN CAST(1 AS DOUBLE) END AS label
+ FROM dirty WHERE DepDelay IS NULL OR NOT (DepDelay < 0 OR isnan(DepDelay)))"""
+
+# A negative or NaN delay fails here as it does in the query.
+LABELLED = f"""{FLIGHTS}, labelled AS (
+ SELECT *, CASE WHEN DepDelay < 0 OR isnan(DepDelay) THEN CAST(error('no bucket for a delay') AS DOUBLE)
+                WHEN DepDelay < 40 THEN CAST(0 AS DOUBLE)
                 WHEN DepDelay >= 40 THEN CAST(1 AS DOUBLE) END AS label FROM flights)"""
 
 HOPS = """hops AS (
@@ -70,6 +87,9 @@ SCORED = """scored AS (
 
 SPLIT_KEY = "CAST(num AS BIGINT) * 7919 + CAST(no AS BIGINT) * 104729 + CAST(FlightNum AS BIGINT) * 31"
 
+# Another draw from the same key, for the split of a sample that was drawn by it.
+SECOND_KEY = f"({SPLIT_KEY}) {{div}} 1000"
+
 PROJECTED = ", ".join(f"{f.name.lower()} AS {f.name}" for f in LINE)
 
 
@@ -84,7 +104,13 @@ relaxed AS (
  SELECT round + 1, steps.dst, {keys} min(relaxed.cost + steps.cost)
  FROM relaxed JOIN steps ON steps.src = relaxed.vertex
  WHERE round < {COST_ROUNDS} GROUP BY ALL),
-settled AS (SELECT * EXCLUDE (round) FROM relaxed WHERE round = {COST_ROUNDS})"""
+changed AS (
+ SELECT count(*) AS n FROM (
+  SELECT * EXCLUDE (round) FROM relaxed WHERE round = {COST_ROUNDS}
+  EXCEPT SELECT * EXCLUDE (round) FROM relaxed WHERE round = {COST_ROUNDS} - 1)),
+settled AS (
+ SELECT relaxed.* EXCLUDE (round) FROM relaxed, changed WHERE round = {COST_ROUNDS}
+  AND CASE WHEN n > 0 THEN CAST(error('costs need more rounds') AS BOOLEAN) ELSE true END)"""
 
 
 FROM_SOURCE = f"""{HOPS}, {cost_rounds(
@@ -127,7 +153,8 @@ rounds AS (
  WHERE round < {RANK_ROUNDS} GROUP BY round, dst),
 ranks AS (
  SELECT vertex, rank * count(*) OVER () / sum(rank) OVER () AS rank
- FROM rounds WHERE round = {RANK_ROUNDS})"""
+ FROM rounds WHERE round = {RANK_ROUNDS}
+  AND CASE WHEN delta > {tolerance} THEN CAST(error('ranks need more rounds') AS BOOLEAN) ELSE true END)"""
 
 
 # Figures of the 2 x 2 confusion counts.

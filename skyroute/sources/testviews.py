@@ -62,6 +62,18 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dirty_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``flights`` where fixed rows miss an end or a distance, or have a bad delay."""
+    bad = F.expr("(num * 7 + no) % 23")
+    changes = {
+        "Origin": F.when(bad != 0, F.col("Origin")),
+        "Dest": F.when(bad != 1, F.col("Dest")),
+        "Distance": F.when(bad == 3, float("nan")).when(bad != 2, F.col("Distance")),
+        "DepDelay": F.when(bad == 4, -F.col("DepDelay")).when(bad == 5, float("nan")).when(bad != 6, F.col("DepDelay")),
+    }
+    return flights(spark, sf_dir).withColumns(changes)
+
+
 def hops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct (src, dst, dist): each part of an order leads to the order's next part.
 

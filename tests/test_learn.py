@@ -81,6 +81,52 @@ def test_tuned_grids_have_the_reference_sizes():
     assert sizes == {"Decision Tree": 12, "Linear SVC": 9, "Random Forest": 12}
 
 
+@pytest.mark.parametrize("name", ["Decision Tree", "Linear SVC", "Random Forest"])
+def test_tuned_grids_run(labelled, name):
+    result = learn.train(name, labelled.limit(200), tune=True)
+    assert result.grid.count() == {"Linear SVC": 9}.get(name, 12)
+
+
+def test_predictions_carry_keys_and_don_t_depend_on_layout(labelled):
+    keyed = labelled.withColumn("id", F.xxhash64(*labelled.columns))
+    one = learn.train("Naive Bayes", keyed.repartition(1), keys=["id"]).predictions
+    many = learn.train("Naive Bayes", keyed.repartition(7), keys=["id"]).predictions
+    assert one.columns == ["id", "label", "prediction", "score"]
+    assert rows(one.select("id", "label", "prediction"), "id") == rows(many.select("id", "label", "prediction"), "id")
+    assert one.count() == learn.train("Naive Bayes", keyed, keys=["id"]).splits.filter("part = 'test'").agg(F.sum("n")).first()[0]
+
+
+def test_same_tree_as_with_labels_on_the_driver(labelled):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.feature import StringIndexer
+
+    columns = list(prep.STRING_COLUMNS)
+    indexer = StringIndexer(inputCols=columns, outputCols=[f"Indexed{c}" for c in columns], handleInvalid="keep")
+    tree = DecisionTreeClassifier(labelCol="label", featuresCol="features", maxBins=learn.TREE_BINS)
+    plain = Pipeline(stages=[indexer, prep.assembler(), tree]).fit(labelled).stages[-1]
+    ours = learn.best_stages(learn.fit("Decision Tree", labelled, grid={"maxBins": (learn.TREE_BINS,)}))[-1]
+    assert ours.toDebugString.split("\n", 1)[1] == plain.toDebugString.split("\n", 1)[1]
+
+
+@pytest.mark.parametrize("name", ["Naive Bayes", "Linear SVC"])
+def test_many_categories(spark, name):
+    wide = spark.range(200_000).select(
+        F.col("id").cast("string").alias("FlightNum"), (F.col("id") % 7).cast("string").alias("TailNum"),
+        *[(F.col("id") % 1440).cast("double").alias(c) for c in prep.NUMERIC_COLUMNS],
+        (F.col("id") % 2).cast("double").alias("label"),
+    )
+    grid = {"maxIter": (2,)} if name == "Linear SVC" else None
+    fitted = learn.fit(name, wide, grid=grid)
+    assert fitted.dictionaries["FlightNum"].size == 200_000
+    assert learn.score(fitted, wide).filter("prediction IN (0, 1)").count() == 200_000
+
+
+def test_plain_positions_instead_of_categories(labelled):
+    fitted = learn.fit("Decision Tree", labelled, grid={"maxBins": (8,), "maxDepth": (2,)}, nominal=())
+    assert learn.score(fitted, labelled).count() == 1500
+
+
 def test_unknown_learner(labelled):
     with pytest.raises(ValueError, match="unknown learner"):
         learn.fit("Perceptron", labelled)

@@ -27,16 +27,17 @@ def test_paths_from_a(spark):
         "D": (275.0, ["A", "B", "C", "D"]),
     }
     assert rows(paths.cheapest_multi_hop_paths(a, "A")) == [
-        ("C", "A->B->C", 200.0), ("D", "A->B->C->D", 275.0),
+        (1, "C", "A->B->C", 200.0), (2, "D", "A->B->C->D", 275.0),
     ]
+    assert rows(paths.cheapest_multi_hop_paths(a, "A", 1)) == [(1, "C", "A->B->C", 200.0)]
 
 
 def test_cheapest_airports_limit_before_filter(spark):
     a = graph_a(spark)
-    assert rows(paths.cheapest_airports(a, "A", 2)) == [("A", 0.0), ("B", 100.0)]
+    assert rows(paths.cheapest_airports(a, "A", 2)) == [(1, "A", 0.0), (2, "B", 100.0)]
     partial = graph.RouteGraph(a.airports.filter("code <> 'B'"), a.routes)
-    assert rows(paths.cheapest_airports(partial, "A", 3)) == [("A", 0.0), ("C", 200.0)]
-    assert rows(paths.cheapest_airports(a, "A"))[-1] == ("E", INF)
+    assert rows(paths.cheapest_airports(partial, "A", 3)) == [(1, "A", 0.0), (2, "C", 200.0)]
+    assert rows(paths.cheapest_airports(a, "A"))[-1] == (5, "E", INF)
 
 
 def test_unknown_source(spark):
@@ -217,6 +218,13 @@ def test_top_ranked_drops_unknown_airports_before_the_limit(spark):
     assert abs(top[0][2] - RANKS_01[3]) < 1e-6
 
 
+def test_page_rank_with_unlisted_ends(spark):
+    a = graph_a(spark)
+    whole = dict(rows(ranks.page_rank(a.airports, a.routes, 0.01)))
+    partial = dict(rows(ranks.page_rank(a.airports.filter("code < 'C'"), a.routes, 0.01)))
+    assert partial == pytest.approx(whole)
+
+
 def test_round_limit(spark):
     chain = spark.createDataFrame([(i, i + 1, 1.0) for i in range(6)], "src LONG, dst LONG, edge_cost DOUBLE")
     layout = propagate.lay_out(chain)

@@ -19,10 +19,13 @@ def test_labels(spark):
 @pytest.mark.parametrize("bad", [-3.0, float("nan")])
 def test_invalid_delays(spark, bad):
     df = delays(spark, [5.0, bad, None])
-    assert prep.label_delays(df).count() == 2
+    assert prep.label_delays(df, invalid="skip").count() == 2
     with pytest.raises(Exception, match="negative or NaN"):
-        prep.label_delays(df, invalid="error").collect()
-    assert prep.label_delays(delays(spark, [5.0, None]), invalid="error").count() == 2
+        prep.label_delays(df).collect()
+    with pytest.raises(ValueError, match="skip or error"):
+        prep.label_delays(df, invalid="drop")
+    assert prep.label_delays(delays(spark, [5.0, None])).count() == 2
+    assert rows(prep.rejected_delays(df)) == [(int(bad < 0), int(bad != bad), 1, 3)]
 
 
 def test_balance_counts_null_labels_as_others(spark):

@@ -21,7 +21,7 @@ def test_contract():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert sorted(set(catalog.QUERIES) - set(catalog.ORACLES)) == [
         "balanced_sample", "cv_grid", "dt_scores", "feature_importance", "gbt_scores",
-        "landmark_maps", "nb_scores", "random_split", "rf_scores", "stratified_sample",
+        "nb_scores", "random_split", "rf_scores", "scored_rows", "stratified_sample",
         "svc_scores",
     ]
 
