@@ -19,6 +19,7 @@ HEADLINE = (
     "top_incoming", "top_outgoing", "top_pagerank", "pagerank_hops", "sssp_costs",
     "cheapest_paths", "landmark_costs", "class_balance", "string_index",
     "assemble_features", "metrics_report", "roc_curve", "nb_scores", "dt_scores",
+    "svc_scores", "rf_scores", "gbt_scores", "cv_grid",
 )
 
 

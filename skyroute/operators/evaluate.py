@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyroute.functions.ordered import number_rows, running_totals
+from skyroute.functions.scratch import write_table
 
 CLASSES = (0.0, 1.0)
 
@@ -99,10 +100,11 @@ def thresholds(tallied: DataFrame, bins: int = 0) -> DataFrame:
                 F.sum("positives").alias("positives"),
                 F.sum("negatives").alias("negatives"),
             ).drop("run")
+    by_score = write_table(by_score)
     points = running_totals(
         by_score, [F.col("threshold").desc()], {"tp": "positives", "fp": "negatives"}
     )
-    whole = points.agg(
+    whole = by_score.agg(
         F.coalesce(F.sum("positives"), F.lit(0)), F.coalesce(F.sum("negatives"), F.lit(0))
     ).first()
     return points.withColumn("all_positives", F.lit(whole[0])).withColumn(
