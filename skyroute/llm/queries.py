@@ -92,7 +92,9 @@ QUERIES = {
     "op10_suffix_array": suffix_array,
 }
 ORACLES = {
+    "op1_license_scan": sql.license_sql(),
     "op2_quality_rules": sql.QUALITY_RULES,
+    "op4_minhash_decontamination": sql.CONTAINMENT,
     "op5_recompression": sql.REPEATS,
     "op6_chat_formatting": sql.CHAT_FORMATTING,
     "op10_suffix_array": sql.REPEATS,

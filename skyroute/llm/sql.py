@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyroute.llm import rules
+from skyroute.llm import licenses, rules
 
 _STOP = ", ".join("'" + w + "'" for w in rules.STOP_WORDS)
 
@@ -83,3 +83,65 @@ SELECT doc_id, len(words) AS n_words, coalesce(len(ps), 0) AS n_removed,
     ELSE array_to_string(list_filter(words, lambda x, i: NOT list_contains(ps, i)), ' ') END) AS kept_sha256
 FROM w LEFT JOIN removed USING (rid)
 """
+
+_ALNUM = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+def license_sql(templates: tuple[licenses.Template, ...] = licenses.TEMPLATES) -> str:
+    grams = ", ".join(f"({t}, {q}, '{g}')" for t, x in enumerate(templates) for q, g in enumerate(x.grams()))
+    about = ", ".join(f"({t}, '{x.label}', {x.base}, {len(x.words)}, {x.slack})" for t, x in enumerate(templates))
+    return f"""
+WITH t(template, q, gram) AS (VALUES {grams}),
+about(template, label, base, size, slack) AS (VALUES {about}),
+w AS (SELECT row_number() OVER () AS rid, doc_id, {_ALNUM} AS words FROM documents),
+g AS (
+  SELECT rid, p, words[p + 1] || ' ' || words[p + 2] || ' ' || words[p + 3] AS gram
+  FROM (SELECT rid, words, unnest(range(len(words) - 2)) AS p FROM w WHERE len(words) > 2)
+), v AS (
+  SELECT rid, template, p - q AS diagonal, min(q) AS first_q, list(q) AS qs
+  FROM g JOIN t USING (gram) GROUP BY ALL
+), apart AS (
+  SELECT v.*, CASE WHEN diagonal - lag(diagonal) OVER along <= slack THEN 0 ELSE 1 END AS far
+  FROM v JOIN about USING (template) WINDOW along AS (PARTITION BY rid, template ORDER BY diagonal)
+), merged AS (
+  SELECT rid, template, min(diagonal + first_q) AS first_word, list_distinct(flatten(list(qs))) AS qs
+  FROM (SELECT *, sum(far) OVER (PARTITION BY rid, template ORDER BY diagonal) AS part FROM apart)
+  GROUP BY rid, template, part
+), spans AS (
+  SELECT *, CASE WHEN base THEN covered = 1 ELSE covered >= {licenses.COVERED} END AS verified FROM (
+    SELECT rid, label, base, first_word,
+      len(list_distinct(flatten(list_transform(qs, lambda q: range(q, q + 3))))) / size AS covered
+    FROM merged JOIN about USING (template))
+), found AS (
+  SELECT rid, count(*) FILTER (base AND verified) AS n_base,
+    min(first_word) FILTER (base AND verified) AS first_word, max(first_word) FILTER (base AND verified) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base AND verified) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (verified) AS labels, max(covered) AS score
+  FROM spans GROUP BY rid
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+  CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM w LEFT JOIN found USING (rid)
+"""
+
+
+_SHINGLES = """CASE WHEN len(words) >= 5
+  THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i : i + 4], ' '))
+  WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END"""
+
+CONTAINMENT = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_ALNUM} AS words FROM (SELECT DISTINCT doc_id, text FROM documents)
+), i AS (
+  SELECT row_number() OVER () AS iid, item_id, {_ALNUM} AS words FROM benchmark
+), parts AS (
+  SELECT DISTINCT rid, doc_id, unnest({_SHINGLES}) AS s FROM d
+), items AS (
+  SELECT DISTINCT iid, item_id, unnest({_SHINGLES}) AS s FROM i
+), sized AS (SELECT *, count(*) OVER (PARTITION BY iid) AS n_item FROM items)
+SELECT doc_id, item_id, n_item, count(*) AS n_shared, count(*) / n_item AS containment
+FROM parts JOIN sized USING (s) GROUP BY rid, doc_id, iid, item_id, n_item
+HAVING count(*) / n_item >= 0.8
+"""
