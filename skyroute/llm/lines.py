@@ -8,9 +8,12 @@ distance over the longer length) is at least ``SIMILARITY``. Linked and equal li
 groups, and only the occurrence in the smallest (doc_id, place) stays.
 
 A SimHash is cut into ``BLOCKS`` blocks. Two that differ in at most ``DISTANCE`` bits agree
-in ``BLOCKS - DISTANCE`` blocks, so each choice of so many blocks is a join key. Distinct
-SimHashes are joined, never lines, and the words of a line travel only if its SimHash
-has a partner.
+in ``BLOCKS - DISTANCE`` blocks, so each choice of so many blocks is a key to meet at.
+First the distinct SimHashes meet, to find those with a partner; only the forms of these
+go on. A group of many similar lines is not compared pair by pair: at each key, forms that
+are still free are tied to the most frequent free one in reach, and these few pairs are
+verified. What remains are pairs in reach whose ends are not connected by then; all of
+them are verified, so no connection is lost.
 
 Defined cases: null and empty texts, and lines without words, are left as they are; rows
 equal in doc_id and text are one document and keep the same lines; a null ``doc_id`` is
@@ -19,6 +22,7 @@ smallest; a text whose lines all go becomes empty; other columns pass unchanged.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -34,7 +38,8 @@ from skyroute.llm.text import ALNUM, FOLD_DIGITS, PRIMARY, SECOND, U64, Slots, m
 DISTANCE = 3
 SIMILARITY = 0.8
 BLOCKS = 5
-_STEP = 1 << 15  # lines whose bits are counted at once
+# A byte's bits, one in each byte of an integer.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(U64)[:, 0]
 
 
 def _line_words(texts: pa.Array):
@@ -55,14 +60,23 @@ def _line_words(texts: pa.Array):
 
 
 def simhashes(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Bits set in more than half of the words of each span; spans follow each other."""
-    out = np.empty(len(lo), U64)
-    for at in range(0, len(lo), _STEP):
-        a, b = lo[at : at + _STEP], hi[at : at + _STEP]
-        bits = np.unpackbits(hashes[a[0] : b[-1]].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts = np.add.reduceat(bits, a - a[0], axis=0, dtype=np.int32)
-        out[at : at + _STEP] = np.packbits(2 * counts > (b - a)[:, None], axis=1, bitorder="little").view(U64)[:, 0]
-    return out
+    """Bits set in more than half of the words of each span; spans follow each other.
+
+    Eight counters of eight bits share an integer, so spans are counted in parts of 255.
+    """
+    if not len(lo):
+        return np.zeros(0, U64)
+    parts = -(-(hi - lo) // 255)
+    first = np.cumsum(parts) - parts
+    starts = np.repeat(lo - 255 * first, parts) + 255 * np.arange(int(parts.sum())) - lo[0]
+    lanes = np.ascontiguousarray(hashes[lo[0] : hi[-1]]).view(np.uint8).reshape(-1, 8)
+    counts = np.empty((len(starts), 64), np.int32)
+    for lane in range(8):
+        sums = np.add.reduceat(_SPREAD[lanes[:, lane]], starts)
+        counts[:, 8 * lane : 8 * lane + 8] = sums.view(np.uint8).reshape(-1, 8)
+    if len(starts) > len(lo):
+        counts = np.add.reduceat(counts, first, axis=0)
+    return np.packbits(2 * counts > (hi - lo)[:, None], axis=1, bitorder="little").view(U64)[:, 0]
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,27 +84,27 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, row, place, hashes, lo, hi, words in _line_words(batch.column(1)):
             if not len(row):
                 continue
-            second = words.hashes(FOLD_DIGITS, SECOND)
             keys = batch.select([0, 2]).take(pa.array(first + row))
             yield pa.RecordBatch.from_arrays(
                 [
                     *keys.columns,
                     pa.array(place.astype(np.int32)),
                     signed(mix(PRIMARY.spans(hashes, lo, hi))),
-                    signed(mix(SECOND.spans(second, lo, hi))),
+                    signed(mix(SECOND.spans(hashes, lo, hi))),
                     signed(simhashes(hashes, lo, hi)),
+                    pa.array((hi - lo).astype(np.int32)),
                 ],
-                ["doc_id", "text_hash", "place", "a", "b", "sim"],
+                ["doc_id", "text_hash", "place", "a", "b", "sim", "size"],
             )
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, place, a, b, sim`` of every line with words; a, b name its form."""
+    """``doc_id, text_hash, place, a, b, sim, size`` of lines with words; a, b name the form."""
     small_batches(docs.sparkSession)
     key = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     return texts.mapInArrow(
-        _occurrences, f"doc_id {key}, text_hash long, place int, a long, b long, sim long"
+        _occurrences, f"doc_id {key}, text_hash long, place int, a long, b long, sim long, size int"
     )
 
 
@@ -105,12 +119,74 @@ def _block_keys(sim: Column, distance: int, blocks: int) -> Column:
     return F.array(*keys)
 
 
-def close_simhashes(sims: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
-    """Pairs ``s < t`` of the distinct values ``sim`` with at most ``distance`` bits."""
-    keyed = sims.select("sim", F.explode(_block_keys(F.col("sim"), distance, blocks)).alias("key"))
-    left, right = keyed.withColumnRenamed("sim", "s"), keyed.withColumnRenamed("sim", "t")
-    close = F.bit_count(F.col("s").bitwiseXOR(F.col("t"))) <= distance
-    return left.join(right, "key").filter((F.col("s") < F.col("t")) & close).select("s", "t").distinct()
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Sorted rows in tables of whole keys, with the bounds of keys of two rows or more."""
+
+    def cut(rows: pa.Table, bounds: np.ndarray):
+        some = np.diff(bounds) > 1
+        return rows, bounds[:-1][some], bounds[1:][some]
+
+    rest = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if rest and batch.column("key")[-1] == rest[0].column("key")[-1]:
+            rest.append(batch)
+            continue
+        rows = pa.Table.from_batches([*rest, batch])
+        key = rows.column("key").to_numpy()
+        bounds = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        yield cut(rows.slice(0, bounds[-1]), bounds)
+        rest = rows.slice(bounds[-1]).to_batches()
+    if rest:
+        rows = pa.Table.from_batches(rest)
+        yield cut(rows, np.array([0, rows.num_rows]))
+
+
+def _with_partner(distance: int):
+    """SimHashes with another one in reach at some key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, begins, ends in _by_key(batches):
+            sims = rows.column("sim").to_numpy().view(U64)
+            told = np.zeros(len(sims), bool)
+            two = begins[ends - begins == 2]
+            near = np.bitwise_count(sims[two] ^ sims[two + 1]) <= distance
+            told[two[near]] = told[two[near] + 1] = True
+            for b, e in zip(begins[ends - begins > 2], ends[ends - begins > 2]):
+                own, step = sims[b:e], max(1, (1 << 20) // (e - b))
+                for i in range(0, e - b, step):
+                    near = np.bitwise_count(own[i : i + step, None] ^ own) <= distance
+                    told[b + i : b + i + len(near)] = near.sum(axis=1) > 1
+            yield pa.RecordBatch.from_arrays([signed(sims[told])], ["sim"])
+
+    return run
+
+
+def _ties(distance: int, similarity: float):
+    """Pairs of each free form in reach with the first free form of its key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, begins, ends in _by_key(batches):
+            sims, size = rows.column("sim").to_numpy().view(U64), rows.column("size").to_numpy()
+            heads, members = [], []
+            for b, e in zip(begins, ends):
+                free = np.arange(b, e)
+                while len(free) > 1:
+                    head, rest = free[0], free[1:]
+                    near = np.bitwise_count(sims[rest] ^ sims[head]) <= distance
+                    near &= np.minimum(size[rest], size[head]) >= similarity * np.maximum(size[rest], size[head])
+                    members.append(rest[near])
+                    heads.append(np.full(len(members[-1]), head))
+                    free = rest[~near]
+            if heads:
+                x, y = pa.array(np.concatenate(heads)), pa.array(np.concatenate(members))
+                form = pa.StructArray.from_arrays(
+                    [rows.column(c).combine_chunks() for c in ("a", "b")], ["a", "b"]
+                )
+                yield pa.RecordBatch.from_arrays([form.take(x), form.take(y)], ["x", "y"])
+
+    return run
 
 
 def edit_distance(a: list, b: list) -> int:
@@ -134,37 +210,39 @@ def edit_distance(a: list, b: list) -> int:
     return score
 
 
-def similar(a: list, b: list, least: float) -> bool:
-    longest = max(len(a), len(b))
-    if min(len(a), len(b)) < least * longest:
+def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    longest, shortest = max(len(a), len(b)), min(len(a), len(b))
+    if shortest < least * longest:
+        return False
+    differ = np.flatnonzero(a[:shortest] != b[:shortest])
+    if not len(differ):
+        return True  # one begins with the other
+    a, b = a[differ[0] :], b[differ[0] :]
+    shortest = min(len(a), len(b))
+    differ = np.flatnonzero(a[::-1][:shortest] != b[::-1][:shortest])
+    end = differ[0] if len(differ) else shortest
+    a, b = a[: len(a) - end].tolist(), b[: len(b) - end].tolist()
+    # The distance is at least the number of words without a counterpart anywhere.
+    common = (Counter(a) & Counter(b)).total()
+    if longest - (max(len(a), len(b)) - common) < least * longest:
         return False
     return longest - edit_distance(a, b) >= least * longest
 
 
 def _forms(wanted: Slots):
-    """The words of lines whose SimHash may have a partner, once per batch and form."""
+    """The words of lines whose form is perhaps wanted, once per piece and form."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, _, hashes, lo, hi, words in _line_words(batch.column(0)):
-                sims = simhashes(hashes, lo, hi)
-                some = np.flatnonzero(wanted.has(mix(sims)))
-                if not len(some):
+            for _, _, _, hashes, lo, hi, _ in _line_words(batch.column(0)):
+                a, once = np.unique(mix(PRIMARY.spans(hashes, lo, hi)), return_index=True)
+                some = wanted.has(a)
+                a, lo, hi = a[some], lo[once[some]], hi[once[some]]
+                if not len(a):
                     continue
-                lo, hi, sims = lo[some], hi[some], sims[some]
-                a = PRIMARY.spans(hashes, lo, hi)
-                _, once = np.unique(a, return_index=True)
-                second = words.hashes(FOLD_DIGITS, SECOND)
-                b = SECOND.spans(second, lo, hi)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        signed(sims[once]),
-                        signed(mix(a[once])),
-                        signed(mix(b[once])),
-                        pa.array([hashes[lo[i] : hi[i]].view(np.int64) for i in once], pa.list_(pa.int64())),
-                    ],
-                    ["sim", "a", "b", "words"],
-                )
+                b = mix(SECOND.spans(hashes, lo, hi))
+                words = pa.array([hashes[i:j].view(np.int64) for i, j in zip(lo, hi)], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([signed(a), signed(b), words], ["a", "b", "words"])
 
     return run
 
@@ -172,47 +250,72 @@ def _forms(wanted: Slots):
 def _verified(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = batch.column("x_words").to_pylist(), batch.column("y_words").to_pylist()
-            same = [similar(a, b, least) for a, b in zip(x, y)]
-            yield batch.select(["x", "y"]).filter(pa.array(same))
+            ends = []
+            for name in ("x_words", "y_words"):
+                column = batch.column(name)
+                ends.append((column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(column.value_lengths())])))
+            (x, i), (y, j) = ends
+            same = [similar(x[i[k] : i[k + 1]], y[j[k] : j[k + 1]], least) for k in range(batch.num_rows)]
+            yield batch.select(["x", "y"]).filter(pa.array(same, pa.bool_()))
 
     return run
 
 
-def links(docs: DataFrame, lines: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY, blocks: int = BLOCKS) -> DataFrame:
-    """Verified links ``x, y`` between line forms ``struct<a, b>`` of ``occurrences``."""
-    forms = lines.groupBy("a", "b").agg(F.first("sim").alias("sim"))
-    sims = write_table(forms.groupBy("sim").agg(F.count("*").alias("forms")))
-    pairs = close_simhashes(sims.select("sim"), distance, blocks)
-    same = sims.filter("forms > 1").select(F.col("sim").alias("s"), F.col("sim").alias("t"))
-    pairs = write_table(pairs.unionAll(same))
-    ends = pairs.select(F.explode(F.array("s", "t")).alias("sim")).distinct()
-    wanted = Slots(_mixed(ends))
-    found = docs.select("text").mapInArrow(_forms(wanted), "sim long, a long, b long, words array<long>")
-    words = write_table(found.join(ends, "sim").dropDuplicates(["a", "b"]))
-    x = words.select(F.col("sim").alias("s"), F.struct("a", "b").alias("x"), F.col("words").alias("x_words"))
-    y = words.select(F.col("sim").alias("t"), F.struct("a", "b").alias("y"), F.col("words").alias("y_words"))
-    met = pairs.join(x, "s").join(y, "t").filter("s <> t or x < y").select("x", "y", "x_words", "y_words")
-    return met.mapInArrow(_verified(similarity), "x struct<a:long,b:long>, y struct<a:long,b:long>")
+def _keyed(table: DataFrame, distance: int, blocks: int) -> DataFrame:
+    return table.withColumn("key", F.explode(_block_keys(F.col("sim"), distance, blocks)))
 
 
-def _mixed(sims: DataFrame) -> DataFrame:
-    """Spread SimHashes over the slots as ``text.mix`` does; similar ones share high bits."""
+def _verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """The ``pairs`` x, y of forms that are similar; a written table."""
+    form = F.struct("a", "b")
+    x = words.select(form.alias("x"), F.col("words").alias("x_words"))
+    y = words.select(form.alias("y"), F.col("words").alias("y_words"))
+    both = pairs.join(x, "x").join(y, "y").select("x", "y", "x_words", "y_words")
+    return write_table(both.mapInArrow(_verified(similarity), "x struct<a:long,b:long>, y struct<a:long,b:long>"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = batch.column(0).to_numpy(zero_copy_only=False).view(U64)
-            yield pa.RecordBatch.from_arrays([signed(mix(values))], ["sim"])
 
-    return sims.select("sim").mapInArrow(run, "sim long")
+def links(docs: DataFrame, forms: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY, blocks: int = BLOCKS) -> DataFrame:
+    """Pairs ``x, y`` of forms that connect what verified links connect, and no more.
+
+    ``forms`` has ``a, b, sim, size, times``, one row per form.
+    """
+    sims = forms.groupBy("sim").agg(F.count("*").alias("n"))
+    met = _keyed(sims.select("sim"), distance, blocks).repartition("key").sortWithinPartitions("key", "sim")
+    partners = met.mapInArrow(_with_partner(distance), "sim long").unionAll(sims.filter("n > 1").select("sim"))
+    wanted = write_table(forms.join(partners.distinct(), "sim"))
+    found = docs.select("text").mapInArrow(_forms(Slots(wanted.select("a"))), "a long, b long, words array<long>")
+    words = found.dropDuplicates(["a", "b"]).join(wanted.select("a", "b"), ["a", "b"])
+    words = write_table(words)
+    keyed = _keyed(wanted, distance, blocks)
+    ranked = keyed.repartition("key").sortWithinPartitions("key", F.desc("times"), "a", "b")
+    ties = ranked.mapInArrow(_ties(distance, similarity), "x struct<a:long,b:long>, y struct<a:long,b:long>")
+    ordered = ties.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    tied = write_table(ordered.distinct())
+    sure = _verify(tied, words, similarity)
+    roots = connect(sure)
+    form = F.struct("a", "b").alias("form")
+    group = wanted.select(form, "sim", "size").join(roots, F.col("form") == F.col("node"), "left")
+    group = write_table(group.select("form", "sim", "size", F.coalesce("root", "form").alias("root")))
+    at = _keyed(group, distance, blocks)
+    x, y = (at.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("form", "sim", "size", "root"))) for side in "xy")
+    reach = F.bit_count(F.col("x_sim").bitwiseXOR(F.col("y_sim"))) <= distance
+    reach &= F.least("x_size", "y_size") >= similarity * F.greatest("x_size", "y_size")
+    open_ = (F.col("x_form") < F.col("y_form")) & (F.col("x_root") != F.col("y_root"))
+    left = x.join(y, "key").filter(open_ & reach).select(F.col("x_form").alias("x"), F.col("y_form").alias("y"))
+    rest = _verify(left.distinct().join(tied, ["x", "y"], "left_anti"), words, similarity)
+    return roots.select(F.col("node").alias("x"), F.col("root").alias("y")).unionAll(rest)
 
 
 def repeated(docs: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY, blocks: int = BLOCKS) -> DataFrame:
     """``doc_id, text_hash, places``: for each text with repeated lines, those to remove."""
     lines = write_table(occurrences(docs))
-    roots = connect(links(docs, lines, distance, similarity, blocks))
     first = F.min(F.struct("doc_id", "text_hash", "place")).alias("first")
-    forms = lines.groupBy(F.struct("a", "b").alias("form")).agg(first, F.count("*").alias("n"))
+    forms = lines.groupBy("a", "b").agg(
+        first, F.count("*").alias("times"), F.first("sim").alias("sim"), F.first("size").alias("size")
+    )
+    forms = write_table(forms)
+    roots = connect(links(docs, forms.drop("first"), distance, similarity, blocks))
+    forms = forms.select(F.struct("a", "b").alias("form"), "first", F.col("times").alias("n"))
     member = forms.join(roots, forms["form"] == roots["node"], "left")
     member = member.select("form", "first", "n", F.coalesce("root", "form").alias("root"))
     groups = member.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("total")).filter("total > 1")
