@@ -40,7 +40,7 @@ class Rule(NamedTuple):
 
 RULES = (
     Rule("word_length", "mean_word_chars", least=1.5, most=20.0),
-    Rule("symbols", "symbols_per_word", most=0.5),
+    Rule("symbols", "symbols_per_word", most=0.3),
     Rule("exclamations", "exclamations_per_word", most=0.5),
     Rule("stop_words", "stop_word_ratio", least=0.005),
     Rule("equal_lines", "dup_line_ratio", most=0.75),

@@ -35,7 +35,7 @@ WITH t AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND word_chars / n_words BETWEEN 1.5 AND 20 AND n_symbols / n_words <= 0.5
+  NOT base_failed AND word_chars / n_words BETWEEN 1.5 AND 20 AND n_symbols / n_words <= 0.3
   AND n_ex / n_words <= 0.5 AND n_stop / n_words >= 0.005 AND n_dup_lines / n_lines <= 0.75
   AND n_ell / n_lines <= 0.5 AND n_bul / n_lines <= 0.95 AS kept
 FROM b
