@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyroute.functions.scratch import write_table
+from skyroute.llm.repeats import checked_broadcast
 from skyroute.llm.text import ALNUM, FOLD, PRIMARY, U64, Slots, Words, mix, small_batches, words_of
 
 SHINGLE = 5
@@ -184,7 +185,7 @@ def search(
 def remove(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, containment: float = CONTAINMENT) -> DataFrame:
     """The rows of ``docs`` that contain no item, with all their columns."""
     bad = search(docs, items, shingle, containment).select("doc_id", "text_hash").distinct()
-    bad = write_table(bad).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    bad = checked_broadcast(write_table(bad)).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     rows = docs.select(F.struct("*").alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("row.text") == F.col("_hash"))
     return rows.join(bad, same, "left_anti").select("row.*")

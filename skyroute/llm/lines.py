@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from skyroute.functions.scratch import write_table
 from skyroute.llm.components import connect
+from skyroute.llm.repeats import checked_broadcast
 from skyroute.llm.text import ALNUM, FOLD_DIGITS, PRIMARY, SECOND, U64, Slots, mix, signed, small_batches, words_of
 
 DISTANCE = 3
@@ -328,6 +329,7 @@ def repeated(docs: DataFrame, distance: int = DISTANCE, similarity: float = SIMI
 def _apply(docs: DataFrame, distance: int, similarity: float, blocks: int) -> DataFrame:
     """``row``, its shortened ``text``, its ``n_lines`` and the ``places`` removed."""
     drop = write_table(repeated(docs, distance, similarity, blocks))
+    drop = checked_broadcast(drop, "places")
     drop = drop.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "places")
     rows = docs.select(F.struct("*").alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("row.text") == F.col("_hash"))

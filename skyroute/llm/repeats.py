@@ -26,12 +26,19 @@ from skyroute.llm.text import PRIMARY, SECOND, Words, signed, small_batches
 
 WINDOW = 50
 BROADCAST_ROWS = 200_000
+BROADCAST_SPANS = 1_000_000
 _LAST = (1 << 63) - 1
 
 
-def checked_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A written table with a broadcast hint if it has at most ``rows`` rows."""
-    return F.broadcast(table) if table.count() <= rows else table
+def checked_broadcast(table: DataFrame, lists: str | None = None) -> DataFrame:
+    """A written table, with a broadcast hint if it has few rows and entries of ``lists``.
+
+    Each row has besides at most three numbers, so some 30 MB bound what is broadcast;
+    a larger table is joined by a shuffle.
+    """
+    entries = F.coalesce(F.sum(F.size(lists)), F.lit(0)) if lists else F.lit(0)
+    rows, spans = table.agg(F.count("*"), entries).first()
+    return F.broadcast(table) if rows <= BROADCAST_ROWS and spans <= BROADCAST_SPANS else table
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -90,21 +97,39 @@ def window_rows(batch: pa.RecordBatch, first: int, words: Words, hashes: np.ndar
 
 
 def later_windows(windows: DataFrame) -> DataFrame:
-    """``doc, hash, places``: of the written ``windows``, each text's repeated ones."""
+    """``doc, hash, spans``: the words of each text that its repeated ``windows`` cover.
+
+    The repeated windows are written first: so the join reads its two shuffles as they
+    are, and Spark can split a window that a large part of the documents has.
+    """
     first = windows.groupBy("a", "b").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    shared = first.filter("first < last").drop("last")
+    shared = write_table(first.filter("first < last").drop("last"))
     later = windows.join(shared, ["a", "b"]).filter("doc > first")
-    return later.groupBy("doc", "hash").agg(F.collect_set("place").alias("places"))
+    places = later.groupBy("doc", "hash").agg(F.collect_set("place").alias("places"))
+    return places.mapInArrow(_spans, "doc long, hash long, spans array<struct<start:int,length:int>>")
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of windows that touch, as spans of words in order."""
+    for batch in batches:
+        spans = []
+        for places in batch.column("places"):
+            at = np.sort(places.values.to_numpy())
+            last = np.append(np.flatnonzero(np.diff(at) > WINDOW), len(at) - 1)
+            begin, end = at[np.append(0, last[:-1] + 1)], at[last] + WINDOW
+            spans.append([{"start": s, "length": e - s} for s, e in zip(begin.tolist(), end.tolist())])
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
+        yield pa.RecordBatch.from_arrays([*batch.select(["doc", "hash"]).columns, pa.array(spans, kind)], ["doc", "hash", "spans"])
 
 
-def cut(docs: DataFrame, later: DataFrame, places: DataFrame) -> DataFrame:
+def cut(docs: DataFrame, later: DataFrame, spans: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256, spans`` of every row.
 
     ``spans`` lists the removed runs of words as (start, length).
     """
     key = docs.schema["doc_id"].dataType.simpleString()
     rows = keyed(docs).join(checked_broadcast(later.withColumn("copy", F.lit(True))), ["doc", "hash"], "left")
-    rows = rows.join(checked_broadcast(places), ["doc", "hash"], "left")
+    rows = rows.join(checked_broadcast(spans, "spans"), ["doc", "hash"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,19 +137,15 @@ def cut(docs: DataFrame, later: DataFrame, places: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 words = (batch.column("text")[i].as_py() or "").encode().split()
                 n = len(words)
-                gone = np.zeros(n, bool)
+                spans = batch.column("spans")[i].as_py() or []
                 if n >= WINDOW and batch.column("copy")[i].as_py():
-                    gone[:] = True
-                elif batch.column("places")[i].is_valid:
-                    starts = batch.column("places")[i].values.to_numpy()
-                    steps = np.zeros(n + 1, np.int32)
-                    steps[starts] += 1
-                    steps[starts + WINDOW] -= 1
-                    gone = np.cumsum(steps[:-1]) > 0
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], gone, [0]])))
-                spans = [{"start": int(s), "length": int(e - s)} for s, e in zip(edges[::2], edges[1::2])]
-                kept = words if not spans else [w for w, g in zip(words, gone.tolist()) if not g]
-                out.append((n, int(gone.sum()), hashlib.sha256(b" ".join(kept)).hexdigest(), spans))
+                    spans = [{"start": 0, "length": n}]
+                kept, at = [], 0
+                for span in spans:
+                    kept += words[at : span["start"]]
+                    at = span["start"] + span["length"]
+                kept += words[at:]
+                out.append((n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest(), spans))
             if out:
                 n, removed, digest, spans = zip(*out)
                 kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
@@ -135,4 +156,4 @@ def cut(docs: DataFrame, later: DataFrame, places: DataFrame) -> DataFrame:
                 )
 
     schema = f"doc_id {key}, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:long,length:long>>"
-    return rows.select("doc_id", "text", "copy", "places").mapInArrow(run, schema)
+    return rows.select("doc_id", "text", "copy", "spans").mapInArrow(run, schema)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from skyroute.functions.scratch import write_table
 from skyroute.llm.components import connect
+from skyroute.llm.repeats import checked_broadcast
 from skyroute.llm.text import signed, small_batches
 
 SHINGLE = 3
@@ -139,13 +140,15 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE)
     component whose ids are all null keeps one row.
     """
     found = components(docs, shingle, distance)
-    lead = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    lead = write_table(lead.groupBy("doc_id").agg(F.count("*").alias("copies")))
+    leads = F.count_if(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("leads")
+    # The ids that don't simply stay are fewer than those that do, so they are joined.
+    other = write_table(found.groupBy("doc_id").agg(leads).filter("leads <> 1"))
     rows = docs.select(F.struct("*").alias("row"))
-    kept = rows.join(lead, F.col("row.doc_id").eqNullSafe(F.col("doc_id")))
-    single = kept.filter("copies = 1").select("row.*")
-    if lead.filter("copies > 1").isEmpty():
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id"))
+    single = rows.join(checked_broadcast(other), same, "left_anti").select("row.*")
+    repeated = other.filter("leads > 1")
+    if repeated.isEmpty():
         return single
     one = Window.partitionBy("doc_id").orderBy(F.lit(0))
-    repeated = kept.filter("copies > 1").withColumn("rank", F.row_number().over(one))
-    return single.unionAll(repeated.filter("rank = 1").select("row.*"))
+    ranked = rows.join(repeated, same).withColumn("rank", F.row_number().over(one))
+    return single.unionAll(ranked.filter("rank = 1").select("row.*"))
