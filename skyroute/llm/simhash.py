@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyroute.functions.scratch import write_table
@@ -55,16 +55,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp`` (a signed long) of every row."""
+    """``doc_id``, ``text_hash`` and ``fp`` (a signed long) of every row."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], ["doc_id", "fp"])
+            columns = [batch.column(0), batch.column(2), pa.array(values, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "fp"])
 
     key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {key}, fp long")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return texts.mapInArrow(run, f"doc_id {key}, text_hash long, fp long")
 
 
 def _flips() -> np.ndarray:
@@ -121,13 +123,18 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return home.join(guest, "anchor").filter((F.col("a") < F.col("b")) & close).select("a", "b")
 
 
-def components(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """``doc_id``, ``fp``, ``component_id`` (smallest doc_id reachable) of every row."""
+def _rooted(docs: DataFrame, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of all rows, and ``fp``, ``first``, ``root`` of the distinct ones."""
     table = write_table(fingerprints(docs, shingle))
     distinct = write_table(table.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = connect(links(distinct, distance))
     member = distinct.join(roots, distinct["fp"] == roots["node"], "left")
-    member = member.select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return table, member.select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
+def components(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """``doc_id``, ``fp``, ``component_id`` (smallest doc_id reachable) of every row."""
+    table, member = _rooted(docs, shingle, distance)
     smallest = member.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = member.join(smallest, "root").select("fp", "component_id")
     return table.join(labels, "fp").select("doc_id", "fp", "component_id")
@@ -136,19 +143,25 @@ def components(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """The rows of ``docs`` that lead their component, one each, with all their columns.
 
-    Of rows that share the leading ``doc_id``, one stays; it may be any of them. A
-    component whose ids are all null keeps one row.
+    The leader has the smallest ``doc_id``, null last, and of its texts the one with the
+    smallest hash. Of rows equal in doc_id and text any one stays. So each component keeps
+    one row, whatever ids its rows share with others or lack.
     """
-    found = components(docs, shingle, distance)
-    leads = F.count_if(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("leads")
-    # The ids that don't simply stay are fewer than those that do, so they are joined.
-    other = write_table(found.groupBy("doc_id").agg(leads).filter("leads <> 1"))
+    table, member = _rooted(docs, shingle, distance)
+    order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash")
+    keys = table.groupBy("doc_id", "text_hash", "fp").agg(F.count("*").alias("copies"))
+    keys = write_table(keys.join(member.select("fp", "root"), "fp"))
+    leaders = keys.groupBy("root").agg(F.min(order).alias("leader"))
+    keys = keys.join(leaders, "root").withColumn("leads", order.eqNullSafe(F.col("leader")))
+    # The keys that don't simply stay are fewer than those that do, so they are joined.
+    other = keys.filter("not leads or copies > 1").select("doc_id", "text_hash", "leads")
+    other = write_table(other)
     rows = docs.select(F.struct("*").alias("row"))
-    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("row.text") == F.col("text_hash"))
     single = rows.join(checked_broadcast(other), same, "left_anti").select("row.*")
-    repeated = other.filter("leads > 1")
+    repeated = other.filter("leads")
     if repeated.isEmpty():
         return single
-    one = Window.partitionBy("doc_id").orderBy(F.lit(0))
-    ranked = rows.join(repeated, same).withColumn("rank", F.row_number().over(one))
-    return single.unionAll(ranked.filter("rank = 1").select("row.*"))
+    # Copies meet in an aggregate, which combines them before the shuffle.
+    one = rows.join(checked_broadcast(repeated), same).groupBy("doc_id", "text_hash").agg(F.first("row").alias("row"))
+    return single.unionAll(one.select("row.*"))

@@ -85,6 +85,17 @@ def test_components_keep_one_and_edges(spark):
     assert simhash.keep_one(documents(spark, docs).limit(0)).collect() == []
 
 
+def test_keep_one_keeps_unlinked_rows_without_own_ids(spark):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(80))
+    docs = [(None, text(c)) for c in "abcd"] + [(None, text("a")), (None, text("e")), (5, text("e"))]
+    docs += [(7, text("f")), (7, text("g")), (7, text("g")), (8, text("g"))]
+    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_one(documents(spark, docs)).collect()), key=str)
+    expected = [(None, text(c)) for c in "abcd"] + [(5, text("e")), (7, text("f")), (7, text("g"))]
+    assert kept == sorted(expected, key=str)
+    alone = [(None, text("a")), (None, text("a")), (1, text("b"))]
+    assert simhash.keep_one(documents(spark, alone)).count() == 2
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=30))
 def test_connected_components(spark, pairs):
