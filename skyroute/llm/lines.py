@@ -1,19 +1,23 @@
-"""Fuzzy line dedup: SimHash, pigeonhole blocks, edit similarity, one line per group.
+"""Fuzzy line dedup: rare shared words, word bitmaps, edit similarity, one line per group.
 
 A line's normal form is its sequence of words: runs of ASCII letters, digits and
 characters above U+007F, lower-cased, every digit written as 0. Lines of one normal form
-are equal. Different lines are linked if the SimHashes of their words differ in at most
-``DISTANCE`` bits and the edit similarity of their word sequences (one less the edit
-distance over the longer length) is at least ``SIMILARITY``. Linked and equal lines form
-groups, and only the occurrence in the smallest (doc_id, place) stays.
-
-A SimHash is cut into ``BLOCKS`` blocks. Two that differ in at most ``DISTANCE`` bits agree
-in ``BLOCKS - DISTANCE`` blocks, so each choice of so many blocks is a key to meet at.
-First the distinct SimHashes meet, to find those with a partner; only the forms of these
-go on. A group of many similar lines is not compared pair by pair: at each key, forms that
-are still free are tied to the most frequent free one in reach, and these few pairs are
-verified. What remains are pairs in reach whose ends are not connected by then; all of
-them are verified, so no connection is lost.
+are equal. Different lines are linked if the edit similarity of their word sequences (one
+less the edit distance over the longer length) is at least ``SIMILARITY``. Linked and
+equal lines form groups, and only the occurrence in the smallest (doc_id, place) stays.
+
+No linked pair is missed. Of a line's n words at most n - SIMILARITY * n have no
+counterpart in a linked one, so by the pigeonhole principle both have a word in common
+among the one more than so many that are rarest in each. These words are the keys to meet
+at; any order of rarity will do if it is one for all, so it is counted on a sample. At a
+key a pair is dropped only if its lengths, or bitmaps of its words, show more words
+without a counterpart than the similarity allows. The rest is verified.
+
+First this finds the forms with a partner, and only the words of these travel. A group of
+many similar lines is not compared pair by pair: at each key, forms that are still free
+are tied to the most frequent free one whose SimHash differs in at most ``DISTANCE`` bits,
+and these few pairs are verified. What remains are pairs whose ends are not connected by
+then; all of them are verified, whatever their SimHashes, so no connection is lost.
 
 Defined cases: null and empty texts, and lines without words, are left as they are; rows
 equal in doc_id and text are one document and keep the same lines; a null ``doc_id`` is
@@ -24,11 +28,10 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyroute.functions.scratch import write_table
@@ -36,9 +39,12 @@ from skyroute.llm.components import connect
 from skyroute.llm.repeats import checked_broadcast
 from skyroute.llm.text import ALNUM, FOLD_DIGITS, PRIMARY, SECOND, U64, Slots, mix, signed, small_batches, words_of
 
-DISTANCE = 3
+DISTANCE = 16  # for ties only; pairs farther apart are verified as well
 SIMILARITY = 0.8
-BLOCKS = 5
+SAMPLE = 8  # one text of so many is counted for the order of words
+RANK_BITS, KEY_BITS, FORMS = 20, 46, 1 << 18
+LANES = ("s0", "s1", "s2", "s3")
+PAIRS, SEEN = 1 << 20, 1 << 16
 # A byte's bits, one in each byte of an integer.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(U64)[:, 0]
 
@@ -92,32 +98,131 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(place.astype(np.int32)),
                     signed(mix(PRIMARY.spans(hashes, lo, hi))),
                     signed(mix(SECOND.spans(hashes, lo, hi))),
-                    signed(simhashes(hashes, lo, hi)),
-                    pa.array((hi - lo).astype(np.int32)),
                 ],
-                ["doc_id", "text_hash", "place", "a", "b", "sim", "size"],
+                ["doc_id", "text_hash", "place", "a", "b"],
             )
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, place, a, b, sim, size`` of lines with words; a, b name the form."""
+    """``doc_id, text_hash, place, a, b`` of lines with words; a, b name the form."""
     small_batches(docs.sparkSession)
     key = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     return texts.mapInArrow(
-        _occurrences, f"doc_id {key}, text_hash long, place int, a long, b long, sim long, size int"
+        _occurrences, f"doc_id {key}, text_hash long, place int, a long, b long"
     )
 
 
-def _block_keys(sim: Column, distance: int, blocks: int) -> Column:
-    """An array with one number for each choice of blocks that may agree."""
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    keys = []
-    for n, chosen in enumerate(combinations(range(blocks), blocks - distance)):
-        mask = sum(((1 << edges[i + 1] - edges[i]) - 1) << edges[i] for i in chosen)
-        signed_mask = mask - (1 << 64) if mask >> 63 else mask
-        keys.append(F.xxhash64(F.lit(n), sim.bitwiseAND(F.lit(signed_mask).cast("long"))))
-    return F.array(*keys)
+def _ranks(docs: DataFrame) -> np.ndarray:
+    """How common words are, on a log scale, by the first ``RANK_BITS`` bits of their hash.
+
+    It is counted on a sample of the texts. Any table gives the same links.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << RANK_BITS, np.int64)
+        for batch in batches:
+            for _, _, words in words_of(batch.column(0), ALNUM):
+                slot = words.hashes(FOLD_DIGITS) >> U64(64 - RANK_BITS)
+                counts += np.bincount(slot.astype(np.int64), minlength=len(counts))
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["slot", "n"])
+
+    sample = docs.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
+    found = sample.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    found = found.toArrow()  # at most 2**RANK_BITS rows of two numbers
+    counts = np.zeros(1 << RANK_BITS)
+    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return np.minimum(np.log2(1 + counts) * 64, 2047).astype(U64)
+
+
+def _spans(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The places of all spans, one after the other."""
+    n = hi - lo
+    return np.arange(int(n.sum())) + np.repeat(lo - np.cumsum(n) + n, n)
+
+
+def _can_link(size: np.ndarray, least: float) -> np.ndarray:
+    """Whether a different form can be similar to one of so many words."""
+    longest = np.floor(size / least + 1e-9)
+    return _missing(longest, least) >= 1
+
+
+def _missing(size: np.ndarray, least: float) -> np.ndarray:
+    """The words of a line that may lack a counterpart in a similar one that isn't longer."""
+    return np.floor(size - least * size + 1e-9).astype(np.int64)
+
+
+def _rare_words(flat: np.ndarray, n: np.ndarray, ranks: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Keys to meet at, ``form, key``: the rarest words of each form, without repeats.
+
+    ``flat`` has ``n[i]`` words of each form. A key is a word's rank and hash bits, so
+    sorted keys are the order of rarity.
+    """
+    forms, keys = [], []
+    ends = np.cumsum(n)
+    for i in range(0, len(n), FORMS):
+        own = n[i : i + FORMS]
+        words = flat[ends[i] - n[i] : ends[i + len(own) - 1]]
+        word = ranks[words >> U64(64 - RANK_BITS)] << U64(KEY_BITS - 11) | words >> U64(64 - KEY_BITS + 11)
+        word = np.sort(np.repeat(np.arange(len(own), dtype=U64), own) << U64(KEY_BITS) | word)
+        begin = np.cumsum(own) - own
+        rare = word[_spans(begin, begin + np.minimum(_missing(own, least) + 1, own))]
+        rare = rare[np.append(True, rare[1:] != rare[:-1])] if len(rare) else rare
+        forms.append((rare >> U64(KEY_BITS)).astype(np.int64) + i)
+        keys.append((rare & U64((1 << KEY_BITS) - 1)).astype(np.int64))
+    return np.concatenate(forms), np.concatenate(keys)
+
+
+def _bitmaps(flat: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """256 bits of each form in four integers, one set for each word."""
+    begin = np.cumsum(n) - n
+    bit, lane = U64(1) << (flat & U64(63)), flat >> U64(6) & U64(3)
+    return [np.bitwise_or.reduceat(np.where(lane == U64(i), bit, U64(0)), begin) for i in range(4)]
+
+
+def _keys_of_texts(ranks, least: float):
+    """``key, a, size`` and bitmap of lines, once per piece and form."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for batch in batches:
+            for _, _, _, hashes, lo, hi, _ in _line_words(batch.column(0)):
+                a, once = np.unique(mix(PRIMARY.spans(hashes, lo, hi)), return_index=True)
+                fresh = np.array([x not in seen for x in a.tolist()], bool)
+                fresh &= _can_link(hi[once] - lo[once], least)
+                a, lo, hi = a[fresh], lo[once[fresh]], hi[once[fresh]]
+                if not len(a):
+                    continue
+                if len(seen) > SEEN:
+                    seen.clear()
+                seen.update(a.tolist())
+                flat, n = hashes[_spans(lo, hi)], hi - lo
+                form, key = _rare_words(flat, n, ranks.value, least)
+                columns = [pa.array(key), signed(a[form]), pa.array(n[form].astype(np.int32))]
+                columns += [signed(lane[form]) for lane in _bitmaps(flat, n)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "a", "size", *LANES])
+
+    return run
+
+
+def _keys_of_words(ranks, least: float):
+    """``key``, all columns but the first, size, SimHash and bitmap of forms with ``words``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            flat = batch.column(0).flatten().to_numpy().view(U64)
+            n = batch.column(0).value_lengths().to_numpy().astype(np.int64)
+            form, key = _rare_words(flat, n, ranks.value, least)
+            others = batch.select(batch.schema.names[1:]).take(pa.array(form))
+            sims = simhashes(flat, np.cumsum(n) - n, np.cumsum(n))
+            columns = [pa.array(key), *others.columns, pa.array(n[form].astype(np.int32)), signed(sims[form])]
+            columns += [signed(lane[form]) for lane in _bitmaps(flat, n)]
+            yield pa.RecordBatch.from_arrays(columns, ["key", *others.schema.names, "size", "sim", *LANES])
+
+    return run
 
 
 def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
@@ -144,48 +249,108 @@ def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.nd
         yield cut(rows, np.array([0, rows.num_rows]))
 
 
-def _with_partner(distance: int):
-    """SimHashes with another one in reach at some key."""
+class _Screen:
+    """Which pairs of rows may be similar, by their sizes and bitmaps."""
+
+    def __init__(self, rows: pa.Table, least: float):
+        self.size = rows.column("size").to_numpy().astype(np.int64)
+        self.missing = _missing(self.size, least)
+        self.maps = np.stack([rows.column(lane).to_numpy().view(U64) for lane in LANES], axis=1)
+        self.bits = np.bitwise_count(self.maps).sum(axis=1, dtype=np.int64)
+        self.least = least
+
+    def may(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        shorter, longest = np.minimum(self.size[x], self.size[y]), np.maximum(self.size[x], self.size[y])
+        both = np.bitwise_count(self.maps[x] & self.maps[y]).sum(axis=-1, dtype=np.int64)
+        lone = np.maximum(self.bits[x], self.bits[y]) - both
+        return (shorter >= self.least * longest - 1e-9) & (lone <= np.maximum(self.missing[x], self.missing[y]))
+
+    def pairs(self, key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of rows with one key and fitting sizes; rows are sorted by key and size."""
+        block = np.cumsum(np.append(0, key[1:] != key[:-1]))
+        top = int(self.size.max()) + 1
+        longest = np.minimum(np.floor(self.size / self.least + 1e-9).astype(np.int64), top - 1)
+        count = np.searchsorted(block * top + self.size, block * top + longest, "right") - np.arange(len(key)) - 1
+        total = np.cumsum(count)
+        i = 0
+        while i < len(key):
+            before = total[i] - count[i]
+            j = max(i + 1, int(np.searchsorted(total, before + PAIRS, "right")))
+            x = np.repeat(np.arange(i, j), count[i:j])
+            y = x + 1 + np.arange(len(x)) - np.repeat(total[i:j] - count[i:j] - before, count[i:j])
+            yield x, y
+            i = j
+
+
+def _with_partner(least: float):
+    """Forms that may be similar to another one; rows are sorted by key, size and form."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, begins, ends in _by_key(batches):
-            sims = rows.column("sim").to_numpy().view(U64)
-            told = np.zeros(len(sims), bool)
-            two = begins[ends - begins == 2]
-            near = np.bitwise_count(sims[two] ^ sims[two + 1]) <= distance
-            told[two[near]] = told[two[near] + 1] = True
-            for b, e in zip(begins[ends - begins > 2], ends[ends - begins > 2]):
-                own, step = sims[b:e], max(1, (1 << 20) // (e - b))
-                for i in range(0, e - b, step):
-                    near = np.bitwise_count(own[i : i + step, None] ^ own) <= distance
-                    told[b + i : b + i + len(near)] = near.sum(axis=1) > 1
-            yield pa.RecordBatch.from_arrays([signed(sims[told])], ["sim"])
+        for rows, _, _ in _by_key(batches):
+            if not rows.num_rows:
+                continue
+            key, a = rows.column("key").to_numpy(), rows.column("a").to_numpy()
+            first = np.append(True, (key[1:] != key[:-1]) | (a[1:] != a[:-1]))
+            rows, key, a = rows.filter(pa.array(first)), key[first], a[first]
+            screen, told = _Screen(rows, least), np.zeros(len(a), bool)
+            for x, y in screen.pairs(key):
+                near = screen.may(x, y)
+                told[x[near]] = told[y[near]] = True
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(a[told]))], ["a"])
 
     return run
 
 
-def _ties(distance: int, similarity: float):
+def _pair_rows(rows: pa.Table, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    form = pa.StructArray.from_arrays([rows.column(c).combine_chunks() for c in ("a", "b")], ["a", "b"])
+    return pa.RecordBatch.from_arrays([form.take(pa.array(x)), form.take(pa.array(y))], ["x", "y"])
+
+
+def _ties(distance: int, least: float):
     """Pairs of each free form in reach with the first free form of its key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, begins, ends in _by_key(batches):
-            sims, size = rows.column("sim").to_numpy().view(U64), rows.column("size").to_numpy()
-            heads, members = [], []
-            for b, e in zip(begins, ends):
+            if not len(begins):
+                continue
+            sims, screen = rows.column("sim").to_numpy().view(U64), _Screen(rows, least)
+
+            def near(x, y):
+                return (np.bitwise_count(sims[x] ^ sims[y]) <= distance) & screen.may(x, y)  # noqa: B023
+
+            two = begins[ends - begins == 2]
+            two = two[near(two, two + 1)]
+            heads, members = [two], [two + 1]
+            for b, e in zip(begins[ends - begins > 2], ends[ends - begins > 2]):
                 free = np.arange(b, e)
                 while len(free) > 1:
                     head, rest = free[0], free[1:]
-                    near = np.bitwise_count(sims[rest] ^ sims[head]) <= distance
-                    near &= np.minimum(size[rest], size[head]) >= similarity * np.maximum(size[rest], size[head])
-                    members.append(rest[near])
+                    told = near(np.full(len(rest), head), rest)
+                    members.append(rest[told])
                     heads.append(np.full(len(members[-1]), head))
-                    free = rest[~near]
-            if heads:
-                x, y = pa.array(np.concatenate(heads)), pa.array(np.concatenate(members))
-                form = pa.StructArray.from_arrays(
-                    [rows.column(c).combine_chunks() for c in ("a", "b")], ["a", "b"]
-                )
-                yield pa.RecordBatch.from_arrays([form.take(x), form.take(y)], ["x", "y"])
+                    free = rest[~told]
+            yield _pair_rows(rows, np.concatenate(heads), np.concatenate(members))
+
+    return run
+
+
+def _open_pairs(least: float):
+    """Pairs ``x < y`` that may be similar, of different roots; rows are sorted by key and size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, _, _ in _by_key(batches):
+            if not rows.num_rows:
+                continue
+            a, b, root, other = (rows.column(c).to_numpy() for c in ("a", "b", "root_a", "root_b"))
+            screen = _Screen(rows, least)
+            for x, y in screen.pairs(rows.column("key").to_numpy()):
+                apart = (root[x] != root[y]) | (other[x] != other[y])
+                x, y = x[apart], y[apart]
+                told = screen.may(x, y)
+                x, y = x[told], y[told]
+                turn = (a[x] > a[y]) | (a[x] == a[y]) & (b[x] > b[y])
+                if len(x):
+                    yield _pair_rows(rows, np.where(turn, y, x), np.where(turn, x, y))
 
     return run
 
@@ -262,10 +427,6 @@ def _verified(least: float):
     return run
 
 
-def _keyed(table: DataFrame, distance: int, blocks: int) -> DataFrame:
-    return table.withColumn("key", F.explode(_block_keys(F.col("sim"), distance, blocks)))
-
-
 def _verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     """The ``pairs`` x, y of forms that are similar; a written table."""
     form = F.struct("a", "b")
@@ -275,47 +436,50 @@ def _verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     return write_table(both.mapInArrow(_verified(similarity), "x struct<a:long,b:long>, y struct<a:long,b:long>"))
 
 
-def links(docs: DataFrame, forms: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY, blocks: int = BLOCKS) -> DataFrame:
+def links(docs: DataFrame, forms: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY) -> DataFrame:
     """Pairs ``x, y`` of forms that connect what verified links connect, and no more.
 
-    ``forms`` has ``a, b, sim, size, times``, one row per form.
+    ``forms`` has ``a, b, times``, one row per form.
     """
-    sims = forms.groupBy("sim").agg(F.count("*").alias("n"))
-    met = _keyed(sims.select("sim"), distance, blocks).repartition("key").sortWithinPartitions("key", "sim")
-    partners = met.mapInArrow(_with_partner(distance), "sim long").unionAll(sims.filter("n > 1").select("sim"))
-    wanted = write_table(forms.join(partners.distinct(), "sim"))
+    if not 0 < similarity <= 1:
+        raise ValueError("the similarity must be above 0 and at most 1")
+    ranks = docs.sparkSession.sparkContext.broadcast(_ranks(docs))
+    lanes = ", ".join(f"{lane} long" for lane in LANES)
+    pair = "x struct<a:long,b:long>, y struct<a:long,b:long>"
+    met = docs.select("text").mapInArrow(_keys_of_texts(ranks, similarity), f"key long, a long, size int, {lanes}")
+    met = met.repartition("key").sortWithinPartitions("key", "size", "a")
+    partners = met.mapInArrow(_with_partner(similarity), "a long").distinct()
+    wanted = write_table(forms.join(partners, "a"))
     found = docs.select("text").mapInArrow(_forms(Slots(wanted.select("a"))), "a long, b long, words array<long>")
-    words = found.dropDuplicates(["a", "b"]).join(wanted.select("a", "b"), ["a", "b"])
-    words = write_table(words)
-    keyed = _keyed(wanted, distance, blocks)
+    words = write_table(found.dropDuplicates(["a", "b"]).join(wanted, ["a", "b"]))
+    keyed = words.select("words", "a", "b", "times").mapInArrow(
+        _keys_of_words(ranks, similarity), f"key long, a long, b long, times long, size int, sim long, {lanes}"
+    )
     ranked = keyed.repartition("key").sortWithinPartitions("key", F.desc("times"), "a", "b")
-    ties = ranked.mapInArrow(_ties(distance, similarity), "x struct<a:long,b:long>, y struct<a:long,b:long>")
+    ties = ranked.mapInArrow(_ties(distance, similarity), pair)
     ordered = ties.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     tied = write_table(ordered.distinct())
     sure = _verify(tied, words, similarity)
     roots = connect(sure)
-    form = F.struct("a", "b").alias("form")
-    group = wanted.select(form, "sim", "size").join(roots, F.col("form") == F.col("node"), "left")
-    group = write_table(group.select("form", "sim", "size", F.coalesce("root", "form").alias("root")))
-    at = _keyed(group, distance, blocks)
-    x, y = (at.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("form", "sim", "size", "root"))) for side in "xy")
-    reach = F.bit_count(F.col("x_sim").bitwiseXOR(F.col("y_sim"))) <= distance
-    reach &= F.least("x_size", "y_size") >= similarity * F.greatest("x_size", "y_size")
-    open_ = (F.col("x_form") < F.col("y_form")) & (F.col("x_root") != F.col("y_root"))
-    left = x.join(y, "key").filter(open_ & reach).select(F.col("x_form").alias("x"), F.col("y_form").alias("y"))
-    rest = _verify(left.distinct().join(tied, ["x", "y"], "left_anti"), words, similarity)
+    form = F.struct("a", "b")
+    group = words.join(roots, form == F.col("node"), "left").withColumn("root", F.coalesce("root", form))
+    group = group.select("words", "a", "b", F.col("root.a").alias("root_a"), F.col("root.b").alias("root_b"))
+    at = group.mapInArrow(
+        _keys_of_words(ranks, similarity),
+        f"key long, a long, b long, root_a long, root_b long, size int, sim long, {lanes}",
+    )
+    at = at.drop("sim").repartition("key").sortWithinPartitions("key", "size")
+    left = at.mapInArrow(_open_pairs(similarity), pair).distinct()
+    rest = _verify(left.join(tied, ["x", "y"], "left_anti"), words, similarity)
     return roots.select(F.col("node").alias("x"), F.col("root").alias("y")).unionAll(rest)
 
 
-def repeated(docs: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY, blocks: int = BLOCKS) -> DataFrame:
+def repeated(docs: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, text_hash, places``: for each text with repeated lines, those to remove."""
     lines = write_table(occurrences(docs))
     first = F.min(F.struct("doc_id", "text_hash", "place")).alias("first")
-    forms = lines.groupBy("a", "b").agg(
-        first, F.count("*").alias("times"), F.first("sim").alias("sim"), F.first("size").alias("size")
-    )
-    forms = write_table(forms)
-    roots = connect(links(docs, forms.drop("first"), distance, similarity, blocks))
+    forms = write_table(lines.groupBy("a", "b").agg(first, F.count("*").alias("times")))
+    roots = connect(links(docs, forms.drop("first"), distance, similarity))
     forms = forms.select(F.struct("a", "b").alias("form"), "first", F.col("times").alias("n"))
     member = forms.join(roots, forms["form"] == roots["node"], "left")
     member = member.select("form", "first", "n", F.coalesce("root", "form").alias("root"))
@@ -326,9 +490,9 @@ def repeated(docs: DataFrame, distance: int = DISTANCE, similarity: float = SIMI
     return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
 
-def _apply(docs: DataFrame, distance: int, similarity: float, blocks: int) -> DataFrame:
+def _apply(docs: DataFrame, distance: int, similarity: float) -> DataFrame:
     """``row``, its shortened ``text``, its ``n_lines`` and the ``places`` removed."""
-    drop = write_table(repeated(docs, distance, similarity, blocks))
+    drop = write_table(repeated(docs, distance, similarity))
     drop = checked_broadcast(drop, "places")
     drop = drop.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "places")
     rows = docs.select(F.struct("*").alias("row"))
@@ -341,12 +505,12 @@ def _apply(docs: DataFrame, distance: int, similarity: float, blocks: int) -> Da
     return joined.select("row", text.alias("text"), (F.size(every)).cast("long").alias("n_lines"), "places")
 
 
-def dedup(docs: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY, blocks: int = BLOCKS) -> DataFrame:
+def dedup(docs: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` without the repeated lines; every row and column stays, ``text`` is shortened.
 
     ``n_chars``, where it is a column, follows the text.
     """
-    out = _apply(docs, distance, similarity, blocks)
+    out = _apply(docs, distance, similarity)
     row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -354,9 +518,9 @@ def dedup(docs: DataFrame, distance: int = DISTANCE, similarity: float = SIMILAR
     return out.select(row.alias("row")).select("row.*")
 
 
-def report(docs: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY, blocks: int = BLOCKS) -> DataFrame:
+def report(docs: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY) -> DataFrame:
     """Per row: its lines, the lines removed and the SHA-256 of what is left (null: empty)."""
-    out = _apply(docs.select("doc_id", "text"), distance, similarity, blocks)
+    out = _apply(docs.select("doc_id", "text"), distance, similarity)
     return out.select(
         "row.doc_id",
         F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),

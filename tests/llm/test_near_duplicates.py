@@ -183,3 +183,32 @@ def test_fuzzy_lines_and_edges(spark):
     assert got == sorted(expected, key=str)
     assert (10, "", 0) in got and (6, "\nlast", 5) in got
     assert lines.dedup(table.limit(0)).collect() == []
+
+
+def test_all_similar_lines_are_linked(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{c}{d}x" for c in "abcdefghij" for d in "klmnopqrstuvwxyz"]
+    texts = []
+    for n in [3, 4, 5, 6, 9, 10, 10, 14, 20, 35, 50, 100, 300]:
+        base = rng.choices(vocabulary, k=n)
+        texts.append(base)
+        for share in (0.05, 0.1, 0.15, 0.2, 0.25):
+            line = list(base)
+            for at in sorted(rng.sample(range(n), int(n * share)), reverse=True):
+                change = rng.randrange(3)
+                line[at : at + 1] = [[], [rng.choice(vocabulary)], [line[at], rng.choice(vocabulary)]][change]
+            texts.append(line)
+    texts = [list(t) for t in sorted({tuple(t) for t in texts})]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    pairs = []
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts[:i]):
+            longest = max(len(a), len(b))
+            if min(len(a), len(b)) >= 0.8 * longest and longest - plain_distance(a, b) >= 0.8 * longest:
+                pairs.append((j, i))
+    root = groups(len(texts), pairs)
+    expected = [(i, t if i == r else "") for (i, t), r in zip(docs, root)]
+    assert sum(i != r for i, r in enumerate(root)) > 30
+    for distance in (lines.DISTANCE, 0):
+        found = lines.dedup(documents(spark, docs), distance=distance)
+        assert sorted((r.doc_id, r.text) for r in found.collect()) == expected
