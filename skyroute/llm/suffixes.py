@@ -11,9 +11,9 @@ Each batch of a range compares neighbours: a prefix whose first and last suffix
 different documents is repeated. A prefix at either end of a batch may go on in the next
 one, so those, two a batch, are compared once more.
 
-From each repeated suffix, matches are extended left and right: all windows that contain
-its prefix are compared over their 50 words by ``repeats``. Copies of whole texts are left
-out before.
+No match is extended word by word. In place of that, all windows that contain a repeated
+prefix are hashed over their 50 words and grouped by ``repeats``, which finds the same
+repeats. Copies of whole texts are left out before.
 """
 
 from __future__ import annotations
