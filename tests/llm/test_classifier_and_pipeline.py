@@ -81,6 +81,17 @@ def test_without_labels(spark, trained):
     assert scores(crf.fit(docs.limit(0), labels)) != {1.0}
 
 
+def test_repeated_ids_train_once(spark):
+    good, bad = "One clean line of plain words here.\nAnother line.", "$$ 9 !!\n>> | 88 ##"
+    ids = [i for i, held in spark.range(60).select("id", crf.held_out("id")).collect() if not held][:20]
+    rows = [(i, f"{good if n % 2 else bad} {i}") for n, i in enumerate(ids)]
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, quality int")
+    once = crf.fit(documents(spark, rows), labels)
+    often = crf.fit(documents(spark, rows + rows[:1] * 200), labels)
+    for a, b in zip(once, often):
+        assert np.array_equal(a, b)
+
+
 def test_stages_on_their_own_input(spark):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert len(names) == 5
