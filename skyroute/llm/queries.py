@@ -7,7 +7,22 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyroute.llm import chat, crf, decontaminate, licenses, lines, packing, recompress, rules, simhash, sql, suffixes
+from skyroute.llm import (
+    audit,
+    chat,
+    crf,
+    decontaminate,
+    licenses,
+    lines,
+    packing,
+    recompress,
+    rules,
+    search,
+    simhash,
+    sql,
+    suffixes,
+    tokens,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +94,19 @@ def suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup(table(spark, sf_dir, "documents")).select(*_CUT)
 
 
+def gray_code_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokens.prefix_counts(table(spark, sf_dir, "documents"), tokens.default_vocabulary())
+    return counted.select("doc_id", "n_bytes", "n_tokens", tokens.over_limit().alias("over_limit"))
+
+
 QUERIES = {
     "op1_license_scan": license_scan,
     "op2_quality_rules": quality_rules,
@@ -90,6 +118,9 @@ QUERIES = {
     "op8_fuzzy_lines": fuzzy_lines,
     "op9_simhash_components": simhash_components,
     "op10_suffix_array": suffix_array,
+    "op11_gray_code_audit": gray_code_audit,
+    "op12_reversed_search": reversed_search,
+    "op13_prefix_token_counts": prefix_token_counts,
 }
 ORACLES = {
     "op1_license_scan": sql.license_sql(),
@@ -98,4 +129,6 @@ ORACLES = {
     "op5_recompression": sql.REPEATS,
     "op6_chat_formatting": sql.CHAT_FORMATTING,
     "op10_suffix_array": sql.REPEATS,
+    "op11_gray_code_audit": sql.filter_audit_sql(),
+    "op12_reversed_search": sql.RANKED_SEARCH,
 }

@@ -145,3 +145,78 @@ SELECT doc_id, item_id, n_item, count(*) AS n_shared, count(*) / n_item AS conta
 FROM parts JOIN sized USING (s) GROUP BY rid, doc_id, iid, item_id, n_item
 HAVING count(*) / n_item >= 0.8
 """
+
+RANKED_SEARCH = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), s AS (
+  SELECT count(*) FILTER (len(terms) > 0) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM d
+), tf AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(terms) AS term FROM d) GROUP BY ALL
+), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term
+), i AS (
+  SELECT row_number() OVER () AS iid, item_id, regexp_extract_all(translate(text,
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark)
+), wanted AS (
+  SELECT iid, item_id, term, count(*) AS times FROM (SELECT iid, item_id, unnest(terms) AS term FROM i) GROUP BY ALL
+), m AS (
+  SELECT rid, doc_id, 100 - 75 + (75 * CAST(len(terms) AS BIGINT) * n_docs) // total AS m
+  FROM d, s WHERE len(terms) > 0
+), scored AS (
+  SELECT iid, item_id, rid, doc_id, CAST(sum(times
+      * CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT)
+      * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM wanted JOIN df USING (term) JOIN tf USING (term) JOIN m USING (rid), s GROUP BY ALL
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank,
+    doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def filter_audit_sql() -> str:
+    """Every order and step counted from the documents themselves, not from subsets."""
+    bits = "".join(f" WHEN '{name}' THEN {1 << i}" for i, name in enumerate("ABCDE"))
+    return rf"""
+WITH RECURSIVE orders(o) AS (
+  SELECT '' UNION ALL
+  SELECT o || f FROM orders, (SELECT unnest(string_split('ABCDE', '')) AS f) WHERE length(o) < 5 AND NOT contains(o, f)
+), filters AS (SELECT unnest(string_split('ABCDE', '')) AS f
+), bit AS (SELECT f, CASE f{bits} END AS bit FROM filters
+), steps AS (
+  SELECT o, k AS step, substr(o, k, 1) AS f,
+    coalesce((SELECT CAST(sum(bit) AS INTEGER) FROM bit WHERE contains(substr(o, 1, k - 1), bit.f)), 0) AS before,
+    (SELECT bit FROM bit WHERE bit.f = substr(o, k, 1)) AS own
+  FROM orders, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS k) WHERE length(o) = 5
+), t AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(text, '[^ 	-]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM t
+), known AS (
+  SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id
+), d AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN coalesce(doc_id > first, false) THEN 16 ELSE 0 END AS mask
+  FROM w LEFT JOIN known USING (doc_id)
+), counted AS (
+  SELECT part, o, step, f, own, count(*) FILTER (mask & (before | own) = 0) AS kept,
+    count(*) FILTER (mask & before = 0 AND mask & own > 0) AS removed,
+    count(*) FILTER (mask & before > 0 AND mask & own > 0) AS redundant,
+    count(*) FILTER (mask = own) AS unique_fails,
+    count(*) FILTER (good AND mask & before = 0 AND mask & own > 0) AS good_lost,
+    count(*) FILTER (toxic AND mask & before = 0 AND mask & own > 0) AS toxic_lost
+  FROM d, steps GROUP BY ALL
+)
+SELECT part, o AS filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""

@@ -24,7 +24,7 @@ def test_query_equals_sql(spark, name):
 
 def test_names():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @settings(max_examples=100, deadline=None)
