@@ -1,20 +1,31 @@
 """Row numbers, running totals and successors over a whole table.
 
-A window without a partition key moves every row to one task. Here the rows are
-range-partitioned and sorted, written once, and each part is shifted by what the
-parts before it hold. Only those per-part figures, one row a part, are broadcast.
+A window without a partition key moves every row to one task. Here the rows are written,
+dealt to ranges by the bytes that were written, sorted and stored again with their part
+and position. Each part is shifted by what the parts before it hold; only those figures,
+one row a part, are broadcast. Where rows of one part have to meet again, the parts are
+the buckets of the stored table, so there is no second shuffle.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyroute.functions.scratch import write_table
+from skyroute.functions.scratch import (
+    delete_folder,
+    folder_bytes,
+    forget_table,
+    new_folder,
+    write_bucketed,
+    write_table,
+)
 
 PART, POSITION, COPY = "_part", "_position", "_copy"
+PART_BYTES = 64 << 20
 
 # monotonically_increasing_id keeps the row's position in its low 33 bits.
 _POSITION_MASK = (1 << 33) - 1
@@ -25,25 +36,42 @@ def sort_table(
     order: Sequence[str | Column],
     keep: Sequence[str] | None = None,
     unique: bool = False,
+    bucketed: bool = False,
+    size: int | None = None,
 ) -> DataFrame:
     """Write ``df`` in ``order`` with the columns ``_part`` and ``_position``.
 
     Equal rows are told apart by a running id, so a large group of copies spreads
-    over several ranges; ``unique`` says that ``order`` has no ties.
+    over several ranges; ``unique`` says that ``order`` has no ties. A part has about
+    ``PART_BYTES`` as written, whatever the input; there are at least as many parts as
+    shuffle partitions. With ``bucketed`` a part's rows are one task's when read.
+    ``size`` says that ``df`` is stored in so many bytes already.
     """
+    spark = df.sparkSession
     columns = list(keep or df.columns)
     order = list(order)
     if not unique:
         df = df.withColumn(COPY, F.monotonically_increasing_id())
         order.append(COPY)
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    return write_table(
-        ranged.select(
+    raw, folder = new_folder(spark), new_folder(spark)
+    try:
+        # Written first: the ranges are sampled from it, and its size is known.
+        stored = write_table(df, raw) if size is None else df
+        size = folder_bytes(spark, raw) if size is None else size
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / PART_BYTES))
+        ranged = stored.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        placed = ranged.select(
             *columns,
             F.spark_partition_id().alias(PART),
             F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK)).alias(POSITION),
         )
-    )
+        if not bucketed:
+            return write_table(placed, folder)
+        table, name = write_bucketed(placed, [PART], parts, folder, dealt=True)
+        forget_table(spark, name)
+        return table
+    finally:
+        delete_folder(spark, raw)
 
 
 def _offsets(table: DataFrame, sums: dict[str, Column]) -> DataFrame:
@@ -66,10 +94,13 @@ def number_rows(
 
 
 def running_totals(
-    df: DataFrame, order: Sequence[str | Column], totals: dict[str, str]
+    df: DataFrame, order: Sequence[str | Column], totals: dict[str, str], size: int | None = None
 ) -> DataFrame:
-    """Add, per entry ``new: column``, the sum of ``column`` up to and with each row."""
-    table = sort_table(df, order, unique=True)
+    """Add, per entry ``new: column``, the sum of ``column`` up to and with each row.
+
+    ``size`` is as in ``sort_table``.
+    """
+    table = sort_table(df, order, unique=True, bucketed=True, size=size)
     sums = {c: F.sum(c) for c in totals.values()}
     within = (
         Window.partitionBy(PART)
@@ -84,14 +115,15 @@ def running_totals(
 
 
 def with_successor(
-    df: DataFrame, order: Sequence[str | Column], keep: Sequence[str], name: str = "next"
+    df: DataFrame, order: Sequence[str | Column], keep: Sequence[str], name: str = "next", size: int | None = None
 ) -> DataFrame:
     """Add the struct of the ``keep`` columns of the following row, null on the last.
 
     This is ``lead`` over the whole table: a caller who wants it per group compares
-    the group's column with the successor's, and no group has to fit one task.
+    the group's column with the successor's, and no group has to fit one task. ``size`` is
+    as in ``sort_table``.
     """
-    table = sort_table(df, order, keep=keep)
+    table = sort_table(df, order, keep=keep, bucketed=True, size=size)
     whole = F.struct(*keep)
     within = Window.partitionBy(PART).orderBy(POSITION)
     heads = table.filter(F.col(POSITION) == 0).select(

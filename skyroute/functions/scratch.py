@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: list[tempfile.TemporaryDirectory] = []
+_scopes: list[list[str]] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -28,7 +31,31 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession) -> str:
-    return f"{scratch_root(spark)}/skyroute/{uuid.uuid4().hex}"
+    folder = f"{scratch_root(spark)}/skyroute/{uuid.uuid4().hex}"
+    for made in _scopes[-1:]:
+        made.append(folder)
+    return folder
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the scratch folders that were made inside.
+
+    Tables of operators read their folders when they are evaluated, so write or collect
+    results inside, and make a folder for what shall stay outside.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for folder in _scopes.pop():
+            delete_folder(spark, folder)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """The size of a scratch folder's files."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
 
 
 def write_table(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -46,24 +73,27 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 
 
 def write_bucketed(
-    df: DataFrame, keys: list[str], buckets: int, path: str
+    df: DataFrame, keys: Sequence[str], buckets: int, path: str, dealt: bool = False
 ) -> tuple[DataFrame, str]:
-    """Write ``df`` hashed and bucketed on ``keys``; return the table and its name.
+    """Write ``df`` bucketed on ``keys``; return the table and its name.
 
     A join or aggregation on ``keys`` reads the buckets as they are, without a shuffle.
+    Rows are hashed by the keys first, unless they are ``dealt`` so that the rows of one
+    key are in one task.
     """
     spark = df.sparkSession
     name = f"skyroute_{uuid.uuid4().hex}"
-    (
-        df.repartition(buckets, *keys)
-        .write.bucketBy(buckets, *keys)
-        .sortBy(*keys)
-        .option("path", path)
-        .saveAsTable(name)
-    )
+    rows = df if dealt else df.repartition(buckets, *keys)
+    rows.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
     return spark.table(name), name
 
 
+def forget_table(spark: SparkSession, name: str) -> None:
+    """Take a table with a path of its own out of the catalog; its files stay, and frames
+    that read it go on doing so."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 class TwoSlots:
     """Alternate between two paths, so a round reads one and replaces the other."""
 

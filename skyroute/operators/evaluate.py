@@ -6,17 +6,24 @@ counted once, with map-side combining, and all figures derive from the counts.
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyroute.functions.ordered import number_rows, running_totals
-from skyroute.functions.scratch import write_table
+from skyroute.functions.ordered import running_totals
+from skyroute.functions.scratch import folder_bytes, new_folder, write_table
 
 CLASSES = (0.0, 1.0)
 
 # Fixed value: points a curve is reduced to, where the caller asks for it.
 CURVE_BINS = 1000
 
+# Of the sketch: its accuracy parameter, and the rank error that 99 % of its quantiles keep.
+SKETCH_SIZE = 4096
+SKETCH_ERROR = 0.0013
+
 
 def tally(scored: DataFrame) -> DataFrame:
     return scored.groupBy("label", "prediction", "score").agg(F.count(F.lit(1)).alias("n"))
@@ -81,28 +88,40 @@ def class_metrics(tallied: DataFrame) -> DataFrame:
     )
 
 
+def _bounds(tallied: DataFrame, bins: int) -> list[float] | None:
+    """Infinity and the bounds between bins; None where each score keeps its point."""
+    sketch = F.kll_sketch_agg_double(F.col("score").cast("double"), F.lit(SKETCH_SIZE))
+    ranks = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    sketched = tallied.agg(sketch.alias("sketch"), F.count("score").alias("n"))
+    row = sketched.select(
+        "n", F.when(F.col("n") > 2 * bins, F.kll_sketch_get_quantile_double("sketch", ranks)).alias("bounds")
+    ).first()
+    inner = sorted(set(row["bounds"] or ()))
+    return [-math.inf, *inner, math.inf] if inner else None
+
+
 def thresholds(tallied: DataFrame, bins: int = 0) -> DataFrame:
     """(threshold, positives, negatives, tp, fp, all_positives, all_negatives) a score.
 
     ``tp`` and ``fp`` count the rows that score the threshold or more. With ``bins`` and
-    at least twice as many scores, runs of scores share a point, named by their last.
+    more than twice as many rows of the tally, the scores between two bounds share a
+    point, named by the lowest of them. The bounds are quantiles of a mergeable sketch:
+    each bin has its share of the tally's rows but for twice ``SKETCH_ERROR`` of all.
     """
-    by_score = tallied.groupBy(F.col("score").alias("threshold")).agg(
-        F.sum(F.when(F.col("label") > 0.5, F.col("n")).otherwise(0)).alias("positives"),
-        F.sum(F.when(F.col("label") > 0.5, 0).otherwise(F.col("n"))).alias("negatives"),
-    )
-    if bins:
-        numbered = number_rows(by_score, [F.col("threshold").desc()], unique=True)
-        run = numbered.count() // bins
-        if run >= 2:
-            by_score = numbered.groupBy(F.floor((F.col("number") - 1) / run).alias("run")).agg(
-                F.min("threshold").alias("threshold"),
-                F.sum("positives").alias("positives"),
-                F.sum("negatives").alias("negatives"),
-            ).drop("run")
-    by_score = write_table(by_score)
+    positive = F.sum(F.when(F.col("label") > 0.5, F.col("n")).otherwise(0)).alias("positives")
+    negative = F.sum(F.when(F.col("label") > 0.5, 0).otherwise(F.col("n"))).alias("negatives")
+    bounds = _bounds(tallied, bins) if bins else None
+    if bounds:
+        cut = Bucketizer(splits=bounds, inputCol="score", outputCol="bin", handleInvalid="keep")
+        by_bin = cut.transform(tallied.withColumn("score", F.col("score").cast("double"))).groupBy("bin")
+        by_score = by_bin.agg(F.min("score").alias("threshold"), positive, negative).drop("bin")
+    else:
+        by_score = tallied.groupBy(F.col("score").alias("threshold")).agg(positive, negative)
+    spark = tallied.sparkSession
+    folder = new_folder(spark)
+    by_score = write_table(by_score, folder)
     points = running_totals(
-        by_score, [F.col("threshold").desc()], {"tp": "positives", "fp": "negatives"}
+        by_score, [F.col("threshold").desc()], {"tp": "positives", "fp": "negatives"}, folder_bytes(spark, folder)
     )
     whole = by_score.agg(
         F.coalesce(F.sum("positives"), F.lit(0)), F.coalesce(F.sum("negatives"), F.lit(0))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 from itertools import product
 
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -16,26 +16,29 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyroute.functions.scratch import write_table
 from skyroute.operators import evaluate
 from skyroute.operators.prep import (
+    FOLDS,
     NUMERIC_COLUMNS,
-    SEED,
     STRING_COLUMNS,
     assembler,
     content_key,
+    fold_by_key,
     index_column,
     index_values,
     label_counts,
     split_by_key,
 )
 
-# Bins, iterations, penalties, depths and impurities to train and tune with.
+# Bins, iterations, penalties, depths and impurities to train and tune with,
+# and the learners' names below.
 TREE_BINS = 10_000
 TREE_BINS_TUNED = (10_000, 11_000)
 TREE_DEPTHS_TUNED = (2, 5, 10)
@@ -98,7 +101,7 @@ class Indexed:
 
 @dataclass(frozen=True)
 class Fitted:
-    """A fitted pipeline behind the dictionaries of its text columns.
+    """A fitted classifier behind its assembler and the dictionaries of its text columns.
 
     The dictionaries are tables that rows are joined with. Trees are told only how many
     values a ``nominal`` column has.
@@ -106,14 +109,20 @@ class Fitted:
 
     dictionaries: dict[str, Indexed]
     nominal: tuple[str, ...]
+    assembler: VectorAssembler
     model: Model
 
     def transform(self, rows: DataFrame) -> DataFrame:
-        return self.model.transform(_with_indexes(rows, self.dictionaries, self.nominal))
+        return self.pipeline.transform(_with_indexes(rows, self.dictionaries, self.nominal))
 
     @property
     def stages(self) -> list:
-        return getattr(self.model, "bestModel", self.model).stages
+        return [self.assembler, getattr(self.model, "bestModel", self.model)]
+
+    @property
+    def pipeline(self) -> PipelineModel:
+        """Assembler and classifier; it takes rows with indexed text columns and can be saved."""
+        return PipelineModel(self.stages)
 
 
 @dataclass(frozen=True)
@@ -193,6 +202,8 @@ def fit(
     grid: dict[str, Sequence] | None = None,
     parallelism: int = 4,
     nominal: Sequence[str] | None = None,
+    params: dict[str, object] | None = None,
+    fold_key: Column | None = None,
 ) -> Fitted:
     """Fit the learner called ``name``, by cross-validation if it has a grid.
 
@@ -201,6 +212,10 @@ def fit(
     bins as one of them has values; leave out columns whose values grow with the data,
     and trees take their positions as numbers. The metric of the validation is the ROC
     area of the 0/1 prediction.
+
+    Vectors are assembled once and kept with the label and the fold; all fits of a
+    validation read those. A row's fold is drawn by ``fold_key``, by default a hash of
+    its values. With ``params`` the learner is fitted once with these, without a grid.
     """
     if name not in LEARNERS:
         raise ValueError(f"unknown learner {name!r}; known are {', '.join(LEARNERS)}")
@@ -214,20 +229,26 @@ def fit(
     estimator = learner.estimator(labelCol="label", featuresCol="features")
     if learner.categorical:
         estimator = estimator.setMaxBins(max(TREE_BINS, bins))
-    pipeline = Pipeline(stages=[assembler(string_columns, numeric_columns), estimator])
-    rows = _with_indexes(train, dictionaries, nominal)
-    grid = grid or (learner.tuned_grid if tune else learner.grid)
+    if params:
+        estimator = estimator.copy({estimator.getParam(param): value for param, value in params.items()})
+    grid = None if params is not None else grid or (learner.tuned_grid if tune else learner.grid)
+    fitted = estimator
     if grid is not None:
-        pipeline = CrossValidator(
-            estimator=pipeline,
+        fitted = CrossValidator(
+            estimator=estimator,
             evaluator=BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="prediction"),
             estimatorParamMaps=_param_grid(estimator, grid, bins),
             parallelism=parallelism,
-            seed=SEED,
+            numFolds=FOLDS,
+            foldCol="fold",
         )
-    rows = rows.persist()
+    inputs = [*string_columns, *numeric_columns, "label"]
+    folded = fold_by_key(train, content_key(train.select(inputs)) if fold_key is None else fold_key)
+    vectors = assembler(string_columns, numeric_columns)
+    rows = vectors.transform(_with_indexes(folded, dictionaries, nominal))
+    rows = rows.select("label", "fold", "features").persist()
     try:
-        return Fitted(dictionaries, nominal, pipeline.fit(rows))
+        return Fitted(dictionaries, nominal, vectors, fitted.fit(rows))
     finally:
         rows.unpersist()
 
@@ -276,16 +297,18 @@ def train(
     draw: Column | None = None,
     curve_bins: int = 0,
     nominal: Sequence[str] | None = None,
+    draw_values: int | None = None,
 ) -> Trained:
     """Split labelled rows 70 to 30, fit on the larger part and report on the smaller.
 
     ``draw`` is the integer that decides a row's part, by default a hash of the row, so
-    the parts don't depend on how files are cut. ``keys`` are handed on to the
-    predictions. Curves are exact unless ``curve_bins`` asks for so many points.
+    the parts don't depend on how files are cut; ``draw_values`` is as in ``split_by_key``.
+    ``keys`` are handed on to the predictions. Curves are exact unless ``curve_bins`` asks
+    for so many points.
     """
     inputs = [*dict.fromkeys([*keys, *string_columns, *numeric_columns, "label"])]
     draw = content_key(dataset.select(inputs)) if draw is None else draw
-    stored = write_table(split_by_key(dataset, draw).select(*inputs, "part"))
+    stored = write_table(split_by_key(dataset, draw, values=draw_values).select(*inputs, "part"))
     fitting, testing = (stored.filter(F.col("part") == p).drop("part") for p in ("train", "test"))
     model = fit(name, fitting, string_columns, numeric_columns, tune, grid, parallelism, nominal)
     columns = [f"Indexed{c}" for c in string_columns] + list(numeric_columns)
@@ -303,3 +326,82 @@ def naive_bayes_parameters(model: Fitted, rows: DataFrame) -> DataFrame:
     return rows.sparkSession.createDataFrame(
         parameters, "label DOUBLE, feature INT, log_theta DOUBLE, log_pi DOUBLE"
     )
+
+
+def indexed_rows(model: Fitted, rows: DataFrame) -> DataFrame:
+    """``rows`` with the positions of their text columns, as the model sees them."""
+    return _with_indexes(rows, model.dictionaries, model.nominal)
+
+
+def score_by_parameters(rows: DataFrame, parameters: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``rows`` with ``prediction`` and ``score`` of a naive Bayes, as plain columns.
+
+    ``parameters`` is the table of ``naive_bayes_parameters``: as many rows as classes
+    times ``features``. A class's value is its log prior plus the features weighted by
+    its log likelihoods; the largest is predicted, the smallest class among equals. The
+    score is the probability of class 1.
+    """
+    found = parameters.collect()  # classes x features
+    priors = {r["label"]: r["log_pi"] for r in found}
+    weights = {(r["label"], r["feature"]): r["log_theta"] for r in found}
+    values = []
+    for label in sorted(priors):
+        terms = [F.col(c) * F.lit(weights[label, i]) for i, c in enumerate(features)]
+        values.append((label, reduce(lambda a, b: a + b, terms, F.lit(priors[label]))))
+    best = F.greatest(*[v for _, v in values]) if len(values) > 1 else values[0][1]
+    prediction = F.coalesce(*[F.when(v == best, F.lit(label)) for label, v in values])
+    one = [v for label, v in values if label == 1.0]
+    total = reduce(lambda a, b: a + b, [F.exp(v - best) for _, v in values])
+    score = F.exp(one[0] - best) / total if one else F.lit(0.0)
+    return rows.withColumns({"prediction": prediction, "score": score})
+
+
+def tree_nodes(model: Fitted) -> DataFrame:
+    """The fitted decision tree as a table, one row a node, the root's ``node`` being 0.
+
+    An inner node has a ``feature`` (from 0 on), its ``threshold`` or the sorted
+    ``left_categories``, its children ``low`` and ``high``, and its ``gain``; a leaf has
+    no feature. A row goes to ``low`` if its value is at most the threshold, or one of the
+    categories.
+    """
+    tree = best_stages(model)[-1]
+    session = SparkSession.getActiveSession()
+    rows, waiting = [], [(0, tree._java_obj.rootNode())]
+    while waiting:  # as many steps as the tree has nodes
+        node, it = waiting.pop()
+        if it.subtreeDepth() == 0:
+            rows.append((node, None, None, None, None, None, None, it.prediction(), it.impurity()))
+            continue
+        split, low, high = it.split(), 2 * node + 1, 2 * node + 2
+        continuous = split.getClass().getSimpleName() == "ContinuousSplit"
+        threshold = split.threshold() if continuous else None
+        left = None if continuous else sorted(split.leftCategories())
+        rows.append((node, split.featureIndex(), threshold, left, low, high, it.gain(), it.prediction(), it.impurity()))
+        waiting += [(low, it.leftChild()), (high, it.rightChild())]
+    schema = (
+        "node LONG, feature INT, threshold DOUBLE, left_categories ARRAY<DOUBLE>, low LONG, high LONG,"
+        " gain DOUBLE, prediction DOUBLE, impurity DOUBLE"
+    )
+    return session.createDataFrame(rows, schema)
+
+
+def score_by_nodes(rows: DataFrame, nodes: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``rows`` with the ``prediction`` of a node table, level by level through joins.
+
+    The nodes are broadcast; they come from a model, which is in the driver's memory.
+    """
+    table = write_table(nodes)
+    last = table.agg(F.max("node")).first()[0]
+    depth = (last + 1).bit_length() - 1
+    columns = rows.columns
+    values = F.array(*[F.col(c).cast("double") for c in features])
+    at = rows.withColumns({"_node": F.lit(0).cast("long"), "_values": values})
+    small = F.broadcast(table.select(F.col("node").alias("_node"), "feature", "threshold", "left_categories", "low", "high"))
+    for _ in range(depth):
+        met = at.join(small, "_node")
+        value = F.get(F.col("_values"), F.col("feature"))
+        goes_low = F.coalesce(value <= F.col("threshold"), F.array_contains("left_categories", value))
+        following = F.when(F.col("feature").isNull(), F.col("_node")).when(goes_low, F.col("low")).otherwise(F.col("high"))
+        at = met.select(*columns, "_values", following.alias("_next")).withColumnRenamed("_next", "_node")
+    leaves = F.broadcast(table.select(F.col("node").alias("_node"), F.col("prediction").alias("_prediction")))
+    return at.join(leaves, "_node").select(*columns, F.col("_prediction").alias("prediction"))

@@ -5,14 +5,16 @@ Edges are (src, dst, cost). Vertices are any DataFrame with a column ``code``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyroute.functions.scratch import TwoSlots
+from skyroute.functions.resident import Resident
+from skyroute.functions.scratch import TwoSlots, delete_folder, new_folder, write_table
 from skyroute.operators.graph import RouteGraph, all_codes, known_only, ranked, route_costs
-from skyroute.operators.propagate import EdgeLayout, lay_out, propagate
+from skyroute.operators.propagate import EdgeLayout, lay_out, next_versions, propagate
 
 INFINITY = float("inf")
 
@@ -34,20 +36,45 @@ def cheapest_edges(edges: DataFrame, positive: bool = False) -> DataFrame:
     )
 
 
+def _offers() -> tuple[dict[str, Column], dict[str, Column]]:
+    """What a vertex sends along an edge, and how a vertex merges it."""
+    return {"offer": F.col("cost") + F.col("edge_cost")}, {"offer": F.min("offer")}
+
+
+def _improves() -> Column:
+    return F.col("cost").isNull() | (F.col("offer") < F.col("cost"))
+
+
 def _relax(state: DataFrame, layout: EdgeLayout, keys: Sequence[str]) -> DataFrame:
     """Lower costs along edges until none improves; ``state`` is keys, cost, active."""
-    return propagate(
-        state.withColumn("known", F.col("cost")),
-        layout,
-        send={"cost": F.col("cost") + F.col("edge_cost")},
-        merge={"cost": F.min("cost"), "known": F.min("known")},
-        update={
-            "cost": F.col("cost"),
-            "known": F.col("cost"),
-            "active": F.col("known").isNull() | (F.col("cost") < F.col("known")),
-        },
-        keys=keys,
-    ).select(*keys, "cost")
+    update = {"cost": F.col("offer"), "active": F.lit(True)}
+    return propagate(state, layout, *_offers(), update, keys, _improves()).select(*keys, "cost")
+
+
+def _relax_by_steps(state: DataFrame, light: EdgeLayout, heavy: EdgeLayout, step: float) -> DataFrame:
+    """``_relax`` in the order of costs (delta-stepping).
+
+    Vertices wait in intervals of ``step``. Those of the lowest interval send along
+    ``light`` edges, of at most ``step``, until no more fall into it; their costs are
+    final then, and they send along ``heavy`` edges once. A vertex that is far away
+    doesn't send costs that later rounds lower.
+    """
+    resident = Resident(state.withColumn("waits", F.lit(True)), ["vertex"])
+    better = [F.col("offer").alias("cost"), F.lit(True).alias("active"), F.lit(True).alias("waits")]
+    try:
+        while (low := resident.latest().filter("waits").agg(F.min("cost")).first()[0]) is not None:
+            begin = low // step * step
+            inside = (F.col("cost") >= begin) & (F.col("cost") < max(begin + step, math.nextafter(low, INFINITY)))
+            while resident.append(resident.latest().filter(inside & F.col("waits")).withColumn("waits", F.lit(False))):
+                met = next_versions(resident, light, *_offers())
+                resident.append(met.filter(_improves()).select("vertex", *better))
+            settled = resident.latest().filter(inside)
+            met = next_versions(resident, heavy, *_offers(), settled)
+            resident.append(met.filter(_improves()).select("vertex", *better))
+        return resident.finish().select("vertex", "cost")
+    except BaseException:
+        resident.drop()
+        raise
 
 
 def _start(vertices: DataFrame, source: object) -> DataFrame:
@@ -62,13 +89,29 @@ def _laid_out(edges: DataFrame) -> EdgeLayout:
     return lay_out(edges.withColumnRenamed("cost", "edge_cost"))
 
 
-def cheapest_costs(vertices: DataFrame, edges: DataFrame, source: object) -> DataFrame:
-    """(vertex, cost) for every vertex; infinite where the source does not lead."""
-    layout = _laid_out(cheapest_edges(edges))
+def cheapest_costs(
+    vertices: DataFrame, edges: DataFrame, source: object, step: float | None = None
+) -> DataFrame:
+    """(vertex, cost) for every vertex; infinite where the source does not lead.
+
+    By default every lowered cost is sent on at once. With ``step`` vertices send in
+    intervals of so much cost: more rounds, but fewer messages where edges differ much.
+    """
+    if step is not None and not step > 0:
+        raise ValueError("step must be above zero")
+    best, start = cheapest_edges(edges), _start(vertices, source)
+    layouts = []
     try:
-        reached = _relax(_start(vertices, source), layout, ["vertex"])
+        if step is None:
+            layouts.append(_laid_out(best))
+            reached = _relax(start, layouts[0], ["vertex"])
+        else:
+            layouts.append(_laid_out(best.filter(F.col("cost") <= step)))
+            layouts.append(_laid_out(best.filter(F.col("cost") > step)))
+            reached = _relax_by_steps(start, *layouts, step)
     finally:
-        layout.drop()
+        for layout in layouts:
+            layout.drop()
     return (
         vertices.select(F.col("code").alias("vertex"))
         .join(reached, "vertex", "left")
@@ -174,27 +217,55 @@ def render_path(path: Column) -> Column:
     return F.concat_ws("->", F.element_at(codes, 1), rest)
 
 
+def walk_back(ends: DataFrame, before: DataFrame) -> DataFrame:
+    """(vertex, path): for each vertex of ``ends`` the path of predecessors that leads to it.
+
+    ``before`` has (vertex, head), a forest; a path begins at a vertex without a head. By
+    binary lifting: the ancestors at 1, 2, 4, ... steps are joined from those at half as
+    many, until no end has one that far back. Then the known places of the paths double
+    from the widest step down. A path of n steps takes about 2 log2(n) joins.
+    """
+    spark = before.sparkSession
+    folders: list[str] = []
+
+    def stored(df: DataFrame) -> DataFrame:
+        folders.append(new_folder(spark))
+        return write_table(df, folders[-1])
+
+    ends = ends.select("vertex").distinct()
+    ancestors = [stored(before.select("vertex", F.col("head").alias("up")))]
+    try:
+        while True:
+            last = ancestors[-1]
+            if last.join(ends, "vertex", "left_semi").isEmpty():
+                break
+            further = last.select(F.col("vertex").alias("up"), F.col("up").alias("next"))
+            ancestors.append(stored(last.join(further, "up").select("vertex", F.col("next").alias("up"))))
+        known = ends.select("vertex", F.col("vertex").alias("node"), F.lit(0).cast("long").alias("back"))
+        for i in range(len(ancestors) - 2, -1, -1):
+            step = ancestors[i].select(F.col("vertex").alias("node"), "up")
+            far = known.join(step, "node").select("vertex", F.col("up").alias("node"), F.col("back") + (1 << i))
+            known = known.unionAll(far)
+        places = F.sort_array(F.collect_list(F.struct("back", "node")), asc=False)
+        return write_table(known.groupBy("vertex").agg(places["node"].alias("path")))
+    finally:
+        for folder in folders:
+            delete_folder(spark, folder)
+
+
 def cheapest_multi_hop_paths(graph: RouteGraph, source: object = "LAX", rows: int = 10) -> DataFrame:
     """The ``rows`` cheapest paths of more than two vertices, rendered, with their rank.
 
     A path has more than two vertices if its last predecessor is not the source, so the
     rows are chosen first and only their paths are walked back.
     """
-    spark = graph.routes.sparkSession
-    kept, walked = TwoSlots(spark), TwoSlots(spark)
+    kept = TwoSlots(graph.routes.sparkSession)
     before = _predecessors(all_codes(graph), route_costs(graph.routes), source, kept)
     top = before.filter(F.col("head") != F.lit(source)).orderBy("cost", "vertex").limit(rows)
-    trails = walked.write(top.withColumn("trail", F.array("vertex")))
-    is_open = F.col("head") != F.lit(source)
-    steps = before.select(F.col("vertex").alias("head"), F.col("head").alias("new_head"))
-    while not trails.filter(is_open).isEmpty():
-        longer = F.broadcast(trails.filter(is_open)).join(steps, "head").select(
-            "vertex", "cost", F.col("new_head").alias("head"), F.array_prepend("trail", F.col("head")).alias("trail")
-        )
-        trails = walked.write(trails.filter(~is_open).unionByName(longer))
+    found = top.join(walk_back(top, before), "vertex")
+    # At most ``rows`` rows, which the join may have put out of order.
     rank = F.row_number().over(Window.orderBy("cost", "vertex")).cast("long")
-    path = render_path(F.array_prepend("trail", F.col("head")))
-    return trails.select(rank.alias("rank"), "vertex", path.alias("path"), "cost")
+    return found.select(rank.alias("rank"), "vertex", render_path(F.col("path")).alias("path"), "cost")
 
 
 def cheapest_airports(graph: RouteGraph, source: object = "LAX", rows: int = 10) -> DataFrame:

@@ -15,6 +15,9 @@ from skyroute.functions.ordered import number_rows
 LATE_FROM = 40.0
 SEED = 36
 TRAIN_SHARE = 0.7
+# Of cross-validation, the learning library's default.
+FOLDS = 3
+DRAWS = 1 << 53
 
 # The columns the classifiers learn from.
 STRING_COLUMNS = ("FlightNum", "TailNum")
@@ -87,22 +90,25 @@ def balanced_sample(labelled: DataFrame, seed: int = SEED) -> DataFrame:
     return labelled.sampleBy("label", {0.0: _fraction(labelled), 1.0: 1.0}, seed)
 
 
-def _draw(key: Column) -> Column:
-    return F.coalesce(F.pmod(key, F.lit(1000)), F.lit(0))
+def draw_below(key: Column, share: float, values: int | None) -> Column:
+    """Whether a row is among the ``share`` that its integer key draws; a null key draws 0.
+
+    The key's hash draws one of ``DRAWS`` values. With ``values`` the key itself does,
+    modulo so many: for keys that SQL has to follow.
+    """
+    draw = F.pmod(F.xxhash64(key), F.lit(DRAWS)) if values is None else F.pmod(key, F.lit(values))
+    return F.coalesce(F.when(key.isNotNull(), draw), F.lit(0)) < F.lit(share * (values or DRAWS))
 
 
-def balanced_by_key(labelled: DataFrame, key: Column) -> DataFrame:
+def balanced_by_key(labelled: DataFrame, key: Column, values: int | None = None) -> DataFrame:
     """``balanced_sample`` that draws by an integer key, the same on every run and layout."""
-    kept = (F.col("label") == 1.0) | (
-        (F.col("label") == 0.0) & (_draw(key) < F.lit(_fraction(labelled) * 1000))
-    )
-    return labelled.filter(kept)
+    drawn = draw_below(key, _fraction(labelled), values)
+    return labelled.filter((F.col("label") == 1.0) | ((F.col("label") == 0.0) & drawn))
 
 
-def stratified_by_key(labelled: DataFrame, key: Column) -> DataFrame:
+def stratified_by_key(labelled: DataFrame, key: Column, values: int | None = None) -> DataFrame:
     """``stratified_sample`` that draws by an integer key, the same on every run and layout."""
-    kept = F.col("label").isNotNull() & (_draw(key) < F.lit(_fraction(labelled) * 1000))
-    return labelled.filter(kept)
+    return labelled.filter(F.col("label").isNotNull() & draw_below(key, _fraction(labelled), values))
 
 
 def content_key(rows: DataFrame) -> Column:
@@ -115,12 +121,23 @@ def random_split(rows: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFram
     return train, test
 
 
-def split_by_key(rows: DataFrame, key: Column, train_share: float = TRAIN_SHARE) -> DataFrame:
+def split_by_key(
+    rows: DataFrame, key: Column, train_share: float = TRAIN_SHARE, values: int | None = None
+) -> DataFrame:
     """Add ``part``, train or test, drawn by an integer key."""
-    drawn = _draw(key) < F.lit(round(train_share * 1000))
+    drawn = draw_below(key, train_share, values)
     return rows.withColumn("part", F.when(drawn, "train").otherwise("test"))
 
 
+def fold_by_key(rows: DataFrame, key: Column, folds: int = FOLDS, values: int | None = None) -> DataFrame:
+    """Add ``fold``, 0 to ``folds`` - 1, drawn by an integer key; a null key is in fold 0.
+
+    Like ``split_by_key``, so neither file layout nor a seed changes a row's fold.
+    """
+    draw = F.xxhash64(F.lit("fold"), key) if values is None else F.floor(F.pmod(key, F.lit(values)) * folds / values)
+    return rows.withColumn("fold", F.coalesce(F.pmod(draw, F.lit(folds)), F.lit(0)).cast("int"))
+
+
 def index_values(rows: DataFrame, column: str) -> DataFrame:
     """(value, n, position): the most frequent value is 0, ties go by value."""
     counts = (

@@ -20,10 +20,10 @@ def page_rank(
     """
     multiplicity = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
     layout = lay_out(multiplicity)
-    degrees = layout.edges.groupBy(F.col("src").alias("vertex")).agg(
+    degrees = layout.every().groupBy(F.col("src").alias("vertex")).agg(
         F.sum("copies").alias("out_degree")
     )
-    ends = layout.edges.select(F.explode(F.array("src", "dst")).alias("vertex"))
+    ends = layout.every().select(F.explode(F.array("src", "dst")).alias("vertex"))
     start = (
         vertices.select(F.col("code").alias("vertex"))
         .unionAll(ends)
@@ -43,16 +43,12 @@ def page_rank(
             start,
             layout,
             send={"share": F.col("delta") * F.col("copies") / F.col("out_degree")},
-            merge={
-                "share": F.sum("share"),
-                "rank": F.max("rank"),
-                "out_degree": F.max("out_degree"),
-            },
+            merge={"share": F.sum("share")},
             update={
                 "out_degree": F.col("out_degree"),
-                "rank": F.col("rank") + F.coalesce(delta, F.lit(0.0)),
+                "rank": F.col("rank") + delta,
                 "delta": delta,
-                "active": F.coalesce(delta > tolerance, F.lit(False)),
+                "active": delta > tolerance,
             },
         )
     finally:

@@ -121,6 +121,20 @@ def parse_malformed_lines(spark, sf):
     )
 
 
+@query("scan_malformed_csv", sql.MALFORMED_CSV)
+def scan_malformed_csv(spark, sf):
+    """Sundays hold a name for the day, and every fifth line ends after ten fields."""
+    flights = testviews.flights(spark, sf)
+    known = {c.lower(): c for c in flights.columns}
+    cells = [F.col(known[f.name.lower()]).cast("string") if f.name.lower() in known else F.lit("0") for f in schema.FLIGHTS]
+    cells = [F.when(F.col("dayofweek") == 7, "Sun").otherwise(c) if f.name == "dayofweek" else c
+             for f, c in zip(schema.FLIGHTS, cells)]
+    whole, short = F.concat_ws(",", *cells), F.concat_ws(",", *cells[:10])
+    path = new_folder(spark)
+    flights.select(F.when(F.col("no") == 5, short).otherwise(whole).alias("line")).write.text(path)
+    return source.csv_report(source.read_csv(spark, path, corrupt=True, header=False))
+
+
 def _upper_layout(flights: DataFrame) -> DataFrame:
     known = {
         "YEAR": "year", "MONTH": "month", "DAY": "dayofmonth", "DAY_OF_WEEK": "dayofweek",
@@ -441,9 +455,7 @@ def label_counts(spark, sf):
     return prep.label_counts(_labelled(spark, sf))
 
 
-_BALANCE = """balance AS (
- SELECT count(*) FILTER (label = 1) AS late, count(*) AS total FROM labelled),
-ratios AS (SELECT *, CAST(late AS DOUBLE) / CAST(total - late AS DOUBLE) AS ratio FROM balance)"""
+_BALANCE = sql.BALANCE
 
 
 @query(
@@ -522,7 +534,7 @@ def balanced_sample(spark, sf):
     WHERE label = 1 OR ({sql.SPLIT_KEY}) % 1000 < least(1, ratio) * 1000""",
 )
 def balanced_by_key(spark, sf):
-    sample = prep.balanced_by_key(_labelled(spark, sf), _split_key())
+    sample = prep.balanced_by_key(_labelled(spark, sf), _split_key(), values=1000)
     return sample.select("num", "no", "DepDelay", "label")
 
 
@@ -533,7 +545,7 @@ def balanced_by_key(spark, sf):
     WHERE label IS NOT NULL AND ({sql.SPLIT_KEY}) % 1000 < least(1, ratio) * 1000""",
 )
 def stratified_by_key(spark, sf):
-    sample = prep.stratified_by_key(_labelled(spark, sf), _split_key())
+    sample = prep.stratified_by_key(_labelled(spark, sf), _split_key(), values=1000)
     return sample.select("num", "no", "DepDelay", "label")
 
 
@@ -551,7 +563,7 @@ def random_split(spark, sf):
     CASE WHEN ({sql.SPLIT_KEY}) % 1000 < 700 THEN 'train' ELSE 'test' END AS part FROM labelled""",
 )
 def hash_split(spark, sf):
-    return prep.split_by_key(_labelled(spark, sf), _split_key()).select("num", "no", "label", "part")
+    return prep.split_by_key(_labelled(spark, sf), _split_key(), values=1000).select("num", "no", "label", "part")
 
 
 @query("string_index", f"WITH {sql.FLIGHTS}, {sql.INDEXES} SELECT * FROM flight_index")
@@ -572,16 +584,41 @@ def assemble_features(spark, sf):
     label, count(*) AS n FROM labelled GROUP BY ALL""",
 )
 def split_counts(spark, sf):
-    split = prep.split_by_key(_labelled(spark, sf), _split_key())
+    split = prep.split_by_key(_labelled(spark, sf), _split_key(), values=1000)
     return split.groupBy("part", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "fold_counts",
+    f"""WITH {sql.LABELLED} SELECT CAST(floor(({sql.SPLIT_KEY}) % 1000 * 3 / 1000) AS INT) AS fold,
+    label, count(*) AS n FROM labelled GROUP BY ALL""",
+)
+def fold_counts(spark, sf):
+    """The folds of a cross-validation, drawn from a key of the row."""
+    folded = prep.fold_by_key(_labelled(spark, sf), _split_key(), values=1000)
+    return folded.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "stratified_finely",
+    f"""WITH {sql.LABELLED}, {_BALANCE}
+    SELECT num, no, DepDelay, label FROM labelled, ratios WHERE label IS NOT NULL
+    AND CAST(({sql.SPLIT_KEY}) AS HUGEINT) * {sql.WIDE_FACTOR} % {prep.DRAWS} < least(1, ratio) / 100 * {prep.DRAWS}""",
+)
+def stratified_finely(spark, sf):
+    """A hundredth of the class ratio, which a draw of a thousandth could not keep."""
+    labelled = _labelled(spark, sf)
+    share = prep.class_balance(labelled).first()["fraction"] / 100
+    drawn = prep.draw_below(F.expr(f"({sql.SPLIT_KEY}) * {sql.WIDE_FACTOR}"), share, prep.DRAWS)
+    return labelled.filter(F.col("label").isNotNull() & drawn).select("num", "no", "DepDelay", "label")
+
+
 # --- learners ---
 
 
 def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
     inputs = [*prep.STRING_COLUMNS, *prep.NUMERIC_COLUMNS, "label", "num", "no"]
-    return prep.stratified_by_key(write_table(_labelled(spark, sf).select(*inputs)), _split_key())
+    return prep.stratified_by_key(write_table(_labelled(spark, sf).select(*inputs)), _split_key(), values=1000)
 
 
 def _scores(name: str) -> Query:
@@ -597,6 +634,52 @@ def nb_parameters(spark, sf):
     )
 
 
+_FEATURES = ("IndexedFlightNum", "IndexedTailNum", *prep.NUMERIC_COLUMNS)
+
+
+@query("nb_predictions", sql.bayes_predictions_sql())
+def nb_predictions(spark, sf):
+    """Every flight with the class that the fitted parameters give it, by plain columns."""
+    rows = write_table(_labelled(spark, sf).select(*prep.STRING_COLUMNS, *prep.NUMERIC_COLUMNS, "label", "num", "no"))
+    model = learn.fit("Naive Bayes", rows)
+    parameters = learn.naive_bayes_parameters(model, rows)
+    scored = learn.score_by_parameters(learn.indexed_rows(model, rows), parameters, _FEATURES)
+    return scored.select("num", "no", "label", "prediction")
+
+
+def _stump(spark: SparkSession, sf: str) -> tuple[learn.Fitted, DataFrame]:
+    """A tree of one split, and the evened-out rows it was fitted on.
+
+    The learner takes back a split whose sides predict the same class.
+    """
+    inputs = [*prep.STRING_COLUMNS, *prep.NUMERIC_COLUMNS, "label", "num", "no"]
+    labelled = write_table(_labelled(spark, sf).select(*inputs))
+    rows = write_table(prep.balanced_by_key(labelled, _split_key(), values=1000))
+    return learn.fit("Decision Tree", rows, params={"maxDepth": 1}), rows
+
+
+@query("dt_root_split", sql.root_split_sql())
+def dt_root_split(spark, sf):
+    """The first split of a decision tree, against a search of all splits of all features."""
+    root = learn.tree_nodes(_stump(spark, sf)[0]).filter("node = 0")
+    left = F.array_join(F.transform("left_categories", lambda c: c.cast("long").cast("string")), ",")
+    return root.select("feature", "threshold", left.alias("left_categories"), F.round("gain", 9).alias("gain"))
+
+
+@query("dt_stump_predictions", sql.stump_predictions_sql())
+def dt_stump_predictions(spark, sf):
+    """Every row of the sample with the prediction of the node table of that tree."""
+    model, rows = _stump(spark, sf)
+    scored = learn.score_by_nodes(learn.indexed_rows(model, rows), learn.tree_nodes(model), _FEATURES)
+    return scored.select("num", "no", "label", "prediction")
+
+
+@query("dt_stump_importances", sql.stump_importances_sql())
+def dt_stump_importances(spark, sf):
+    model, rows = _stump(spark, sf)
+    return learn.importances(model, _FEATURES, rows)
+
+
 query("nb_scores")(_scores("Naive Bayes"))
 query("dt_scores")(_scores("Decision Tree"))
 query("svc_scores")(_scores("Linear SVC"))
@@ -613,7 +696,9 @@ def cv_grid(spark, sf):
 @query("scored_rows")
 def scored_rows(spark, sf):
     """The test rows with their keys, predictions and scores."""
-    trained = learn.train("Naive Bayes", _training_rows(spark, sf), keys=("num", "no"), draw=_second_key())
+    trained = learn.train(
+        "Naive Bayes", _training_rows(spark, sf), keys=("num", "no"), draw=_second_key(), draw_values=1000
+    )
     return trained.predictions
 
 

@@ -87,9 +87,16 @@ SCORED = """scored AS (
 
 SPLIT_KEY = "CAST(num AS BIGINT) * 7919 + CAST(no AS BIGINT) * 104729 + CAST(FlightNum AS BIGINT) * 31"
 
+# Spreads the key over 2**53 values; the product stays below 2**63 up to scale 0.1.
+WIDE_FACTOR = 999_999_937
+
 # Another draw from the same key, for the split of a sample that was drawn by it.
 SECOND_KEY = f"({SPLIT_KEY}) {{div}} 1000"
 
+# The tenth field of a short line is its last; a number fewer of fields is malformed as well.
+MALFORMED_CSV = f"""WITH {FLIGHTS} SELECT count(*) AS n_lines,
+ count(*) FILTER (dayofweek = 7 OR no = 5) AS malformed, count(*) FILTER (no = 5) AS short_lines FROM flights"""
+
 PROJECTED = ", ".join(f"{f.name.lower()} AS {f.name}" for f in LINE)
 
 
@@ -202,6 +209,10 @@ def profile_sql() -> str:
     return f"WITH {FLIGHTS} " + " UNION ALL ".join(rows)
 
 
+BALANCE = """balance AS (
+ SELECT count(*) FILTER (label = 1) AS late, count(*) AS total FROM labelled),
+ratios AS (SELECT *, CAST(late AS DOUBLE) / CAST(total - late AS DOUBLE) AS ratio FROM balance)"""
+
 INDEXES = """flight_index AS (
  SELECT FlightNum AS value, count(*) AS n,
   CAST(row_number() OVER (ORDER BY count(*) DESC, FlightNum) - 1 AS DOUBLE) AS position
@@ -216,6 +227,14 @@ FEATURES = f"""{LABELLED}, {INDEXES}, features AS (
   DepTime AS f3, CRSDepTime AS f4, ArrTime AS f5, CRSArrTime AS f6
  FROM labelled JOIN flight_index f ON f.value = FlightNum JOIN tail_index t ON t.value = TailNum)"""
 
+# The same of the evened-out sample.
+SAMPLE_FEATURES = f"""{LABELLED}, {BALANCE}, sampled AS (
+ SELECT labelled.* FROM labelled, ratios WHERE label = 1 OR ({SPLIT_KEY}) % 1000 < least(1, ratio) * 1000),
+{INDEXES.replace("FROM flights", "FROM sampled")}, features AS (
+ SELECT num, no, label, f.position AS f0, t.position AS f1, CAST(dayofweek AS DOUBLE) AS f2,
+  DepTime AS f3, CRSDepTime AS f4, ArrTime AS f5, CRSArrTime AS f6
+ FROM sampled JOIN flight_index f ON f.value = FlightNum JOIN tail_index t ON t.value = TailNum)"""
+
 
 def bayes_sql() -> str:
     sums = ", ".join(f"sum(f{i}) AS s{i}" for i in range(7))
@@ -229,3 +248,69 @@ def bayes_sql() -> str:
         f"WITH {FEATURES}, sums AS (SELECT label, CAST(count(*) AS DOUBLE) AS n, {sums}"
         f" FROM features GROUP BY label) {rows}"
     )
+
+
+def bayes_predictions_sql() -> str:
+    """Each row's class by the sums of the training rows."""
+    sums = ", ".join(f"sum(f{i}) AS s{i}" for i in range(7))
+    whole = " + ".join(f"s{i}" for i in range(7))
+    value = " + ".join(f"f{i} * ln((s{i} + 1) / ({whole} + 7))" for i in range(7))
+    return f"""WITH {FEATURES}, sums AS (
+ SELECT label AS class, CAST(count(*) AS DOUBLE) AS n, {sums} FROM features GROUP BY label),
+classes AS (SELECT *, ln((n + 1) / (sum(n) OVER () + 2)) AS prior FROM sums)
+SELECT num, no, label, class AS prediction FROM (
+ SELECT num, no, label, class, row_number() OVER (PARTITION BY rid ORDER BY prior + {value} DESC, class) AS place
+ FROM (SELECT *, row_number() OVER () AS rid FROM features), classes) WHERE place = 1"""
+
+
+_CATEGORICAL = (0, 1)
+
+
+def _splits() -> str:
+    """Every split of every feature: numbers at midpoints, categories in the
+    learner's order, by how many rows of class 1 they have."""
+    cells = " UNION ALL ".join(f"SELECT {i} AS feature, f{i} AS value, label FROM features" for i in range(7))
+    order = f"CASE WHEN feature IN {_CATEGORICAL} THEN p ELSE value END, value"
+
+    def gini(ones: str, rows: str) -> str:
+        return f"(1 - ({ones} / {rows}) ** 2 - (({rows} - {ones}) / {rows}) ** 2)"
+
+    return f"""cells AS ({cells}),
+counts AS (SELECT feature, value, CAST(sum(label) AS DOUBLE) AS p, CAST(count(*) AS DOUBLE) AS n FROM cells GROUP BY ALL),
+running AS (
+ SELECT feature, value, row_number() OVER w AS place, sum(p) OVER w AS lp, sum(n) OVER w AS ln,
+  sum(p) OVER (PARTITION BY feature) AS p, sum(n) OVER (PARTITION BY feature) AS n, lead(value) OVER w AS following
+ FROM counts WINDOW w AS (PARTITION BY feature ORDER BY {order})),
+splits AS (
+ SELECT *, {gini("p", "n")} - ln / n * {gini("lp", "ln")} - (n - ln) / n * {gini("(p - lp)", "(n - ln)")} AS gain
+ FROM running WHERE ln < n),
+best AS (SELECT * FROM splits ORDER BY gain DESC, feature, place LIMIT 1),
+root AS (
+ SELECT feature, place, gain, lp, ln, p, n,
+  CASE WHEN feature NOT IN {_CATEGORICAL} THEN (value + following) / 2 END AS threshold,
+  CASE WHEN feature IN {_CATEGORICAL} THEN (SELECT list(CAST(value AS BIGINT) ORDER BY value) FROM running r
+   WHERE r.feature = best.feature AND r.place <= best.place) END AS left_categories FROM best)"""
+
+
+def root_split_sql() -> str:
+    return f"""WITH {SAMPLE_FEATURES}, {_splits()}
+SELECT CAST(feature AS INT) AS feature, threshold, array_to_string(left_categories, ',') AS left_categories,
+ round(gain, 9) AS gain FROM root"""
+
+
+def stump_predictions_sql() -> str:
+    value = " ".join(f"WHEN {i} THEN f{i}" for i in range(7))
+    return f"""WITH {SAMPLE_FEATURES}, {_splits()}
+SELECT num, no, label, CASE WHEN CASE WHEN threshold IS NULL THEN list_contains(left_categories, CAST(x AS BIGINT))
+  ELSE x <= threshold END
+ THEN CASE WHEN lp > ln - lp THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+ ELSE CASE WHEN p - lp > n - ln - p + lp THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END END AS prediction
+FROM (SELECT *, CASE feature {value} END AS x FROM features, root)"""
+
+
+def stump_importances_sql() -> str:
+    names = ("IndexedFlightNum", "IndexedTailNum", "DayOfWeek", "DepTime", "CRSDepTime", "ArrTime", "CRSArrTime")
+    rows = ", ".join(f"({i}, '{name}')" for i, name in enumerate(names))
+    return f"""WITH {SAMPLE_FEATURES}, {_splits()}
+SELECT name, CASE WHEN i = feature THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS importance
+FROM root, (VALUES {rows}) AS named(i, name)"""

@@ -10,12 +10,42 @@ from pyspark.sql import types as T
 
 from skyroute import schema
 
+CORRUPT = "_corrupt_record"
+
 
 def read_csv(
-    spark: SparkSession, path: str, layout: T.StructType = schema.FLIGHTS
+    spark: SparkSession,
+    path: str,
+    layout: T.StructType = schema.FLIGHTS,
+    corrupt: bool = False,
+    header: bool = True,
 ) -> DataFrame:
-    """Read a CSV with a header line; columns bind by position, bad fields become null."""
-    return spark.read.schema(layout).option("header", True).csv(path)
+    """Read a CSV with a header line; columns bind by position, bad fields become null.
+
+    With ``corrupt`` a column ``_corrupt_record`` has the line where a field that the query
+    uses is bad, or where their number is another one, and is null for other lines.
+    """
+    reader = spark.read.option("header", header)
+    if corrupt:
+        layout = T.StructType([*layout.fields, T.StructField(CORRUPT, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+    return reader.schema(layout).csv(path)
+
+
+def csv_report(flights: DataFrame) -> DataFrame:
+    """One row: the lines, the malformed ones among them, and of these the short ones.
+
+    ``flights`` are read with ``corrupt``. Separators inside quotes are no field's end.
+    """
+    fields = len(flights.columns) - 1
+    line = F.col(CORRUPT)
+    short = F.size(F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)) < fields
+    # Only fields that are used are parsed and judged: use all.
+    other = F.coalesce(*[F.col(c).cast("string") for c in flights.columns if c != CORRUPT])
+    read = F.count(other) + F.count_if(other.isNull())
+    return flights.agg(
+        read.alias("n_lines"), F.count(line).alias("malformed"), F.count_if(line.isNotNull() & short).alias("short_lines")
+    )
 
 
 def project(flights: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyroute.functions.ordered import with_successor
+from skyroute.functions.scratch import folder_bytes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,7 +79,7 @@ def hops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct (src, dst, dist): each part of an order leads to the order's next part.
 
     The next line is found in the global order of lines, so one huge order spreads
-    over many tasks like any other rows.
+    over many tasks like any other rows. The table's size bounds that of its columns.
     """
     line_order = [
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
@@ -87,7 +88,8 @@ def hops(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         *line_order, F.floor(F.col("l_extendedprice") / 100).cast("double").alias("dist")
     )
-    followed = with_successor(lines, line_order, keep=["l_orderkey", "l_partkey", "dist"])
+    size = folder_bytes(spark, f"{sf_dir}/lineitem.parquet")
+    followed = with_successor(lines, line_order, keep=["l_orderkey", "l_partkey", "dist"], size=size)
     return (
         followed.filter(F.col("next.l_orderkey") == F.col("l_orderkey"))
         .select(F.col("l_partkey").alias("src"), F.col("next.l_partkey").alias("dst"), "dist")

@@ -2,8 +2,10 @@ import random
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import functions as F
 
 from goldens import rows
+from skyroute.functions.scratch import write_table
 from skyroute.operators import evaluate
 
 
@@ -68,6 +70,25 @@ def test_binned_curve_keeps_all_counts(noisy):
     assert kept <= {(r.threshold, r.tp, r.fp) for r in exact.collect()}
 
 
+def test_sketched_bins_are_even_and_areas_close(spark):
+    """Many scores, skewed, in more rows than the sketch holds."""
+    wide = spark.range(60_000, numPartitions=7).select(
+        F.when(F.rand(3) < 0.3 + F.col("id") / 200_000, 1.0).otherwise(0.0).alias("label"),
+        F.lit(0.0).alias("prediction"), F.pow(F.col("id") / 60_000, 3).alias("score"),
+    )
+    tally = write_table(evaluate.tally(wide))
+    bins = 200
+    exact, binned = evaluate.thresholds(tally), evaluate.thresholds(tally, bins)
+    sizes = [r.positives + r.negatives for r in binned.collect()]
+    assert sum(sizes) == 60_000 and len(sizes) == bins
+    most = 60_000 * (1 / bins + 2 * evaluate.SKETCH_ERROR)
+    assert max(sizes) <= most
+    one, other = evaluate.areas(exact).first(), evaluate.areas(binned).first()
+    # Inside a bin the ROC curve is replaced by its chord: less than the bin's square.
+    assert abs(one.auroc - other.auroc) <= bins * (2 * most / 60_000) ** 2
+    assert abs(one.auprc - other.auprc) <= 0.02
+
+
 def test_identities_for_two_classes(noisy):
     row = evaluate.class_metrics(evaluate.tally(noisy)).first()
     assert row.fpr == pytest.approx(1 - row.recall)

@@ -96,6 +96,85 @@ def test_predictions_carry_keys_and_don_t_depend_on_layout(labelled):
     assert one.count() == learn.train("Naive Bayes", keyed, keys=["id"]).splits.filter("part = 'test'").agg(F.sum("n")).first()[0]
 
 
+def test_tuning_doesn_t_depend_on_layout(labelled):
+    """The folds are drawn by a hash of the row, not by where a file puts it."""
+    grid = {"maxBins": (64,), "maxDepth": (1, 3)}
+    found = []
+    for parts in (1, 32):
+        model = learn.fit("Decision Tree", labelled.repartition(parts), grid=grid)
+        found.append(rows(learn.grid_scores(model, labelled)))
+    assert found[0] == found[1] and len(found[0]) == 2
+    folds = prep.fold_by_key(labelled, prep.content_key(labelled)).groupBy("fold").count().collect()
+    assert {r.fold for r in folds} == {0, 1, 2} and all(400 < r["count"] < 600 for r in folds)
+
+
+def test_folds_split_the_rows_of_a_validation(labelled):
+    """The validation scores each fold with a model of the other two."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    grid = {"maxBins": (64,), "maxDepth": (2,)}
+    fitted = learn.fit("Decision Tree", labelled, grid=grid)
+    inputs = [*prep.STRING_COLUMNS, *prep.NUMERIC_COLUMNS, "label"]
+    folded = prep.fold_by_key(labelled, prep.content_key(labelled.select(inputs)))
+    vectors = fitted.assembler.transform(learn.indexed_rows(fitted, folded)).select("label", "fold", "features")
+    area = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="prediction")
+    scores = []
+    for fold in range(3):
+        model = learn.LEARNERS["Decision Tree"].estimator(labelCol="label", featuresCol="features", maxBins=64, maxDepth=2)
+        scores.append(area.evaluate(model.fit(vectors.filter(f"fold <> {fold}")).transform(vectors.filter(f"fold = {fold}"))))
+    assert fitted.model.avgMetrics[0] == pytest.approx(sum(scores) / 3)
+
+
+def test_the_validator_reads_assembled_rows(labelled, monkeypatch):
+    """Vectors are assembled once, before the validation."""
+    seen = []
+    from pyspark.ml.tuning import CrossValidator
+
+    plain = CrossValidator.fit
+    monkeypatch.setattr(CrossValidator, "fit", lambda self, df, *a: seen.append(df) or plain(self, df, *a))
+    learn.fit("Linear SVC", labelled, grid=SMALL_GRIDS["Linear SVC"])
+    assert seen[0].columns == ["label", "fold", "features"]
+
+
+FEATURES = ("IndexedFlightNum", "IndexedTailNum", *prep.NUMERIC_COLUMNS)
+
+
+def test_parameters_as_columns_equal_the_model(labelled):
+    keyed = labelled.withColumn("id", F.monotonically_increasing_id()).cache()
+    model = learn.fit("Naive Bayes", keyed)
+    expected = {r.id: (r.prediction, r.score) for r in learn.score(model, keyed, ["id"]).collect()}
+    parameters = learn.naive_bayes_parameters(model, keyed)
+    scored = learn.score_by_parameters(learn.indexed_rows(model, keyed), parameters, FEATURES)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in plan
+    found = {r.id: (r.prediction, r.score) for r in scored.collect()}
+    assert found.keys() == expected.keys()
+    for i, (prediction, value) in expected.items():
+        assert found[i][0] == prediction and found[i][1] == pytest.approx(value)
+
+
+@pytest.mark.parametrize("depth", [0, 1, 5])
+def test_node_table_equals_the_model(labelled, depth):
+    keyed = labelled.withColumn("id", F.monotonically_increasing_id()).cache()
+    model = learn.fit("Decision Tree", keyed, params={"maxDepth": depth})
+    nodes = learn.tree_nodes(model)
+    assert nodes.count() == model.stages[-1].numNodes
+    assert nodes.filter("feature IS NOT NULL AND (threshold IS NULL) = (left_categories IS NULL)").count() == 0
+    expected = rows(learn.score(model, keyed, ["id"]), "id", "prediction")
+    found = learn.score_by_nodes(learn.indexed_rows(model, keyed), nodes, FEATURES)
+    assert rows(found, "id", "prediction") == expected
+    assert set(keyed.columns) < set(found.columns)
+
+
+def test_saved_pipeline_scores_alike(labelled, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    model = learn.fit("Decision Tree", labelled, params={"maxDepth": 3})
+    model.pipeline.write().overwrite().save(f"{tmp_path}/tree")
+    again = PipelineModel.load(f"{tmp_path}/tree").transform(learn.indexed_rows(model, labelled))
+    assert again.groupBy("prediction").count().collect() == model.transform(labelled).groupBy("prediction").count().collect()
+
+
 def test_same_tree_as_with_labels_on_the_driver(labelled):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import DecisionTreeClassifier

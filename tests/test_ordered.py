@@ -1,4 +1,6 @@
+import pathlib
 import random
+import re
 from itertools import accumulate
 
 import pytest
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 
 from goldens import rows
 from skyroute.functions import ordered
-from skyroute.functions.scratch import scratch_root, write_table
+from skyroute.functions.scratch import new_folder, scope, scratch_root, write_table
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -75,5 +77,55 @@ def test_empty_input(spark):
     assert ordered.running_totals(empty, ["k"], {"t": "n"}).count() == 0
 
 
+@pytest.mark.parametrize("name", ["running_totals", "with_successor"])
+def test_parts_are_read_without_a_second_shuffle(spark, skewed, name):
+    _, df = skewed
+    few = df.groupBy("v").agg(F.sum("n").alias("n"))
+    led = (
+        ordered.running_totals(few, ["v"], {"upto": "n"}) if name == "running_totals"
+        else ordered.with_successor(df, ["k", "v", "n"], ["k", "v"])
+    )
+    plan = led._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Bucketed: true" in plan
+    assert not re.search(r"Exchange hashpartitioning\(_part#\d+, \d+\), ENSURE_REQUIREMENTS.*\n.*FileScan.*_position.*v#", plan)
+    above_window = plan[: plan.index("BroadcastExchange")]
+    assert "Exchange hashpartitioning" not in above_window, plan
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("skyroute_")]
+
+
+def test_parts_follow_the_bytes(spark, skewed, monkeypatch):
+    data, df = skewed
+    sizes = []
+    for most in (1 << 40, 512):
+        monkeypatch.setattr(ordered, "PART_BYTES", most)
+        table = ordered.sort_table(df, ["k", "v", "n"], bucketed=True)
+        sizes.append(table.select(ordered.PART).distinct().count())
+        assert table.count() == len(data)
+    assert sizes[0] <= int(spark.conf.get("spark.sql.shuffle.partitions")) < sizes[1]
+    found = rows(ordered.number_rows(df, ["k", "v", "n"]), "number", "k", "v", "n")
+    assert [r[1:] for r in found] == sorted(data)
+
+
+def folders(spark):
+    path = pathlib.Path(scratch_root(spark).removeprefix("file:")) / "skyroute"
+    return {p.name for p in path.iterdir()} if path.exists() else set()
+
+
+def test_a_scope_leaves_nothing(spark, skewed):
+    _, df = skewed
+    before = folders(spark)
+    kept = new_folder(spark)
+    with scope(spark):
+        write_table(ordered.number_rows(df, ["k", "v", "n"]), kept)
+        with scope(spark):
+            ordered.with_successor(df, ["k"], ["k"]).count()
+    assert folders(spark) - before == {kept.rsplit("/", 1)[1]}
+    assert spark.read.parquet(kept).count() == df.count()
+    with pytest.raises(ZeroDivisionError), scope(spark):
+        write_table(df)
+        1 / 0
+    assert folders(spark) - before == {kept.rsplit("/", 1)[1]}
+
+
 def test_scratch_folder_is_the_session_setting(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")

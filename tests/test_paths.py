@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from goldens import EDGES_B, graph_a, graph_b, rows
 from skyroute.functions.costmaps import add_to_costs, cheaper_costs
+from skyroute.functions.resident import Resident
 from skyroute.operators import graph, paths, propagate, ranks
 
 INF = float("inf")
@@ -129,7 +130,7 @@ def test_against_brute_force_with_a_split_hub(spark, hub, monkeypatch):
 
     def split(edges):
         layout = laid_out(edges, 20)
-        seen.append((layout.table, layout.fans.count()))
+        seen.append((layout.tables, layout.fans.count() if layout.fans else 0))
         return layout
 
     monkeypatch.setattr(paths, "lay_out", split)
@@ -155,7 +156,7 @@ def test_against_brute_force_with_a_split_hub(spark, hub, monkeypatch):
         )
     assert seen[0][1] >= 1, "the hub has several slots"
     tables = [t.name for t in spark.catalog.listTables()]
-    assert not any(table in tables for table, _ in seen), "the laid-out tables are dropped"
+    assert not any(table in tables for own, _ in seen for table in own), "the laid-out tables are dropped"
 
 
 def test_large_layout_shuffles_no_edges(spark, hub):
@@ -164,17 +165,122 @@ def test_large_layout_shuffles_no_edges(spark, hub):
     try:
         frontier = spark.range(60).select(F.col("id").alias("vertex"))
         plan = layout.out_of(frontier)._jdf.queryExecution().executedPlan().toString()
-        edge_branch = plan[plan.index("FileScan parquet spark_catalog") :]
-        assert "Bucketed: true" in edge_branch
-        assert plan.count("Exchange hashpartitioning") == 1, plan
+        scans = [line for line in plan.splitlines() if "FileScan parquet spark_catalog" in line]
+        assert len(scans) == 2 and all("Bucketed: true" in line for line in scans)
+        # Rows are hashed once for the near edges and, spread over slots, for those of hubs.
+        assert plan.count("Exchange hashpartitioning") == 2, plan
         assert "ShuffledHashJoin" in plan and "Sort [" not in plan, plan
-        hub_rows = layout.edges.filter("src = 0")
-        assert hub_rows.select("slot").distinct().count() > 1
-        assert layout.edges.count() == table.count()
+        assert layout.hubs.filter("src = 0").select("slot").distinct().count() > 1
+        assert layout.edges.filter("src = 0").isEmpty()
+        assert layout.every().count() == table.count()
     finally:
         layout.drop()
 
 
+def test_a_round_shuffles_its_messages_alone(spark, hub):
+    _, codes, table = hub
+    layout = propagate.lay_out(table.withColumnRenamed("cost", "edge_cost"))
+    start = codes.select(F.col("code").alias("vertex"), F.lit(1.0).alias("cost"), F.lit(True).alias("active"))
+    resident = Resident(start, ["vertex"])
+    try:
+        met = propagate.next_versions(resident, layout, *paths._offers())
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1, plan
+        before_exchange = plan[plan.index("Exchange hashpartitioning(vertex") :]
+        assert "partial_min" in before_exchange, "messages are combined on the map side"
+        better = met.filter("offer < 0.5").select("vertex", F.col("offer").alias("cost"), F.lit(True).alias("active"))
+        writing = better.withColumn("_round", F.lit(1))._jdf.queryExecution().executedPlan().toString()
+        assert writing.count("Exchange") == 1
+    finally:
+        resident.drop()
+        layout.drop()
+
+
+def test_rounds_write_their_frontier(spark, monkeypatch):
+    """On a chain every round changes one row, whatever the size of the state."""
+    written = []
+    append = Resident.append
+    monkeypatch.setattr(Resident, "append", lambda self, rows: written.append(append(self, rows)) or written[-1])
+    chain = spark.createDataFrame([(i, i + 1, 1.0) for i in range(12)], "src LONG, dst LONG, cost DOUBLE")
+    codes = spark.range(13).withColumnRenamed("id", "code")
+    costs = dict(rows(paths.cheapest_costs(codes, chain, 0)))
+    assert costs == {i: float(i) for i in range(13)}
+    assert written == [1] * 12 + [0]
+
+
+def test_resident_rows_keep_their_newest_version(spark):
+    draw = random.Random(4)
+    truth = {(i % 40, i % 3): float(i) for i in range(100)}
+    start = spark.createDataFrame([(a, b, v, "x") for (a, b), v in truth.items()], "a LONG, b LONG, v DOUBLE, w STRING")
+    store = Resident(start, ["a", "b"], least=0)
+    folders = set()
+    for _ in range(7):
+        folders.add(store._folder)
+        new = {(draw.randrange(60), draw.randrange(3)): draw.random() for _ in range(50)}
+        frame = spark.createDataFrame([(a, b, v, "y") for (a, b), v in new.items()], "a LONG, b LONG, v DOUBLE, w STRING")
+        assert store.append(frame) == len(new)
+        truth.update(new)
+        assert {(r.a, r.b): r.v for r in store.changed().collect()} == new
+        assert {(r.a, r.b): r.v for r in store.latest().collect()} == truth
+        assert store.versions().count() <= 2 * len(truth) + len(new)
+    assert len(folders) > 1, "versions were thinned out"
+    asked = spark.createDataFrame([(0, 0, 5), (99, 0, 6)], "a LONG, b LONG, ask LONG")
+    met = {(r.a, r.ask): (r.v, r.w) for r in store.join_latest(asked).collect()}
+    assert met == {(0, 5): (truth[0, 0], met[0, 5][1]), (99, 6): (None, None)}
+    out = store.finish()
+    assert {(r.a, r.b): r.v for r in out.collect()} == truth
+    assert store._table not in [t.name for t in spark.catalog.listTables()]
+
+
+@pytest.mark.parametrize("step", [0.7, 5.0, 1e9])
+def test_steps_give_the_same_costs(spark, hub, step):
+    edges, codes, table = hub
+    costs = dict(rows(paths.cheapest_costs(codes, table, 0, step=step)))
+    assert {v: c for v, c in costs.items() if c < INF} == brute_force(edges, 0)
+    with pytest.raises(ValueError):
+        paths.cheapest_costs(codes, table, 0, step=0)
+
+
+def test_steps_send_fewer_messages(spark, monkeypatch):
+    """A ladder where every long rung is undercut by short ones later."""
+    n = 14
+    edges = [(i, i + 1, 1.0) for i in range(n)]
+    edges += [(0, i, 3.0 * i) for i in range(2, n + 1)] + [(i, 100 + 20 * i + j, 0.5) for i in range(n + 1) for j in range(20)]
+    table = spark.createDataFrame(edges, "src LONG, dst LONG, cost DOUBLE")
+    codes = spark.createDataFrame([(c,) for c in sorted({v for e in edges for v in e[:2]})], "code LONG")
+    sent = []
+    out_of = propagate.EdgeLayout.out_of
+
+    def counted(self, rows):
+        found = out_of(self, rows)
+        sent[-1] += found.count()
+        return found
+
+    monkeypatch.setattr(propagate.EdgeLayout, "out_of", counted)
+    found = []
+    for step in (None, 1.0):
+        sent.append(0)
+        found.append(rows(paths.cheapest_costs(codes, table, 0, step=step)))
+    assert found[0] == found[1] and dict(found[0]) == brute_force(edges, 0)
+    assert sent[1] == len(edges), "every edge carries one message"
+    assert sent[1] < 0.8 * sent[0]
+
+
+def test_walk_back_by_lifting(spark, monkeypatch):
+    n = 500
+    before = spark.createDataFrame([(i, i - 1) for i in range(1, n + 1)] + [(901, 900), (902, 901)], "vertex LONG, head LONG")
+    ends = spark.createDataFrame([(n,), (3,), (902,), (902,), (1,), (0,)], "vertex LONG")
+    written = []
+    write = paths.write_table
+    monkeypatch.setattr(paths, "write_table", lambda df, *a: written.append(1) or write(df, *a))
+    found = {r.vertex: r.path for r in paths.walk_back(ends, before).collect()}
+    assert found == {
+        n: list(range(n + 1)), 3: [0, 1, 2, 3], 902: [900, 901, 902], 1: [0, 1], 0: [0]
+    }
+    assert len(written) <= 12, "ancestors at powers of two"
+    assert paths.walk_back(ends.limit(0), before).count() == 0
+
+
 def test_triangle_inequality(spark, hub):
     edges, codes, table = hub
     cost = dict(rows(paths.cheapest_costs(codes, table, 0)))
@@ -232,9 +338,8 @@ def test_round_limit(spark):
     state = propagate.propagate(
         start,
         layout,
-        send={"cost": F.col("cost") + F.col("edge_cost"), "fresh": F.lit(True)},
-        merge={"cost": F.min("cost"), "fresh": F.coalesce(F.max("fresh"), F.lit(False))},
-        update={"cost": F.col("cost"), "active": F.col("fresh")},
+        *paths._offers(),
+        update={"cost": F.col("offer"), "active": F.lit(True)},
         max_rounds=2,
     )
     assert rows(state, "vertex", "cost") == [(0, 0.0), (1, 1.0), (2, 2.0)]

@@ -74,6 +74,24 @@ def test_splits_are_disjoint_and_whole(many):
     assert no_key.count() == 20_000
 
 
+def test_small_shares_are_drawn(spark):
+    """A class share far below a thousandth keeps its share, not a thousandth."""
+    few = spark.range(400_000).select("id", F.when(F.col("id") % 5000 == 0, 50.0).otherwise(1.0).alias("DepDelay"))
+    labelled = prep.label_delays(few)
+    sample = dict(rows(prep.label_counts(prep.balanced_by_key(labelled, F.col("id")))))
+    assert sample[1.0] == 80 and 50 <= sample[0.0] <= 115
+
+
+def test_folds_cover_all_rows(many):
+    folds = dict(rows(prep.fold_by_key(many, F.col("id"), 5).groupBy("fold").count()))
+    assert sum(folds.values()) == 20_000 and set(folds) == set(range(5))
+    assert all(abs(n / 20_000 - 0.2) < 0.02 for n in folds.values())
+    assert dict(rows(prep.fold_by_key(many, F.lit(None).cast("long")).groupBy("fold").count())) == {0: 20_000}
+    both = prep.split_by_key(prep.fold_by_key(many, F.col("id")), F.col("id"))
+    shares = rows(both.groupBy("fold", "part").count())
+    assert all(abs(n / 20_000 - (0.7 if part == "train" else 0.3) / 3) < 0.02 for _, part, n in shares)
+
+
 def test_index_values_and_unseen(spark):
     train = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "s STRING")
     values = prep.index_values(train, "s")
