@@ -183,25 +183,34 @@ def held_out(doc_id):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def _sample_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for first, last, data, bounds in text_pieces(batch.column(1)):
-            features, lengths, doc = line_features(data, bounds)
-            counts = np.bincount(doc, minlength=last - first)
-            for i in np.flatnonzero((counts > 0) & (counts <= SAMPLE_LINES)):
-                own = doc == i
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first + i, 1),
-                        pa.array([features[own].astype(np.float32).ravel()], pa.list_(pa.float32())),
-                        pa.array([lengths[own].astype(np.float32)], pa.list_(pa.float32())),
-                    ],
-                    ["quality", "features", "lengths"],
-                )
-
-
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from the labelled documents that are not held out."""
+def _sample_lines(most: int):
+    """Quality, features and lengths of the first ``most`` lines of each text with lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, data, bounds in text_pieces(batch.column(1)):
+                features, lengths, doc = line_features(data, bounds)
+                counts = np.bincount(doc, minlength=last - first)
+                for i in np.flatnonzero(counts > 0):
+                    own = np.flatnonzero(doc == i)[:most]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).slice(first + i, 1),
+                            pa.array([features[own].astype(np.float32).ravel()], pa.list_(pa.float32())),
+                            pa.array([lengths[own].astype(np.float32)], pa.list_(pa.float32())),
+                        ],
+                        ["quality", "features", "lengths"],
+                    )
+
+    return run
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_lines: int = SAMPLE_LINES) -> Model:
+    """Learn from the labelled documents that are not held out.
+
+    At most 2 x ``sample`` documents reach the driver, each with the features of its
+    first ``sample_lines`` lines, as Arrow columns of 4-byte numbers.
+    """
     small_batches(docs.sparkSession)
     known = labels.filter(~held_out("doc_id") & F.col("quality").isin(0, 1))
     known = known.groupBy("doc_id").agg(F.min("quality").cast("long").alias("quality"))
@@ -219,16 +228,24 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     # An id that many rows share counts once, like its label.
     one = F.min_by("text", F.xxhash64("text")).alias("text")
     rows = rows.groupBy("doc_id").agg(F.first("quality").alias("quality"), one).select("quality", "text")
-    lines = rows.mapInArrow(_sample_lines, "quality long, features array<float>, lengths array<float>").collect()
-    if len({r["quality"] for r in lines}) < 2:
+    found = rows.mapInArrow(_sample_lines(sample_lines), "quality long, features array<float>, lengths array<float>")
+    found = found.toArrow().combine_chunks()
+    quality = found.column("quality").to_numpy()
+    if len(np.unique(quality)) < 2:
         share = counts[1] / (counts[0] + counts[1])
         return Model(np.zeros(N_FEATURES), np.zeros((2, 2)), 0.0, float(np.log(share / (1 - share))))
-    lines.sort(key=lambda r: (r["quality"], r["lengths"], r["features"]))  # whatever order tasks end in
-    quality = np.array([r["quality"] for r in lines])
-    sizes = np.array([len(r["lengths"]) for r in lines])
-    features = np.concatenate([r["features"] for r in lines]).reshape(-1, N_FEATURES).astype(float)
-    lengths = np.concatenate([r["lengths"] for r in lines]).astype(float)
-    doc = np.repeat(np.arange(len(lines)), sizes)
+    features, lengths = (found.column(c).combine_chunks() for c in ("features", "lengths"))
+    sizes = lengths.value_lengths().to_numpy()
+    features = features.flatten().to_numpy().reshape(-1, N_FEATURES)
+    lengths = lengths.flatten().to_numpy()
+    ends = np.cumsum(sizes)
+    spans = [slice(e - n, e) for e, n in zip(ends, sizes)]
+    # Whatever order tasks end in.
+    order = sorted(range(len(spans)), key=lambda i: (quality[i], lengths[spans[i]].tobytes(), features[spans[i]].tobytes()))
+    features = np.concatenate([features[spans[i]] for i in order]).astype(float)
+    lengths = np.concatenate([lengths[spans[i]] for i in order]).astype(float)
+    quality, sizes = quality[order], sizes[order]
+    doc = np.repeat(np.arange(len(order)), sizes)
     weights, change = learn(features, doc, quality[doc], np.ones(len(doc)))
     model = Model(weights, change, 1.0, 0.0)
     _, means = document_means(model, features, lengths, doc)

@@ -16,7 +16,9 @@ Words are runs of ASCII letters, lower-cased, digits and characters above U+007F
 shingle is ``SHINGLE`` words, or the whole text if it has fewer. Defined cases: null and
 empty texts contain nothing and are contained in nothing; equal items are found each for
 itself; rows equal in doc_id and text are one document; other columns are ignored by
-``search`` and kept by ``remove``; without items nothing is contaminated.
+``search`` and kept by ``remove``; without items nothing is contaminated. An item of fewer
+words than a shingle is contained only in texts of just its words. A very long text is
+read whole, in windows; its row carries the shingles that it shares with items.
 """
 
 from __future__ import annotations
@@ -166,19 +168,22 @@ def search(
     index = index_items(items, shingle)
     classes = sorted(r[0] for r in index.select("size_class").distinct().collect())  # at most CLASSES
     bands = index.select("item", F.explode("bands").alias("band"))
-    parts = index.select("item", F.explode("shingles").alias("part"))
+    parts = index.select(F.explode("shingles").alias("part"))
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     key = docs.schema["doc_id"].dataType.simpleString()
-    run = _document_rows(classes, Slots(bands.select("band")), Slots(parts.select("part")), shingle)
+    run = _document_rows(classes, Slots(bands.select("band")), Slots(parts), shingle)
     hits = texts.mapInArrow(run, f"doc_id {key}, text_hash long, hits array<long>, shingles array<long>")
     hits = write_table(hits.dropDuplicates(["doc_id", "text_hash"]).withColumn("doc", F.monotonically_increasing_id()))
     pairs = hits.select("doc", F.explode("hits").alias("band")).join(bands, "band").select("doc", "item").distinct()
-    shared = hits.select("doc", F.explode("shingles").alias("part")).join(parts, "part")
-    n_shared = shared.join(pairs, ["doc", "item"]).groupBy("doc", "item").agg(F.count("*").alias("n_shared"))
-    sized = index.select("item", "item_id", F.size("shingles").cast("long").alias("n_item"))
+    # Shingles are compared for the pairs alone: a common one would join all its items.
+    own = hits.select("doc", "doc_id", "text_hash", F.col("shingles").alias("doc_shingles"))
+    both = pairs.join(own, "doc").join(index.select("item", "item_id", "shingles"), "item")
+    n_shared = F.size(F.array_intersect("doc_shingles", "shingles")).cast("long")
+    counted = both.select(
+        "doc_id", "text_hash", "item_id", F.size("shingles").cast("long").alias("n_item"), n_shared.alias("n_shared")
+    )
     share = F.col("n_shared") / F.col("n_item")
-    found = n_shared.join(sized, "item").filter(share >= containment)
-    named = found.join(hits.select("doc", "doc_id", "text_hash"), "doc")
+    named = counted.filter((F.col("n_shared") > 0) & (share >= containment))
     return named.select("doc_id", "text_hash", "item_id", "n_item", "n_shared", share.alias("containment"))
 
 

@@ -15,7 +15,7 @@ every ``INTERIOR - GROUP + 1`` consecutive groups the smallest name is an anchor
 Every window therefore holds an anchor that all its occurrences share.
 
 Anchors are counted by Spark; those of two documents or more reveal candidate windows,
-which ``repeats`` verifies word for word. Copies of whole texts are left out before.
+whose words ``repeats`` compares by 96 bits of hash. Copies of whole texts are left out before.
 """
 
 from __future__ import annotations
