@@ -208,10 +208,10 @@ def fit(
     """Fit the learner called ``name``, by cross-validation if it has a grid.
 
     Text columns become the positions of their values by frequency in ``train``. Trees
-    take the ``nominal`` ones, by default all, as categories and get at least as many
-    bins as one of them has values; leave out columns whose values grow with the data,
-    and trees take their positions as numbers. The metric of the validation is the ROC
-    area of the 0/1 prediction.
+    take the ``nominal`` ones as categories and get at least as many bins as one of them
+    has values; of other columns they take the positions as numbers. By default columns
+    of fewer than ``TREE_BINS`` values are nominal, so bins don't grow with the data. The
+    metric of the validation is the ROC area of the 0/1 prediction.
 
     Vectors are assembled once and kept with the label and the fold; all fits of a
     validation read those. A row's fold is drawn by ``fold_key``, by default a hash of
@@ -220,11 +220,13 @@ def fit(
     if name not in LEARNERS:
         raise ValueError(f"unknown learner {name!r}; known are {', '.join(LEARNERS)}")
     learner = LEARNERS[name]
-    nominal = tuple(string_columns if nominal is None else nominal) if learner.categorical else ()
     dictionaries = {}
     for column in string_columns:
         values = write_table(index_values(train, column))
         dictionaries[column] = Indexed(values, values.count())
+    if nominal is None:
+        nominal = [c for c in string_columns if dictionaries[c].size < TREE_BINS]
+    nominal = tuple(nominal) if learner.categorical else ()
     bins = max((dictionaries[c].size for c in nominal), default=0) + 1
     estimator = learner.estimator(labelCol="label", featuresCol="features")
     if learner.categorical:

@@ -188,15 +188,17 @@ def test_same_tree_as_with_labels_on_the_driver(labelled):
     assert ours.toDebugString.split("\n", 1)[1] == plain.toDebugString.split("\n", 1)[1]
 
 
-@pytest.mark.parametrize("name", ["Naive Bayes", "Linear SVC"])
+@pytest.mark.parametrize("name", ["Naive Bayes", "Linear SVC", "Decision Tree"])
 def test_many_categories(spark, name):
     wide = spark.range(200_000).select(
         F.col("id").cast("string").alias("FlightNum"), (F.col("id") % 7).cast("string").alias("TailNum"),
         *[(F.col("id") % 1440).cast("double").alias(c) for c in prep.NUMERIC_COLUMNS],
         (F.col("id") % 2).cast("double").alias("label"),
     )
-    grid = {"maxIter": (2,)} if name == "Linear SVC" else None
-    fitted = learn.fit(name, wide, grid=grid)
+    params = {"Linear SVC": {"maxIter": 2}, "Decision Tree": {"maxDepth": 2}}.get(name)
+    fitted = learn.fit(name, wide, params=params)
+    if name == "Decision Tree":  # bins don't grow with a column's values
+        assert fitted.nominal == ("TailNum",) and fitted.stages[-1].getMaxBins() == learn.TREE_BINS
     assert fitted.dictionaries["FlightNum"].size == 200_000
     assert learn.score(fitted, wide).filter("prediction IN (0, 1)").count() == 200_000
 
