@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyroute.functions.scratch import write_table
+from skyroute.functions.scratch import scope, write_table
 from skyroute.operators import learn, prep
 from skyroute.sources import flights as source
 
@@ -52,6 +52,11 @@ def left_out(read: DataFrame, labelled: DataFrame, sample: DataFrame) -> DataFra
 
 
 def run(spark: SparkSession, options: argparse.Namespace) -> None:
+    with scope(spark):  # the reports are written inside
+        _run(spark, options)
+
+
+def _run(spark: SparkSession, options: argparse.Namespace) -> None:
     read = source.read_csv(spark, options.flights, corrupt=True)
     rows = source.project(read)
     invalid = "skip" if options.skip_bad_delays else "error"

@@ -90,23 +90,19 @@ def lay_out(
 def _lay_out(edges: DataFrame, folder: str, slot_rows: int, max_hubs: int, max_buckets: int) -> EdgeLayout:
     spark = edges.sparkSession
     stored = write_table(edges, f"{folder}/edges")
-    total = stored.count()
+    by_source = stored.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
+    total, most = by_source.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
     # At most total / slot_rows sources exceed slot_rows, which bounds the broadcast.
     slot_rows = max(slot_rows, math.ceil(total / max_hubs))
-    fans = write_table(
-        stored.groupBy("src")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > slot_rows)
-        .select("src", F.ceil(F.col("n") / slot_rows).cast("int").alias("fan")),
-        f"{folder}/fans",
-    )
     # With fewer buckets than shuffle partitions Spark would shuffle the table after all.
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(min(math.ceil(total / slot_rows), max_buckets), least)
-    if fans.isEmpty():
+    if most <= slot_rows:
         near, name = write_bucketed(stored, ["src"], buckets, f"{folder}/near")
         delete_folder(spark, f"{folder}/edges")
         return EdgeLayout(near, None, None, folder, [name])
+    fan = F.ceil(F.col("n") / slot_rows).cast("int").alias("fan")
+    fans = write_table(by_source.filter(F.col("n") > slot_rows).select("src", fan), f"{folder}/fans")
     few = stored.join(F.broadcast(fans), "src", "left_anti")
     near, name = write_bucketed(few, ["src"], buckets, f"{folder}/near")
     others = [c for c in edges.columns if c != "src"]
