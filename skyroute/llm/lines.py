@@ -1,32 +1,34 @@
-"""Fuzzy line dedup: rare shared words, word bitmaps, edit similarity, one line per group.
+"""Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, one line per group.
 
 A line's normal form is its sequence of words: runs of ASCII letters, digits and
-characters above U+007F, lower-cased, every digit written as 0. Lines of one normal form
-are equal. Different lines are linked if the edit similarity of their word sequences (one
-less the edit distance over the longer length) is at least ``SIMILARITY``. Linked and
-equal lines form groups, and only the occurrence in the smallest (doc_id, place) stays.
-
-No linked pair is missed. Of a line's n words at most n - SIMILARITY * n have no
-counterpart in a linked one, so by the pigeonhole principle both have a word in common
-among the one more than so many that are rarest in each. These words are the keys to meet
-at; any order of rarity will do if it is one for all, so it is counted on a sample. At a
-key a pair is dropped only if its lengths, or bitmaps of its words, show more words
-without a counterpart than the similarity allows. The rest is verified.
-
-First this finds the forms with a partner, and only the words of these travel. A group of
-many similar lines is not compared pair by pair: at each key, forms that are still free
-are tied to the most frequent free one whose SimHash differs in at most ``DISTANCE`` bits,
-and these few pairs are verified. What remains are pairs whose ends are not connected by
-then; all of them are verified, whatever their SimHashes, so no connection is lost.
+characters above U+007F, lower-cased; with ``fold_digits`` every digit is written as 0.
+Lines of one normal form are equal. Different lines are linked if
+
+- their SimHashes, 256 bits over distinct words, agree in one of 16 blocks of 16 bits,
+- they differ in at most ``DISTANCE`` bits, and
+- the edit similarity of their word sequences (one less the edit distance over the longer
+  length) is at least ``SIMILARITY``.
+
+By the pigeonhole principle all lines within 15 bits agree in a block; most pairs farther
+apart do as well. ``exact=True`` takes the complete search of ``linesearch`` instead, which
+needs no SimHash and misses no line of that edit similarity. Linked and equal lines form
+groups, and only the occurrence in the smallest (doc_id, place) stays.
+
+Fingerprints meet first, without words: each form is sent to its 16 blocks, and a pair in
+reach is taken at the first block it agrees in. Only forms with a partner then send their
+words to those blocks. There a task verifies a pair unless links found before connect it,
+so a block of n lines gives fewer than n links. Blocks with more than ``TILE`` forms
+are dealt into groups, and every pair of groups is a task of its own.
 
 Defined cases: null and empty texts, and lines without words, are left as they are; rows
 equal in doc_id and text are one document and keep the same lines; a null ``doc_id`` is
-smallest; a text whose lines all go becomes empty; other columns pass unchanged.
+smallest; a text whose lines all go becomes empty; other columns pass unchanged. A very
+long text without a newline is one line and one row; its edit distance is computed bit by
+bit in parallel over what two lines don't share at their ends, quadratic in that length.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,452 +36,288 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyroute.functions.scratch import write_table
+from skyroute.functions.scratch import new_folder, scope, write_table
+from skyroute.llm import linesearch
 from skyroute.llm.components import connect
+from skyroute.llm.lineforms import by_key, can_link, fitting_pairs, line_words, similar, simhashes, spans, wanted_forms
 from skyroute.llm.repeats import checked_broadcast
-from skyroute.llm.text import ALNUM, FOLD_DIGITS, PRIMARY, SECOND, U64, Slots, mix, signed, small_batches, words_of
+from skyroute.llm.text import FOLD, FOLD_DIGITS, PRIMARY, SECOND, U64, Slots, mix, signed, small_batches
 
-DISTANCE = 16  # for ties only; pairs farther apart are verified as well
+DISTANCE = 56  # of 256 bits
 SIMILARITY = 0.8
-SAMPLE = 8  # one text of so many is counted for the order of words
-RANK_BITS, KEY_BITS, FORMS = 20, 46, 1 << 18
+BLOCKS, BLOCK_BITS = 16, 16
+TILE = 4096
+SEEN = 1 << 16
 LANES = ("s0", "s1", "s2", "s3")
-PAIRS, SEEN = 1 << 20, 1 << 16
-# A byte's bits, one in each byte of an integer.
-_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(U64)[:, 0]
-
-
-def _line_words(texts: pa.Array):
-    """Per piece: rows, line places, words' hashes and each line's first and last word."""
-    for first, last, words in words_of(texts, ALNUM):
-        breaks = np.flatnonzero(words.data == 10)
-        inner = words.byte_bounds[1:-1]
-        begin = np.unique(np.concatenate([[0], breaks + 1, inner]))
-        begin = begin[begin < len(words.data)]
-        end = np.append(begin[1:], len(words.data))
-        lo, hi = np.searchsorted(words.starts, begin), np.searchsorted(words.starts, end)
-        row = np.searchsorted(words.byte_bounds, begin, "right") - 1
-        # A line's place is the number of newlines before it in its text.
-        newlines = np.searchsorted(breaks, begin)
-        place = newlines - np.searchsorted(breaks, words.byte_bounds[row])
-        some = hi > lo
-        yield first, row[some], place[some], words.hashes(FOLD_DIGITS), lo[some], hi[some], words
-
-
-def simhashes(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Bits set in more than half of the words of each span; spans follow each other.
-
-    Eight counters of eight bits share an integer, so spans are counted in parts of 255.
-    """
-    if not len(lo):
-        return np.zeros(0, U64)
-    parts = -(-(hi - lo) // 255)
-    first = np.cumsum(parts) - parts
-    starts = np.repeat(lo - 255 * first, parts) + 255 * np.arange(int(parts.sum())) - lo[0]
-    lanes = np.ascontiguousarray(hashes[lo[0] : hi[-1]]).view(np.uint8).reshape(-1, 8)
-    counts = np.empty((len(starts), 64), np.int32)
-    for lane in range(8):
-        sums = np.add.reduceat(_SPREAD[lanes[:, lane]], starts)
-        counts[:, 8 * lane : 8 * lane + 8] = sums.view(np.uint8).reshape(-1, 8)
-    if len(starts) > len(lo):
-        counts = np.add.reduceat(counts, first, axis=0)
-    return np.packbits(2 * counts > (hi - lo)[:, None], axis=1, bitorder="little").view(U64)[:, 0]
-
-
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for first, row, place, hashes, lo, hi, words in _line_words(batch.column(1)):
-            if not len(row):
-                continue
-            keys = batch.select([0, 2]).take(pa.array(first + row))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *keys.columns,
-                    pa.array(place.astype(np.int32)),
-                    signed(mix(PRIMARY.spans(hashes, lo, hi))),
-                    signed(mix(SECOND.spans(hashes, lo, hi))),
-                ],
-                ["doc_id", "text_hash", "place", "a", "b"],
-            )
+_SALTS = mix(np.arange(1, len(LANES) + 1, dtype=U64))
+_PRINT = ", ".join(f"{lane} long" for lane in LANES)
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, place, a, b`` of lines with words; a, b name the form."""
-    small_batches(docs.sparkSession)
-    key = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return texts.mapInArrow(
-        _occurrences, f"doc_id {key}, text_hash long, place int, a long, b long"
-    )
+def fingerprints(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """256 SimHash bits, four integers a row, of lines with ``n[i]`` words each.
 
-
-def _ranks(docs: DataFrame) -> np.ndarray:
-    """How common words are, on a log scale, by the first ``RANK_BITS`` bits of their hash.
-
-    It is counted on a sample of the texts. Any table gives the same links.
+    A word counts once a line, so frequent words don't make unlike lines meet.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << RANK_BITS, np.int64)
-        for batch in batches:
-            for _, _, words in words_of(batch.column(0), ALNUM):
-                slot = words.hashes(FOLD_DIGITS) >> U64(64 - RANK_BITS)
-                counts += np.bincount(slot.astype(np.int64), minlength=len(counts))
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["slot", "n"])
-
-    sample = docs.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
-    found = sample.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    found = found.toArrow()  # at most 2**RANK_BITS rows of two numbers
-    counts = np.zeros(1 << RANK_BITS)
-    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
-    return np.minimum(np.log2(1 + counts) * 64, 2047).astype(U64)
+    line = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((hashes, line))
+    hashes, line = hashes[order], line[order]
+    once = np.append(True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1]))[: len(hashes)]
+    n = np.bincount(line[once], minlength=len(n))
+    hashes, end = hashes[once], np.cumsum(n)
+    return np.stack([simhashes(mix(hashes ^ salt), end - n, end) for salt in _SALTS], axis=1)
 
 
-def _spans(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """The places of all spans, one after the other."""
-    n = hi - lo
-    return np.arange(int(n.sum())) + np.repeat(lo - np.cumsum(n) + n, n)
+def _fold(fold_digits: bool) -> np.ndarray:
+    return FOLD_DIGITS if fold_digits else FOLD
 
 
-def _can_link(size: np.ndarray, least: float) -> np.ndarray:
-    """Whether a different form can be similar to one of so many words."""
-    longest = np.floor(size / least + 1e-9)
-    return _missing(longest, least) >= 1
+def _occurrences(fold: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, row, place, hashes, lo, hi, words in line_words(batch.column(1), fold):
+                if not len(row):
+                    continue
+                keys = batch.select([0, 2]).take(pa.array(first + row))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *keys.columns,
+                        pa.array(place.astype(np.int32)),
+                        signed(mix(PRIMARY.spans(hashes, lo, hi))),
+                        signed(mix(SECOND.spans(hashes, lo, hi))),
+                    ],
+                    ["doc_id", "text_hash", "place", "a", "b"],
+                )
 
+    return run
 
-def _missing(size: np.ndarray, least: float) -> np.ndarray:
-    """The words of a line that may lack a counterpart in a similar one that isn't longer."""
-    return np.floor(size - least * size + 1e-9).astype(np.int64)
 
+def occurrences(docs: DataFrame, fold_digits: bool = False) -> DataFrame:
+    """``doc_id, text_hash, place, a, b`` of lines with words; a, b name the form."""
+    small_batches(docs.sparkSession)
+    key = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return texts.mapInArrow(
+        _occurrences(_fold(fold_digits)), f"doc_id {key}, text_hash long, place int, a long, b long"
+    )
 
-def _rare_words(flat: np.ndarray, n: np.ndarray, ranks: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Keys to meet at, ``form, key``: the rarest words of each form, without repeats.
 
-    ``flat`` has ``n[i]`` words of each form. A key is a word's rank and hash bits, so
-    sorted keys are the order of rarity.
-    """
-    forms, keys = [], []
-    ends = np.cumsum(n)
-    for i in range(0, len(n), FORMS):
-        own = n[i : i + FORMS]
-        words = flat[ends[i] - n[i] : ends[i + len(own) - 1]]
-        word = ranks[words >> U64(64 - RANK_BITS)] << U64(KEY_BITS - 11) | words >> U64(64 - KEY_BITS + 11)
-        word = np.sort(np.repeat(np.arange(len(own), dtype=U64), own) << U64(KEY_BITS) | word)
-        begin = np.cumsum(own) - own
-        rare = word[_spans(begin, begin + np.minimum(_missing(own, least) + 1, own))]
-        rare = rare[np.append(True, rare[1:] != rare[:-1])] if len(rare) else rare
-        forms.append((rare >> U64(KEY_BITS)).astype(np.int64) + i)
-        keys.append((rare & U64((1 << KEY_BITS) - 1)).astype(np.int64))
-    return np.concatenate(forms), np.concatenate(keys)
-
-
-def _bitmaps(flat: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
-    """256 bits of each form in four integers, one set for each word."""
-    begin = np.cumsum(n) - n
-    bit, lane = U64(1) << (flat & U64(63)), flat >> U64(6) & U64(3)
-    return [np.bitwise_or.reduceat(np.where(lane == U64(i), bit, U64(0)), begin) for i in range(4)]
-
-
-def _keys_of_texts(ranks, least: float):
-    """``key, a, size`` and bitmap of lines, once per piece and form."""
+def _prints(least: float, fold: np.ndarray):
+    """``a``, size and fingerprint of lines that can be linked, once per piece and form."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for batch in batches:
-            for _, _, _, hashes, lo, hi, _ in _line_words(batch.column(0)):
+            for _, _, _, hashes, lo, hi, _ in line_words(batch.column(0), fold):
                 a, once = np.unique(mix(PRIMARY.spans(hashes, lo, hi)), return_index=True)
                 fresh = np.array([x not in seen for x in a.tolist()], bool)
-                fresh &= _can_link(hi[once] - lo[once], least)
+                fresh &= can_link(hi[once] - lo[once], least)
                 a, lo, hi = a[fresh], lo[once[fresh]], hi[once[fresh]]
                 if not len(a):
                     continue
                 if len(seen) > SEEN:
                     seen.clear()
                 seen.update(a.tolist())
-                flat, n = hashes[_spans(lo, hi)], hi - lo
-                form, key = _rare_words(flat, n, ranks.value, least)
-                columns = [pa.array(key), signed(a[form]), pa.array(n[form].astype(np.int32))]
-                columns += [signed(lane[form]) for lane in _bitmaps(flat, n)]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "a", "size", *LANES])
+                prints = fingerprints(hashes[spans(lo, hi)], hi - lo)
+                columns = [signed(a), pa.array((hi - lo).astype(np.int32)), *(signed(x) for x in prints.T.copy())]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "size", *LANES])
 
     return run
 
 
-def _keys_of_words(ranks, least: float):
-    """``key``, all columns but the first, size, SimHash and bitmap of forms with ``words``."""
+def _blocks(prints: np.ndarray) -> np.ndarray:
+    """The blocks of each fingerprint, a number below ``BLOCKS << BLOCK_BITS`` each."""
+    bits = np.ascontiguousarray(prints).view("<u2").astype(np.int64)
+    return bits + (np.arange(BLOCKS) << BLOCK_BITS)
+
+
+def _tiles(prints: DataFrame, tile: int) -> np.ndarray:
+    """For each block the number of groups of some ``tile`` forms that it is dealt into."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BLOCKS << BLOCK_BITS, np.int64)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            flat = batch.column(0).flatten().to_numpy().view(U64)
-            n = batch.column(0).value_lengths().to_numpy().astype(np.int64)
-            form, key = _rare_words(flat, n, ranks.value, least)
-            others = batch.select(batch.schema.names[1:]).take(pa.array(form))
-            sims = simhashes(flat, np.cumsum(n) - n, np.cumsum(n))
-            columns = [pa.array(key), *others.columns, pa.array(n[form].astype(np.int32)), signed(sims[form])]
-            columns += [signed(lane[form]) for lane in _bitmaps(flat, n)]
-            yield pa.RecordBatch.from_arrays(columns, ["key", *others.schema.names, "size", "sim", *LANES])
+            lanes = np.stack([c.to_numpy().view(U64) for c in batch.columns], axis=1)
+            counts += np.bincount(_blocks(lanes).ravel(), minlength=len(counts))
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["block", "n"])
 
-    return run
+    found = prints.select(*LANES).mapInArrow(run, "block long, n long").groupBy("block").agg(F.sum("n").alias("n"))
+    found = found.filter(F.col("n") > tile).toArrow()  # at most 2**20 rows of two numbers
+    groups = np.ones(BLOCKS << BLOCK_BITS, np.int32)
+    groups[found.column("block").to_numpy()] = -(-found.column("n").to_numpy() // tile)
+    return groups
 
 
-def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
-    """Sorted rows in tables of whole keys, with the bounds of keys of two rows or more."""
-
-    def cut(rows: pa.Table, bounds: np.ndarray):
-        some = np.diff(bounds) > 1
-        return rows, bounds[:-1][some], bounds[1:][some]
-
-    rest = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        if rest and batch.column("key")[-1] == rest[0].column("key")[-1]:
-            rest.append(batch)
-            continue
-        rows = pa.Table.from_batches([*rest, batch])
-        key = rows.column("key").to_numpy()
-        bounds = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        yield cut(rows.slice(0, bounds[-1]), bounds)
-        rest = rows.slice(bounds[-1]).to_batches()
-    if rest:
-        rows = pa.Table.from_batches(rest)
-        yield cut(rows, np.array([0, rows.num_rows]))
-
-
-class _Screen:
-    """Which pairs of rows may be similar, by their sizes and bitmaps."""
-
-    def __init__(self, rows: pa.Table, least: float):
-        self.size = rows.column("size").to_numpy().astype(np.int64)
-        self.missing = _missing(self.size, least)
-        self.maps = np.stack([rows.column(lane).to_numpy().view(U64) for lane in LANES], axis=1)
-        self.bits = np.bitwise_count(self.maps).sum(axis=1, dtype=np.int64)
-        self.least = least
-
-    def may(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        shorter, longest = np.minimum(self.size[x], self.size[y]), np.maximum(self.size[x], self.size[y])
-        both = np.bitwise_count(self.maps[x] & self.maps[y]).sum(axis=-1, dtype=np.int64)
-        lone = np.maximum(self.bits[x], self.bits[y]) - both
-        return (shorter >= self.least * longest - 1e-9) & (lone <= np.maximum(self.missing[x], self.missing[y]))
-
-    def pairs(self, key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of rows with one key and fitting sizes; rows are sorted by key and size."""
-        block = np.cumsum(np.append(0, key[1:] != key[:-1]))
-        top = int(self.size.max()) + 1
-        longest = np.minimum(np.floor(self.size / self.least + 1e-9).astype(np.int64), top - 1)
-        count = np.searchsorted(block * top + self.size, block * top + longest, "right") - np.arange(len(key)) - 1
-        total = np.cumsum(count)
-        i = 0
-        while i < len(key):
-            before = total[i] - count[i]
-            j = max(i + 1, int(np.searchsorted(total, before + PAIRS, "right")))
-            x = np.repeat(np.arange(i, j), count[i:j])
-            y = x + 1 + np.arange(len(x)) - np.repeat(total[i:j] - count[i:j] - before, count[i:j])
-            yield x, y
-            i = j
-
-
-def _with_partner(least: float):
-    """Forms that may be similar to another one; rows are sorted by key, size and form."""
+def _group(a: np.ndarray, groups: np.ndarray) -> np.ndarray:
+    return (a.view(U64) % groups.astype(U64)).astype(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _, _ in _by_key(batches):
-            if not rows.num_rows:
-                continue
-            key, a = rows.column("key").to_numpy(), rows.column("a").to_numpy()
-            first = np.append(True, (key[1:] != key[:-1]) | (a[1:] != a[:-1]))
-            rows, key, a = rows.filter(pa.array(first)), key[first], a[first]
-            screen, told = _Screen(rows, least), np.zeros(len(a), bool)
-            for x, y in screen.pairs(key):
-                near = screen.may(x, y)
-                told[x[near]] = told[y[near]] = True
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(a[told]))], ["a"])
 
-    return run
+def _places(a: np.ndarray, prints: np.ndarray, wanted: np.ndarray | None, tiles: np.ndarray):
+    """Rows and keys to meet at: the block, and the pair of groups where it is dealt."""
+    blocks = _blocks(prints)
+    row = np.repeat(np.arange(len(a)), BLOCKS)
+    if wanted is not None:
+        some = (wanted[:, None] >> np.arange(BLOCKS) & 1).astype(bool).ravel()
+        row, blocks = row[some], blocks.ravel()[some]
+    blocks = blocks.ravel()
+    groups = tiles[blocks].astype(np.int64)
+    own = np.repeat(_group(a[row], groups), groups)
+    other = spans(np.zeros(len(groups), np.int64), groups)
+    key = np.repeat(blocks, groups) << 32 | np.minimum(own, other) << 16 | np.maximum(own, other)
+    return np.repeat(row, groups), key
+
+
+class _Reach:
+    """Which pairs of rows, of one key, are in reach and taken at this key."""
 
+    def __init__(self, rows: pa.Table, distance: int, tiles: np.ndarray):
+        self.key = rows.column("key").to_numpy()
+        self.prints = np.stack([rows.column(lane).to_numpy().view(U64) for lane in LANES], axis=1)
+        self.blocks = _blocks(self.prints)
+        self.group = _group(rows.column("a").to_numpy(), tiles[self.key >> 32])
+        self.within = (self.key >> 16 & 0xFFFF) == (self.key & 0xFFFF)
+        self.distance = distance
 
-def _pair_rows(rows: pa.Table, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
-    form = pa.StructArray.from_arrays([rows.column(c).combine_chunks() for c in ("a", "b")], ["a", "b"])
-    return pa.RecordBatch.from_arrays([form.take(pa.array(x)), form.take(pa.array(y))], ["x", "y"])
+    def pairs(self, size: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for x, y in fitting_pairs(self.key, size, least):
+            near = np.bitwise_count(self.prints[x] ^ self.prints[y]).sum(axis=1, dtype=np.int64) <= self.distance
+            near &= self.within[x] | (self.group[x] != self.group[y])
+            x, y = x[near], y[near]
+            first = (self.blocks[x] == self.blocks[y]).argmax(axis=1) == self.key[x] >> 32 + BLOCK_BITS
+            yield x[first], y[first]
 
 
-def _ties(distance: int, least: float):
-    """Pairs of each free form in reach with the first free form of its key."""
+def _keys(tiles):
+    """``key`` and fingerprint of each form, once for each place to meet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, begins, ends in _by_key(batches):
-            if not len(begins):
-                continue
-            sims, screen = rows.column("sim").to_numpy().view(U64), _Screen(rows, least)
-
-            def near(x, y):
-                return (np.bitwise_count(sims[x] ^ sims[y]) <= distance) & screen.may(x, y)  # noqa: B023
-
-            two = begins[ends - begins == 2]
-            two = two[near(two, two + 1)]
-            heads, members = [two], [two + 1]
-            for b, e in zip(begins[ends - begins > 2], ends[ends - begins > 2]):
-                free = np.arange(b, e)
-                while len(free) > 1:
-                    head, rest = free[0], free[1:]
-                    told = near(np.full(len(rest), head), rest)
-                    members.append(rest[told])
-                    heads.append(np.full(len(members[-1]), head))
-                    free = rest[~told]
-            yield _pair_rows(rows, np.concatenate(heads), np.concatenate(members))
+        for batch in batches:
+            prints = np.stack([batch.column(lane).to_numpy().view(U64) for lane in LANES], axis=1)
+            row, key = _places(batch.column("a").to_numpy(), prints, None, tiles.value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), *batch.take(pa.array(row)).columns], ["key", *batch.schema.names]
+            )
 
     return run
 
 
-def _open_pairs(least: float):
-    """Pairs ``x < y`` that may be similar, of different roots; rows are sorted by key and size."""
+def _partners(distance: int, least: float, tiles):
+    """``a`` and the blocks, as bits, where a form has a partner; rows are sorted by key and size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _, _ in _by_key(batches):
+        for rows, _, _ in by_key(batches):
             if not rows.num_rows:
                 continue
-            a, b, root, other = (rows.column(c).to_numpy() for c in ("a", "b", "root_a", "root_b"))
-            screen = _Screen(rows, least)
-            for x, y in screen.pairs(rows.column("key").to_numpy()):
-                apart = (root[x] != root[y]) | (other[x] != other[y])
-                x, y = x[apart], y[apart]
-                told = screen.may(x, y)
-                x, y = x[told], y[told]
-                turn = (a[x] > a[y]) | (a[x] == a[y]) & (b[x] > b[y])
-                if len(x):
-                    yield _pair_rows(rows, np.where(turn, y, x), np.where(turn, x, y))
+            reach, told = _Reach(rows, distance, tiles.value), np.zeros(rows.num_rows, bool)
+            for x, y in reach.pairs(rows.column("size").to_numpy().astype(np.int64), least):
+                told[x] = told[y] = True
+            bits = 1 << (reach.key[told] >> 32 + BLOCK_BITS)
+            a = rows.column("a").to_numpy()[told]
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(bits)], ["a", "blocks"])
 
     return run
 
 
-def edit_distance(a: list, b: list) -> int:
-    """Insertions, deletions and replacements between two sequences, bit-parallel."""
-    if len(a) > len(b):
-        a, b = b, a
-    if not a:
-        return len(b)
-    where: dict = {}
-    for i, x in enumerate(a):
-        where[x] = where.get(x, 0) | 1 << i
-    full, top = (1 << len(a)) - 1, 1 << len(a) - 1
-    up, down, score = full, 0, len(a)
-    for x in b:
-        same = where.get(x, 0)
-        diagonal = (((same & up) + up) ^ up) | same | down
-        gain, loss = down | ~(diagonal | up) & full, up & diagonal
-        score += bool(gain & top) - bool(loss & top)
-        gain, loss = (gain << 1 | 1) & full, loss << 1 & full
-        up, down = loss | ~(diagonal | gain) & full, gain & diagonal
-    return score
-
-
-def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
-    longest, shortest = max(len(a), len(b)), min(len(a), len(b))
-    if shortest < least * longest:
-        return False
-    differ = np.flatnonzero(a[:shortest] != b[:shortest])
-    if not len(differ):
-        return True  # one begins with the other
-    a, b = a[differ[0] :], b[differ[0] :]
-    shortest = min(len(a), len(b))
-    differ = np.flatnonzero(a[::-1][:shortest] != b[::-1][:shortest])
-    end = differ[0] if len(differ) else shortest
-    a, b = a[: len(a) - end].tolist(), b[: len(b) - end].tolist()
-    # The distance is at least the number of words without a counterpart anywhere.
-    common = (Counter(a) & Counter(b)).total()
-    if longest - (max(len(a), len(b)) - common) < least * longest:
-        return False
-    return longest - edit_distance(a, b) >= least * longest
-
-
-def _forms(wanted: Slots):
-    """The words of lines whose form is perhaps wanted, once per piece and form."""
+def _keys_of_words(tiles):
+    """``key``, form, size, fingerprint and words of forms at the blocks where they have a partner."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, _, hashes, lo, hi, _ in _line_words(batch.column(0)):
-                a, once = np.unique(mix(PRIMARY.spans(hashes, lo, hi)), return_index=True)
-                some = wanted.has(a)
-                a, lo, hi = a[some], lo[once[some]], hi[once[some]]
-                if not len(a):
-                    continue
-                b = mix(SECOND.spans(hashes, lo, hi))
-                words = pa.array([hashes[i:j].view(np.int64) for i, j in zip(lo, hi)], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([signed(a), signed(b), words], ["a", "b", "words"])
+            if not batch.num_rows:
+                continue
+            words = batch.column("words")
+            n = words.value_lengths().to_numpy().astype(np.int64)
+            prints = fingerprints(words.flatten().to_numpy().view(U64), n)
+            row, key = _places(batch.column("a").to_numpy(), prints, batch.column("blocks").to_numpy(), tiles.value)
+            others = batch.select(["a", "b", "words"]).take(pa.array(row))
+            columns = [pa.array(key), *others.columns, pa.array(n[row].astype(np.int32))]
+            columns += [signed(lane) for lane in prints[row].T.copy()]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "a", "b", "words", "size", *LANES])
 
     return run
 
 
-def _verified(least: float):
+def _links(distance: int, least: float, tiles):
+    """Verified pairs that connect, at each key, all that are linked there."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ends = []
-            for name in ("x_words", "y_words"):
-                column = batch.column(name)
-                ends.append((column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(column.value_lengths())])))
-            (x, i), (y, j) = ends
-            same = [similar(x[i[k] : i[k + 1]], y[j[k] : j[k + 1]], least) for k in range(batch.num_rows)]
-            yield batch.select(["x", "y"]).filter(pa.array(same, pa.bool_()))
+        for rows, _, _ in by_key(batches):
+            if not rows.num_rows:
+                continue
+            words = rows.column("words").combine_chunks()
+            flat = words.flatten().to_numpy()
+            end = np.cumsum(words.value_lengths().to_numpy().astype(np.int64))
+            parent = list(range(len(end)))
+
+            def root(i):
+                while parent[i] != i:  # noqa: B023
+                    parent[i] = parent[parent[i]]  # noqa: B023
+                    i = parent[i]  # noqa: B023
+                return i
+
+            def line(i):
+                return flat[end[i - 1] if i else 0 : end[i]]  # noqa: B023
+
+            found: list[tuple[int, int]] = []
+            reach = _Reach(rows, distance, tiles.value)
+            for x, y in reach.pairs(rows.column("size").to_numpy().astype(np.int64), least):
+                for i, j in zip(x.tolist(), y.tolist()):
+                    u, v = root(i), root(j)
+                    if u != v and similar(line(i), line(j), least):
+                        parent[v] = u
+                        found.append((i, j))
+            form = pa.StructArray.from_arrays([rows.column(c).combine_chunks() for c in ("a", "b")], ["a", "b"])
+            ends = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([form.take(pa.array(e)) for e in ends.T.copy()], ["x", "y"])
 
     return run
 
 
-def _verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """The ``pairs`` x, y of forms that are similar; a written table."""
-    form = F.struct("a", "b")
-    x = words.select(form.alias("x"), F.col("words").alias("x_words"))
-    y = words.select(form.alias("y"), F.col("words").alias("y_words"))
-    both = pairs.join(x, "x").join(y, "y").select("x", "y", "x_words", "y_words")
-    return write_table(both.mapInArrow(_verified(similarity), "x struct<a:long,b:long>, y struct<a:long,b:long>"))
-
-
-def links(docs: DataFrame, forms: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs ``x, y`` of forms that connect what verified links connect, and no more.
-
-    ``forms`` has ``a, b, times``, one row per form.
-    """
-    if not 0 < similarity <= 1:
-        raise ValueError("the similarity must be above 0 and at most 1")
-    ranks = docs.sparkSession.sparkContext.broadcast(_ranks(docs))
-    lanes = ", ".join(f"{lane} long" for lane in LANES)
-    pair = "x struct<a:long,b:long>, y struct<a:long,b:long>"
-    met = docs.select("text").mapInArrow(_keys_of_texts(ranks, similarity), f"key long, a long, size int, {lanes}")
-    met = met.repartition("key").sortWithinPartitions("key", "size", "a")
-    partners = met.mapInArrow(_with_partner(similarity), "a long").distinct()
-    wanted = write_table(forms.join(partners, "a"))
-    found = docs.select("text").mapInArrow(_forms(Slots(wanted.select("a"))), "a long, b long, words array<long>")
-    words = write_table(found.dropDuplicates(["a", "b"]).join(wanted, ["a", "b"]))
-    keyed = words.select("words", "a", "b", "times").mapInArrow(
-        _keys_of_words(ranks, similarity), f"key long, a long, b long, times long, size int, sim long, {lanes}"
+def links(
+    docs: DataFrame,
+    distance: int = DISTANCE,
+    similarity: float = SIMILARITY,
+    fold_digits: bool = False,
+    tile: int = TILE,
+) -> DataFrame:
+    """Pairs ``x, y`` of forms that connect what linked forms connect, and no more."""
+    spark, fold = docs.sparkSession, _fold(fold_digits)
+    texts = docs.select("text")
+    prints = texts.mapInArrow(_prints(similarity, fold), f"a long, size int, {_PRINT}").dropDuplicates(["a"])
+    prints = write_table(prints)
+    tiles = spark.sparkContext.broadcast(_tiles(prints, tile))
+    met = prints.mapInArrow(_keys(tiles), f"key long, a long, size int, {_PRINT}")
+    met = met.repartition("key").sortWithinPartitions("key", "size")
+    partners = met.mapInArrow(_partners(distance, similarity, tiles), "a long, blocks long")
+    wanted = write_table(partners.groupBy("a").agg(F.bit_or("blocks").alias("blocks")))
+    found = texts.mapInArrow(wanted_forms(Slots(wanted.select("a")), fold), "a long, b long, words array<long>")
+    words = found.dropDuplicates(["a", "b"]).join(wanted, "a")
+    keyed = words.mapInArrow(
+        _keys_of_words(tiles), f"key long, a long, b long, words array<long>, size int, {_PRINT}"
     )
-    ranked = keyed.repartition("key").sortWithinPartitions("key", F.desc("times"), "a", "b")
-    ties = ranked.mapInArrow(_ties(distance, similarity), pair)
-    ordered = ties.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    tied = write_table(ordered.distinct())
-    sure = _verify(tied, words, similarity)
-    roots = connect(sure)
-    form = F.struct("a", "b")
-    group = words.join(roots, form == F.col("node"), "left").withColumn("root", F.coalesce("root", form))
-    group = group.select("words", "a", "b", F.col("root.a").alias("root_a"), F.col("root.b").alias("root_b"))
-    at = group.mapInArrow(
-        _keys_of_words(ranks, similarity),
-        f"key long, a long, b long, root_a long, root_b long, size int, sim long, {lanes}",
-    )
-    at = at.drop("sim").repartition("key").sortWithinPartitions("key", "size")
-    left = at.mapInArrow(_open_pairs(similarity), pair).distinct()
-    rest = _verify(left.join(tied, ["x", "y"], "left_anti"), words, similarity)
-    return roots.select(F.col("node").alias("x"), F.col("root").alias("y")).unionAll(rest)
+    keyed = keyed.repartition("key").sortWithinPartitions("key", "size", "a", "b")
+    pair = "x struct<a:long,b:long>, y struct<a:long,b:long>"
+    return keyed.mapInArrow(_links(distance, similarity, tiles), pair)
 
 
-def repeated(docs: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY) -> DataFrame:
+def repeated(
+    docs: DataFrame,
+    distance: int = DISTANCE,
+    similarity: float = SIMILARITY,
+    fold_digits: bool = False,
+    exact: bool = False,
+) -> DataFrame:
     """``doc_id, text_hash, places``: for each text with repeated lines, those to remove."""
-    lines = write_table(occurrences(docs))
+    if not 0 < similarity <= 1:
+        raise ValueError("the similarity must be above 0 and at most 1")
+    lines = write_table(occurrences(docs, fold_digits))
     first = F.min(F.struct("doc_id", "text_hash", "place")).alias("first")
     forms = write_table(lines.groupBy("a", "b").agg(first, F.count("*").alias("times")))
-    roots = connect(links(docs, forms.drop("first"), distance, similarity))
+    if exact:
+        linked = linesearch.links(docs, forms.drop("first"), similarity, _fold(fold_digits))
+    else:
+        linked = links(docs, distance, similarity, fold_digits)
+    roots = connect(linked)
     forms = forms.select(F.struct("a", "b").alias("form"), "first", F.col("times").alias("n"))
     member = forms.join(roots, forms["form"] == roots["node"], "left")
     member = member.select("form", "first", "n", F.coalesce("root", "form").alias("root"))
@@ -490,9 +328,11 @@ def repeated(docs: DataFrame, distance: int = DISTANCE, similarity: float = SIMI
     return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
 
-def _apply(docs: DataFrame, distance: int, similarity: float) -> DataFrame:
+def _apply(docs: DataFrame, *how) -> DataFrame:
     """``row``, its shortened ``text``, its ``n_lines`` and the ``places`` removed."""
-    drop = write_table(repeated(docs, distance, similarity))
+    folder = new_folder(docs.sparkSession)
+    with scope(docs.sparkSession):
+        drop = write_table(repeated(docs, *how), folder)
     drop = checked_broadcast(drop, "places")
     drop = drop.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "places")
     rows = docs.select(F.struct("*").alias("row"))
@@ -505,12 +345,18 @@ def _apply(docs: DataFrame, distance: int, similarity: float) -> DataFrame:
     return joined.select("row", text.alias("text"), (F.size(every)).cast("long").alias("n_lines"), "places")
 
 
-def dedup(docs: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY) -> DataFrame:
+def dedup(
+    docs: DataFrame,
+    distance: int = DISTANCE,
+    similarity: float = SIMILARITY,
+    fold_digits: bool = False,
+    exact: bool = False,
+) -> DataFrame:
     """``docs`` without the repeated lines; every row and column stays, ``text`` is shortened.
 
     ``n_chars``, where it is a column, follows the text.
     """
-    out = _apply(docs, distance, similarity)
+    out = _apply(docs, distance, similarity, fold_digits, exact)
     row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -518,9 +364,15 @@ def dedup(docs: DataFrame, distance: int = DISTANCE, similarity: float = SIMILAR
     return out.select(row.alias("row")).select("row.*")
 
 
-def report(docs: DataFrame, distance: int = DISTANCE, similarity: float = SIMILARITY) -> DataFrame:
+def report(
+    docs: DataFrame,
+    distance: int = DISTANCE,
+    similarity: float = SIMILARITY,
+    fold_digits: bool = False,
+    exact: bool = False,
+) -> DataFrame:
     """Per row: its lines, the lines removed and the SHA-256 of what is left (null: empty)."""
-    out = _apply(docs.select("doc_id", "text"), distance, similarity)
+    out = _apply(docs.select("doc_id", "text"), distance, similarity, fold_digits, exact)
     return out.select(
         "row.doc_id",
         F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
