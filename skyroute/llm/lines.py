@@ -318,11 +318,15 @@ def repeated(
     else:
         linked = links(docs, distance, similarity, fold_digits)
     roots = connect(linked)
+    nodes = roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct())
     forms = forms.select(F.struct("a", "b").alias("form"), "first", F.col("times").alias("n"))
-    member = forms.join(roots, forms["form"] == roots["node"], "left")
-    member = member.select("form", "first", "n", F.coalesce("root", "form").alias("root"))
-    groups = member.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("total")).filter("total > 1")
-    keep = write_table(member.join(groups, "root").select("form.a", "form.b", "keep"))
+    # Forms that occur once and have no link, most of all, stay where they are.
+    member = forms.join(nodes, forms["form"] == nodes["node"], "left").filter("n > 1 or root is not null")
+    alone = member.filter("root is null").select("form.a", "form.b", F.col("first").alias("keep"))
+    member = member.filter("root is not null")
+    groups = member.groupBy("root").agg(F.min("first").alias("keep"))
+    keep = alone.unionAll(member.join(groups, "root").select("form.a", "form.b", "keep"))
+    keep = write_table(keep)
     here = F.struct("doc_id", "text_hash", "place")
     gone = lines.join(keep, ["a", "b"]).filter(~here.eqNullSafe(F.col("keep")))
     return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("place")).alias("places"))
