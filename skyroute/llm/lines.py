@@ -148,20 +148,20 @@ def _tiles(prints: DataFrame, tile: int) -> np.ndarray:
     return groups
 
 
-def _group(a: np.ndarray, groups: np.ndarray) -> np.ndarray:
-    return (a.view(U64) % groups.astype(U64)).astype(np.int64)
+def _group(prints: np.ndarray, groups: np.ndarray) -> np.ndarray:
+    return (prints[:, 0] % groups.astype(U64)).astype(np.int64)
 
 
-def _places(a: np.ndarray, prints: np.ndarray, wanted: np.ndarray | None, tiles: np.ndarray):
+def _places(prints: np.ndarray, wanted: np.ndarray | None, tiles: np.ndarray):
     """Rows and keys to meet at: the block, and the pair of groups where it is dealt."""
     blocks = _blocks(prints)
-    row = np.repeat(np.arange(len(a)), BLOCKS)
+    row = np.repeat(np.arange(len(prints)), BLOCKS)
     if wanted is not None:
         some = (wanted[:, None] >> np.arange(BLOCKS) & 1).astype(bool).ravel()
         row, blocks = row[some], blocks.ravel()[some]
     blocks = blocks.ravel()
     groups = tiles[blocks].astype(np.int64)
-    own = np.repeat(_group(a[row], groups), groups)
+    own = np.repeat(_group(prints[row], groups), groups)
     other = spans(np.zeros(len(groups), np.int64), groups)
     key = np.repeat(blocks, groups) << 32 | np.minimum(own, other) << 16 | np.maximum(own, other)
     return np.repeat(row, groups), key
@@ -174,7 +174,7 @@ class _Reach:
         self.key = rows.column("key").to_numpy()
         self.prints = np.stack([rows.column(lane).to_numpy().view(U64) for lane in LANES], axis=1)
         self.blocks = _blocks(self.prints)
-        self.group = _group(rows.column("a").to_numpy(), tiles[self.key >> 32])
+        self.group = _group(self.prints, tiles[self.key >> 32])
         self.within = (self.key >> 16 & 0xFFFF) == (self.key & 0xFFFF)
         self.distance = distance
 
@@ -193,7 +193,7 @@ def _keys(tiles):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.stack([batch.column(lane).to_numpy().view(U64) for lane in LANES], axis=1)
-            row, key = _places(batch.column("a").to_numpy(), prints, None, tiles.value)
+            row, key = _places(prints, None, tiles.value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key), *batch.take(pa.array(row)).columns], ["key", *batch.schema.names]
             )
@@ -202,7 +202,7 @@ def _keys(tiles):
 
 
 def _partners(distance: int, least: float, tiles):
-    """``a`` and the blocks, as bits, where a form has a partner; rows are sorted by key and size."""
+    """``s0`` and the blocks, as bits, where forms have a partner; rows are sorted by key and size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, _, _ in by_key(batches):
@@ -212,8 +212,7 @@ def _partners(distance: int, least: float, tiles):
             for x, y in reach.pairs(rows.column("size").to_numpy().astype(np.int64), least):
                 told[x] = told[y] = True
             bits = 1 << (reach.key[told] >> 32 + BLOCK_BITS)
-            a = rows.column("a").to_numpy()[told]
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(bits)], ["a", "blocks"])
+            yield pa.RecordBatch.from_arrays([signed(reach.prints[told, 0]), pa.array(bits)], ["s0", "blocks"])
 
     return run
 
@@ -228,7 +227,7 @@ def _keys_of_words(tiles):
             words = batch.column("words")
             n = words.value_lengths().to_numpy().astype(np.int64)
             prints = fingerprints(words.flatten().to_numpy().view(U64), n)
-            row, key = _places(batch.column("a").to_numpy(), prints, batch.column("blocks").to_numpy(), tiles.value)
+            row, key = _places(prints, batch.column("blocks").to_numpy(), tiles.value)
             others = batch.select(["a", "b", "words"]).take(pa.array(row))
             columns = [pa.array(key), *others.columns, pa.array(n[row].astype(np.int32))]
             columns += [signed(lane) for lane in prints[row].T.copy()]
@@ -286,10 +285,12 @@ def links(
     prints = texts.mapInArrow(_prints(similarity, fold), f"a long, size int, {_PRINT}").dropDuplicates(["a"])
     prints = write_table(prints)
     tiles = spark.sparkContext.broadcast(_tiles(prints, tile))
-    met = prints.mapInArrow(_keys(tiles), f"key long, a long, size int, {_PRINT}")
+    met = prints.drop("a").mapInArrow(_keys(tiles), f"key long, size int, {_PRINT}")
     met = met.repartition("key").sortWithinPartitions("key", "size")
-    partners = met.mapInArrow(_partners(distance, similarity, tiles), "a long, blocks long")
-    wanted = write_table(partners.groupBy("a").agg(F.bit_or("blocks").alias("blocks")))
+    partners = met.mapInArrow(_partners(distance, similarity, tiles), "s0 long, blocks long")
+    # Forms of one s0 share their blocks here; the words tell them apart.
+    blocks = partners.groupBy("s0").agg(F.bit_or("blocks").alias("blocks"))
+    wanted = write_table(prints.select("a", "s0").join(blocks, "s0").select("a", "blocks"))
     found = texts.mapInArrow(wanted_forms(Slots(wanted.select("a")), fold), "a long, b long, words array<long>")
     words = found.dropDuplicates(["a", "b"]).join(wanted, "a")
     keyed = words.mapInArrow(
