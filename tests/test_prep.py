@@ -116,3 +116,11 @@ def test_null_number_fails_assembly(spark):
         prep.assemble_features(df, ["s"], ["x"]).collect()
     good = prep.assemble_features(df.na.fill(2.0), ["s"], ["x"])
     assert rows(good.select(prep.feature_array().alias("f"))) == [([0.0, 1.0],), ([1.0, 2.0],)]
+
+
+def test_spread_keys_beyond_64_bits(spark):
+    keys = [0, 1, 9_223_372_036, 9_223_372_037, 285_000_000_000, -9_223_372_038, 2**63 - 1, -(2**63), None]
+    df = spark.createDataFrame([(k,) for k in keys], "key LONG")
+    spread = df.select("key", prep.spread_key(F.col("key"), 999_999_937).alias("s")).collect()
+    assert all(r.s == (None if r.key is None else r.key * 999_999_937 % prep.DRAWS) for r in spread)
+    assert len(spread) == len(keys)
