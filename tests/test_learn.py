@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from goldens import rows
@@ -217,3 +218,17 @@ def test_unseen_categories_are_scored(spark, labelled):
     model = learn.fit("Naive Bayes", labelled)
     unseen = labelled.limit(5).withColumn("FlightNum", F.lit("new")).withColumn("TailNum", F.lit(None).cast("string"))
     assert learn.score(model, unseen).count() == 5
+
+
+@pytest.mark.parametrize("name", ["Linear SVC", "Random Forest"])
+def test_learning_in_a_session_that_observed_a_metric(spark, name):
+    seen = Observation()
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n": 5}
+    table = spark.range(60).selectExpr("id % 2 = 0 AS late", "CAST(id % 2 AS DOUBLE) AS x", "CAST(id % 7 AS STRING) AS s")
+    rows = table.selectExpr("s", "x", "IF(late, 1.0D, 0.0D) AS label")
+    grid = {"maxIter": (3,)} if name == "Linear SVC" else {"numTrees": (2,), "maxDepth": (2,)}
+    model = learn.fit(name, rows, ["s"], ["x"], grid=grid)
+    assert learn.score(model, rows).filter("label IN (0, 1)").count() == 60
+    assert learn.score(model, rows).agg(F.count("score")).first()[0] == 60
+    assert spark.getActiveSession() is None or spark.getActiveSession()._jsparkSession.equals(spark._jsparkSession)
