@@ -170,32 +170,40 @@ def cheapest_paths(vertices: DataFrame, edges: DataFrame, source: object) -> Dat
     )
 
 
+def lay_out_backwards(edges: DataFrame) -> EdgeLayout:
+    """The cheapest edges turned round, for several calls that go towards landmarks."""
+    return _laid_out(cheapest_edges(edges).select(F.col("dst").alias("src"), F.col("src").alias("dst"), "cost"))
+
+
 def costs_to_landmarks(
-    vertices: DataFrame, edges: DataFrame, landmarks: Sequence[object]
+    vertices: DataFrame, edges: DataFrame | EdgeLayout, landmarks: Sequence[object]
 ) -> DataFrame:
-    """(vertex, landmark, cost) along the edges' direction; no row where none leads there."""
-    backwards = cheapest_edges(edges).select(
-        F.col("dst").alias("src"), F.col("src").alias("dst"), "cost"
-    )
+    """(vertex, landmark, cost) along the edges' direction; no row where none leads there.
+
+    ``edges`` may be laid out already, by ``lay_out_backwards``; the caller drops these.
+    """
     start = (
         vertices.filter(F.col("code").isin(list(landmarks)))
         .select(F.col("code").alias("vertex"), F.col("code").alias("landmark"))
         .distinct()
         .select("vertex", "landmark", F.lit(0.0).alias("cost"), F.lit(True).alias("active"))
     )
-    layout = _laid_out(backwards)
+    given = isinstance(edges, EdgeLayout)
+    layout = edges if given else lay_out_backwards(edges)
     try:
         return _relax(start, layout, ["vertex", "landmark"])
     finally:
-        layout.drop()
+        if not given:
+            layout.drop()
 
 
 def landmark_maps(
-    vertices: DataFrame, edges: DataFrame, landmarks: Sequence[object]
+    vertices: DataFrame, edges: DataFrame | EdgeLayout, landmarks: Sequence[object]
 ) -> DataFrame:
     """(vertex, costs) with a map from landmark to cost, empty where none is reached.
 
     A vertex has at most one row a landmark, so a group is no larger than the list.
+    ``edges`` as in ``costs_to_landmarks``.
     """
     costs = costs_to_landmarks(vertices, edges, landmarks)
     entries = F.collect_list(F.struct("landmark", "cost"))

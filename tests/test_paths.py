@@ -7,6 +7,7 @@ from goldens import EDGES_B, graph_a, graph_b, rows
 from skyroute.functions.costmaps import add_to_costs, cheaper_costs
 from skyroute.functions.resident import Resident
 from skyroute.operators import graph, paths, propagate, ranks
+from skyroute.plans import catalog
 
 INF = float("inf")
 
@@ -343,3 +344,13 @@ def test_round_limit(spark):
         max_rounds=2,
     )
     assert rows(state, "vertex", "cost") == [(0, 0.0), (1, 1.0), (2, 2.0)]
+
+
+def test_landmark_lists_share_one_layout(spark, monkeypatch):
+    made, dropped = [], []
+    laid_out, drop = propagate.lay_out, propagate.EdgeLayout.drop
+    monkeypatch.setattr(paths, "lay_out", lambda edges: made.append(1) or laid_out(edges))
+    monkeypatch.setattr(propagate.EdgeLayout, "drop", lambda self: dropped.append(1) or drop(self))
+    found = catalog.QUERIES["landmark_map_merge"](spark, "/root/testdata/sf0.001")
+    assert len(made) == len(dropped) == 1
+    assert found.count() == found.select("vertex", "landmark").distinct().count() > 0
