@@ -11,27 +11,45 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-
-from skyroute.llm.text import ALNUM, FOLD, PRIMARY, SECOND, U64, Slots, mix, signed, words_of
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from skyroute.llm.text import (
+    ALNUM,
+    FOLD,
+    PRIMARY,
+    SECOND,
+    U64,
+    Slots,
+    mix,
+    signed,
+    split_words,
+    text_pieces,
+    words_of,
+)
 
 PAIRS = 1 << 20  # compared at a time
+PLACE_BIT = 40  # the places of a text change the leading bits, which a bitmap of lines looks at
 # A byte's bits, one in each byte of an integer.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(U64)[:, 0]
 
 
+def line_bounds(data: np.ndarray, byte_bounds: np.ndarray):
+    """Each line's first byte, the byte after it, its row and its place."""
+    breaks = np.flatnonzero(data == 10)
+    begin = np.unique(np.concatenate([[0], breaks + 1, byte_bounds[1:-1]]))
+    begin = begin[begin < len(data)]
+    row = np.searchsorted(byte_bounds, begin, "right") - 1
+    # A line's place is the number of newlines before it in its text.
+    place = np.searchsorted(breaks, begin) - np.searchsorted(breaks, byte_bounds[row])
+    return begin, np.append(begin[1:], len(data)), row, place
+
+
 def line_words(texts: pa.Array, fold: np.ndarray = FOLD):
     """Per piece: rows, line places, words' hashes and each line's first and last word."""
     for first, last, words in words_of(texts, ALNUM):
-        breaks = np.flatnonzero(words.data == 10)
-        inner = words.byte_bounds[1:-1]
-        begin = np.unique(np.concatenate([[0], breaks + 1, inner]))
-        begin = begin[begin < len(words.data)]
-        end = np.append(begin[1:], len(words.data))
+        begin, end, row, place = line_bounds(words.data, words.byte_bounds)
         lo, hi = np.searchsorted(words.starts, begin), np.searchsorted(words.starts, end)
-        row = np.searchsorted(words.byte_bounds, begin, "right") - 1
-        # A line's place is the number of newlines before it in its text.
-        newlines = np.searchsorted(breaks, begin)
-        place = newlines - np.searchsorted(breaks, words.byte_bounds[row])
         some = hi > lo
         yield first, row[some], place[some], words.hashes(fold), lo[some], hi[some], words
 
@@ -135,18 +153,22 @@ def edit_distance(a: list, b: list) -> int:
     return score
 
 
-def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+def similar(a: np.ndarray | list, b: np.ndarray | list, least: float) -> bool:
     longest, shortest = max(len(a), len(b)), min(len(a), len(b))
     if shortest < least * longest:
         return False
-    differ = np.flatnonzero(a[:shortest] != b[:shortest])
-    if not len(differ):
+    a, b = (x if isinstance(x, list) else x.tolist() for x in (a, b))
+    same = 0
+    while same < shortest and a[same] == b[same]:
+        same += 1
+    if same == shortest:
         return True  # one begins with the other
-    a, b = a[differ[0] :], b[differ[0] :]
-    shortest = min(len(a), len(b))
-    differ = np.flatnonzero(a[::-1][:shortest] != b[::-1][:shortest])
-    end = differ[0] if len(differ) else shortest
-    a, b = a[: len(a) - end].tolist(), b[: len(b) - end].tolist()
+    end = 0
+    while end < shortest - same and a[-1 - end] == b[-1 - end]:
+        end += 1
+    a, b = a[same : len(a) - end], b[same : len(b) - end]
+    if longest - max(len(a), len(b)) >= least * longest:
+        return True  # so few words differ that replacing them all will do
     # The distance is at least the number of words without a counterpart anywhere.
     common = (Counter(a) & Counter(b)).total()
     if longest - (max(len(a), len(b)) - common) < least * longest:
@@ -170,3 +192,33 @@ def wanted_forms(wanted: Slots, fold: np.ndarray = FOLD):
                 yield pa.RecordBatch.from_arrays([signed(a), signed(b), words], ["a", "b", "words"])
 
     return run
+
+
+def wanted_lines(wanted: Slots, fold: np.ndarray = FOLD):
+    """Form and words of lines whose ``line_at`` is perhaps wanted; batches are texts and hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text_hashes = batch.column(1).to_numpy().view(U64)
+            for first, _, data, byte_bounds in text_pieces(batch.column(0)):
+                begin, end, row, place = line_bounds(data, byte_bounds)
+                some = wanted.has(text_hashes[first + row] ^ place.astype(U64) << U64(PLACE_BIT))
+                begin, end = begin[some], end[some]
+                if not len(begin):
+                    continue
+                bounds = np.append(0, np.cumsum(end - begin))
+                words = split_words(data[spans(begin, end)], bounds, ALNUM)
+                hashes, lo, hi = words.hashes(fold), words.bounds[:-1], words.bounds[1:]
+                lo, hi = lo[hi > lo], hi[hi > lo]
+                a, b = (mix(family.spans(hashes, lo, hi)) for family in (PRIMARY, SECOND))
+                ends = np.append(0, np.cumsum(hi - lo)).astype(np.int32)
+                flat = pa.array(hashes[spans(lo, hi)].view(np.int64))
+                lists = pa.ListArray.from_arrays(pa.array(ends), flat)
+                yield pa.RecordBatch.from_arrays([signed(a), signed(b), lists], ["a", "b", "words"])
+
+    return run
+
+
+def line_at(text_hash: str, place: str) -> Column:
+    """A number for a line of a text, of which ``wanted_lines`` knows those that are wanted."""
+    return F.col(text_hash).bitwiseXOR(F.shiftleft(F.col(place).cast("long"), PLACE_BIT))

@@ -15,9 +15,10 @@ needs no SimHash and misses no line of that edit similarity. Linked and equal li
 groups, and only the occurrence in the smallest (doc_id, place) stays.
 
 Fingerprints meet first, without words: each form is sent to its 16 blocks, and a pair in
-reach is taken at the first block it agrees in. Only forms with a partner then send their
-words to those blocks. There a task verifies a pair unless links found before connect it,
-so a block of n lines gives fewer than n links. Blocks with more than ``TILE`` forms
+reach is taken at the first block it agrees in. They travel packed, many of neighbouring
+blocks in one row. Only forms with a partner then send their words to those blocks, read
+from the one line of each that was noted. There a task verifies a pair unless links found
+before connect it, so a task of n lines gives fewer than n links. Blocks with more than ``TILE`` forms
 are dealt into groups, and every pair of groups is a task of its own.
 
 Defined cases: null and empty texts, and lines without words, are left as they are; rows
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from skyroute.functions.scratch import new_folder, scope, write_table
 from skyroute.llm import linesearch
 from skyroute.llm.components import connect
-from skyroute.llm.lineforms import by_key, can_link, fitting_pairs, line_words, similar, simhashes, spans, wanted_forms
+from skyroute.llm.lineforms import by_key, can_link, fitting_pairs, line_at, line_words, similar, simhashes, spans, wanted_lines
 from skyroute.llm.repeats import checked_broadcast
 from skyroute.llm.text import FOLD, FOLD_DIGITS, PRIMARY, SECOND, U64, Slots, mix, signed, small_batches
 
@@ -49,6 +50,9 @@ BLOCKS, BLOCK_BITS = 16, 16
 TILE = 4096
 SEEN = 1 << 16
 LANES = ("s0", "s1", "s2", "s3")
+SHARD, MOST_SHARDS = 1 << 13, 11  # fingerprints that meet in one place, bits of such places in a block
+PACKED, SENT = 1 << 20, 512  # records packed at a time, rows of them in a batch
+_RECORD = np.dtype([("lanes", "<u8", len(LANES)), ("size", "<u2")])
 _SALTS = mix(np.arange(1, len(LANES) + 1, dtype=U64))
 _PRINT = ", ".join(f"{lane} long" for lane in LANES)
 
@@ -71,59 +75,49 @@ def _fold(fold_digits: bool) -> np.ndarray:
     return FOLD_DIGITS if fold_digits else FOLD
 
 
-def _occurrences(fold: np.ndarray):
+def _occurrences(fold: np.ndarray, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
         for batch in batches:
-            for first, row, place, hashes, lo, hi, words in line_words(batch.column(1), fold):
+            for first, row, place, hashes, lo, hi, _ in line_words(batch.column(1), fold):
                 if not len(row):
                     continue
                 keys = batch.select([0, 2]).take(pa.array(first + row))
+                a, size = mix(PRIMARY.spans(hashes, lo, hi)), (hi - lo).astype(np.int32)
+                once = np.unique(a, return_index=True)[1]
+                once = once[can_link(size[once], least)]
+                once = once[np.array([x not in seen for x in a[once].tolist()], bool)]
+                if len(seen) > SEEN:
+                    seen.clear()
+                seen.update(a[once].tolist())
+                none, prints = np.ones(len(a), bool), np.zeros((len(LANES), len(a)), U64)
+                none[once] = False
+                prints[:, once] = fingerprints(hashes[spans(lo[once], hi[once])], size[once]).T
+                columns = [*keys.columns, pa.array(place.astype(np.int32)), signed(a)]
+                columns += [signed(mix(SECOND.spans(hashes, lo, hi))), pa.array(size)]
+                columns += [pa.array(lane.view(np.int64), mask=none) for lane in prints]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        *keys.columns,
-                        pa.array(place.astype(np.int32)),
-                        signed(mix(PRIMARY.spans(hashes, lo, hi))),
-                        signed(mix(SECOND.spans(hashes, lo, hi))),
-                    ],
-                    ["doc_id", "text_hash", "place", "a", "b"],
+                    columns, ["doc_id", "text_hash", "place", "a", "b", "size", *LANES]
                 )
 
     return run
 
 
-def occurrences(docs: DataFrame, fold_digits: bool = False) -> DataFrame:
-    """``doc_id, text_hash, place, a, b`` of lines with words; a, b name the form."""
+def occurrences(docs: DataFrame, fold_digits: bool = False, least: float = SIMILARITY) -> DataFrame:
+    """``doc_id, text_hash, place, a, b, size`` of lines with words, and their fingerprints.
+
+    a, b name the form. Forms that can be linked have a fingerprint, once per piece or a
+    few times; other rows have nulls.
+    """
     small_batches(docs.sparkSession)
     key = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     return texts.mapInArrow(
-        _occurrences(_fold(fold_digits)), f"doc_id {key}, text_hash long, place int, a long, b long"
+        _occurrences(_fold(fold_digits), least),
+        f"doc_id {key}, text_hash long, place int, a long, b long, size int, {_PRINT}",
     )
 
 
-def _prints(least: float, fold: np.ndarray):
-    """``a``, size and fingerprint of lines that can be linked, once per piece and form."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set = set()
-        for batch in batches:
-            for _, _, _, hashes, lo, hi, _ in line_words(batch.column(0), fold):
-                a, once = np.unique(mix(PRIMARY.spans(hashes, lo, hi)), return_index=True)
-                fresh = np.array([x not in seen for x in a.tolist()], bool)
-                fresh &= can_link(hi[once] - lo[once], least)
-                a, lo, hi = a[fresh], lo[once[fresh]], hi[once[fresh]]
-                if not len(a):
-                    continue
-                if len(seen) > SEEN:
-                    seen.clear()
-                seen.update(a.tolist())
-                prints = fingerprints(hashes[spans(lo, hi)], hi - lo)
-                columns = [signed(a), pa.array((hi - lo).astype(np.int32)), *(signed(x) for x in prints.T.copy())]
-                yield pa.RecordBatch.from_arrays(columns, ["a", "size", *LANES])
-
-    return run
-
-
 def _blocks(prints: np.ndarray) -> np.ndarray:
     """The blocks of each fingerprint, a number below ``BLOCKS << BLOCK_BITS`` each."""
     bits = np.ascontiguousarray(prints).view("<u2").astype(np.int64)
@@ -170,49 +164,108 @@ def _places(prints: np.ndarray, wanted: np.ndarray | None, tiles: np.ndarray):
 class _Reach:
     """Which pairs of rows, of one key, are in reach and taken at this key."""
 
-    def __init__(self, rows: pa.Table, distance: int, tiles: np.ndarray):
-        self.key = rows.column("key").to_numpy()
-        self.prints = np.stack([rows.column(lane).to_numpy().view(U64) for lane in LANES], axis=1)
-        self.blocks = _blocks(self.prints)
-        self.group = _group(self.prints, tiles[self.key >> 32])
-        self.within = (self.key >> 16 & 0xFFFF) == (self.key & 0xFFFF)
-        self.distance = distance
+    def __init__(self, key: np.ndarray, prints: np.ndarray, distance: int, tiles: np.ndarray):
+        self.key, self.prints, self.distance = key, prints, distance
+        self.lanes = prints.T.copy()
+        self.blocks = _blocks(prints)
+        self.group = _group(prints, tiles[key >> 32])
+        self.within = (key >> 16 & 0xFFFF) == (key & 0xFFFF)
 
     def pairs(self, size: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        half = len(LANES) // 2
         for x, y in fitting_pairs(self.key, size, least):
-            near = np.bitwise_count(self.prints[x] ^ self.prints[y]).sum(axis=1, dtype=np.int64) <= self.distance
+            apart = self._apart(self.lanes[:half], x, y)
+            near = apart <= self.distance
+            x, y, apart = x[near], y[near], apart[near]
+            near = apart + self._apart(self.lanes[half:], x, y) <= self.distance
             near &= self.within[x] | (self.group[x] != self.group[y])
             x, y = x[near], y[near]
             first = (self.blocks[x] == self.blocks[y]).argmax(axis=1) == self.key[x] >> 32 + BLOCK_BITS
             yield x[first], y[first]
 
+    @staticmethod
+    def _apart(lanes: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        found = np.zeros(len(x), np.int16)
+        for lane in lanes:
+            found += np.bitwise_count(lane[x] ^ lane[y])
+        return found
 
-def _keys(tiles):
-    """``key`` and fingerprint of each form, once for each place to meet."""
+
+def _packed(tiles, low: int):
+    """Fingerprints and sizes, packed by where they meet: ``key`` and ``records``.
+
+    The key is that of a pair of groups, or for blocks that aren't dealt, below zero, that
+    of ``2**low`` neighbouring ones.
+    """
+
+    def packed(waiting: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        prints, size = (np.concatenate(x) for x in zip(*waiting))
+        records = np.empty(len(size), _RECORD)
+        records["lanes"], records["size"] = prints, np.minimum(size, 0xFFFF)
+        row, key = _places(prints, None, tiles.value)
+        block = key >> 32
+        key = np.where(tiles.value[block] > 1, key, ~(block >> low))
+        order = np.argsort(key, kind="stable")
+        key, records = key[order], records[row[order]]
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        bounds = (np.append(begin, len(key)) * _RECORD.itemsize).astype(np.int32)
+        buffers = [None, pa.py_buffer(bounds), pa.py_buffer(records.view(np.uint8))]
+        columns = [pa.array(key[begin]), pa.Array.from_buffers(pa.binary(), len(begin), buffers)]
+        rows = pa.RecordBatch.from_arrays(columns, ["key", "records"])
+        for i in range(0, len(begin), SENT):
+            yield rows.slice(i, SENT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, n = [], 0
         for batch in batches:
+            if not batch.num_rows:
+                continue
             prints = np.stack([batch.column(lane).to_numpy().view(U64) for lane in LANES], axis=1)
-            row, key = _places(prints, None, tiles.value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key), *batch.take(pa.array(row)).columns], ["key", *batch.schema.names]
-            )
+            size, places = batch.column("size").to_numpy(), tiles.value[_blocks(prints)].sum(axis=1)
+            step = max(1, PACKED // int(places.max()))  # rows whose places aren't more than are packed at a time
+            for i in range(0, len(size), step):
+                waiting.append((prints[i : i + step], size[i : i + step]))
+                n += int(places[i : i + step].sum())
+                if n >= PACKED:
+                    yield from packed(waiting)
+                    waiting, n = [], 0
+        if waiting:
+            yield from packed(waiting)
 
     return run
 
 
-def _partners(distance: int, least: float, tiles):
-    """``s0`` and the blocks, as bits, where forms have a partner; rows are sorted by key and size."""
+def _unpacked(batches: Iterator[pa.RecordBatch], low: int):
+    """Keys, fingerprints and sizes of what meets, sorted by key and size; rows are sorted by key."""
+    for rows, _, _ in by_key(batches):
+        if not rows.num_rows:
+            continue
+        key, packed = rows.column("key").to_numpy(), rows.column("records").combine_chunks()
+        bounds = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset :]
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        for i, j in zip(begin, np.append(begin[1:], len(key))):
+            records = np.frombuffer(packed.buffers()[2][bounds[i] : bounds[j]], _RECORD)
+            prints, size = np.ascontiguousarray(records["lanes"]), records["size"].astype(np.int64)
+            if key[i] < 0:
+                block = _blocks(prints)[:, ~key[i] >> BLOCK_BITS - low]
+                order = np.argsort(block << 16 | size)
+                yield block[order] << 32, prints[order], size[order]
+            else:
+                order = np.argsort(size)
+                yield np.full(len(size), key[i]), prints[order], size[order]
+
+
+def _partners(distance: int, least: float, tiles, low: int):
+    """``s0`` and the blocks, as bits, where forms have a partner."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _, _ in by_key(batches):
-            if not rows.num_rows:
-                continue
-            reach, told = _Reach(rows, distance, tiles.value), np.zeros(rows.num_rows, bool)
-            for x, y in reach.pairs(rows.column("size").to_numpy().astype(np.int64), least):
+        for key, prints, size in _unpacked(batches, low):
+            reach, told = _Reach(key, prints, distance, tiles.value), np.zeros(len(key), bool)
+            for x, y in reach.pairs(size, least):
                 told[x] = told[y] = True
-            bits = 1 << (reach.key[told] >> 32 + BLOCK_BITS)
-            yield pa.RecordBatch.from_arrays([signed(reach.prints[told, 0]), pa.array(bits)], ["s0", "blocks"])
+            if told.any():
+                bits = 1 << (key[told] >> 32 + BLOCK_BITS)
+                yield pa.RecordBatch.from_arrays([signed(prints[told, 0]), pa.array(bits)], ["s0", "blocks"])
 
     return run
 
@@ -237,37 +290,43 @@ def _keys_of_words(tiles):
 
 
 def _links(distance: int, least: float, tiles):
-    """Verified pairs that connect, at each key, all that are linked there."""
+    """Verified pairs that connect, in each task, all that are linked there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[tuple[int, int], tuple[int, int]] = {}  # linked forms of this task
+
+        def root(form):
+            while (up := parent.get(form, form)) != form:
+                parent[form] = parent.get(up, up)
+                form = parent[form]
+            return form
+
         for rows, _, _ in by_key(batches):
             if not rows.num_rows:
                 continue
             words = rows.column("words").combine_chunks()
             flat = words.flatten().to_numpy()
-            end = np.cumsum(words.value_lengths().to_numpy().astype(np.int64))
-            parent = list(range(len(end)))
-
-            def root(i):
-                while parent[i] != i:  # noqa: B023
-                    parent[i] = parent[parent[i]]  # noqa: B023
-                    i = parent[i]  # noqa: B023
-                return i
+            end = np.append(0, np.cumsum(words.value_lengths().to_numpy().astype(np.int64))).tolist()
+            form = list(zip(rows.column("a").to_pylist(), rows.column("b").to_pylist()))
+            lists: dict[int, list] = {}
 
             def line(i):
-                return flat[end[i - 1] if i else 0 : end[i]]  # noqa: B023
+                if i not in lists:  # noqa: B023
+                    lists[i] = flat[end[i] : end[i + 1]].tolist()  # noqa: B023
+                return lists[i]  # noqa: B023
 
             found: list[tuple[int, int]] = []
-            reach = _Reach(rows, distance, tiles.value)
+            prints = np.stack([rows.column(lane).to_numpy().view(U64) for lane in LANES], axis=1)
+            reach = _Reach(rows.column("key").to_numpy(), prints, distance, tiles.value)
             for x, y in reach.pairs(rows.column("size").to_numpy().astype(np.int64), least):
                 for i, j in zip(x.tolist(), y.tolist()):
-                    u, v = root(i), root(j)
+                    u, v = root(form[i]), root(form[j])
                     if u != v and similar(line(i), line(j), least):
                         parent[v] = u
                         found.append((i, j))
-            form = pa.StructArray.from_arrays([rows.column(c).combine_chunks() for c in ("a", "b")], ["a", "b"])
+            forms = pa.StructArray.from_arrays([rows.column(c).combine_chunks() for c in ("a", "b")], ["a", "b"])
             ends = np.array(found, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([form.take(pa.array(e)) for e in ends.T.copy()], ["x", "y"])
+            yield pa.RecordBatch.from_arrays([forms.take(pa.array(e)) for e in ends.T.copy()], ["x", "y"])
 
     return run
 
@@ -278,21 +337,29 @@ def links(
     similarity: float = SIMILARITY,
     fold_digits: bool = False,
     tile: int = TILE,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
-    """Pairs ``x, y`` of forms that connect what linked forms connect, and no more."""
+    """Pairs ``x, y`` of forms that connect what linked forms connect, and no more.
+
+    ``lines`` are the stored ``occurrences`` of these documents, folding and similarity.
+    """
     spark, fold = docs.sparkSession, _fold(fold_digits)
-    texts = docs.select("text")
-    prints = texts.mapInArrow(_prints(similarity, fold), f"a long, size int, {_PRINT}").dropDuplicates(["a"])
-    prints = write_table(prints)
+    if lines is None:
+        lines = write_table(occurrences(docs, fold_digits, similarity))
+    prints = lines.filter("s0 is not null").select("a", "size", line_at("text_hash", "place").alias("at"), *LANES)
+    prints = write_table(prints.dropDuplicates(["a"]))
     tiles = spark.sparkContext.broadcast(_tiles(prints, tile))
-    met = prints.drop("a").mapInArrow(_keys(tiles), f"key long, size int, {_PRINT}")
-    met = met.repartition("key").sortWithinPartitions("key", "size")
-    partners = met.mapInArrow(_partners(distance, similarity, tiles), "s0 long, blocks long")
+    shards = max(prints.count() // SHARD, 1).bit_length() - 1
+    low = BLOCK_BITS - min(shards, MOST_SHARDS)
+    met = prints.select("size", *LANES).mapInArrow(_packed(tiles, low), "key long, records binary")
+    met = met.repartition("key").sortWithinPartitions("key")
+    partners = met.mapInArrow(_partners(distance, similarity, tiles, low), "s0 long, blocks long")
     # Forms of one s0 share their blocks here; the words tell them apart.
     blocks = partners.groupBy("s0").agg(F.bit_or("blocks").alias("blocks"))
-    wanted = write_table(prints.select("a", "s0").join(blocks, "s0").select("a", "blocks"))
-    found = texts.mapInArrow(wanted_forms(Slots(wanted.select("a")), fold), "a long, b long, words array<long>")
-    words = found.dropDuplicates(["a", "b"]).join(wanted, "a")
+    wanted = write_table(prints.select("a", "s0", "at").join(blocks, "s0").select("a", "at", "blocks"))
+    texts = docs.select("text", F.xxhash64("text").alias("text_hash"))
+    found = texts.mapInArrow(wanted_lines(Slots(wanted.select("at")), fold), "a long, b long, words array<long>")
+    words = found.dropDuplicates(["a", "b"]).join(wanted.drop("at"), "a")
     keyed = words.mapInArrow(
         _keys_of_words(tiles), f"key long, a long, b long, words array<long>, size int, {_PRINT}"
     )
@@ -311,13 +378,13 @@ def repeated(
     """``doc_id, text_hash, places``: for each text with repeated lines, those to remove."""
     if not 0 < similarity <= 1:
         raise ValueError("the similarity must be above 0 and at most 1")
-    lines = write_table(occurrences(docs, fold_digits))
+    lines = write_table(occurrences(docs, fold_digits, similarity))
     first = F.min(F.struct("doc_id", "text_hash", "place")).alias("first")
     forms = write_table(lines.groupBy("a", "b").agg(first, F.count("*").alias("times")))
     if exact:
         linked = linesearch.links(docs, forms.drop("first"), similarity, _fold(fold_digits))
     else:
-        linked = links(docs, distance, similarity, fold_digits)
+        linked = links(docs, distance, similarity, fold_digits, lines=lines)
     roots = connect(linked)
     nodes = roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct())
     forms = forms.select(F.struct("a", "b").alias("form"), "first", F.col("times").alias("n"))

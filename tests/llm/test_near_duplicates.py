@@ -265,3 +265,62 @@ def test_very_long_lines(spark):
     docs = [(1, " ".join(line)), (2, " ".join(near) + "\nshort one"), (3, " ".join(other)), (4, "short one")]
     got = {r.doc_id: r.text for r in lines.dedup(documents(spark, docs)).collect()}
     assert got == {1: docs[0][1], 2: "short one", 3: docs[2][1], 4: ""}
+
+
+class Shared:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_fingerprints_travel_packed_and_meet_all_partners():
+    """Many fingerprints share a row, in dealt blocks too, and all pairs in reach are met."""
+    rng = np.random.default_rng(5)
+    prints = rng.integers(0, 2**63, (3000, 4), dtype=np.uint64)
+    prints[1000:2000] = prints[:1000] ^ (np.uint64(1) << rng.integers(0, 64, (1000, 4), dtype=np.uint64))
+    prints[:40] = prints[0]  # a block with several groups
+    prints[:40, 3] ^= np.arange(40, dtype=np.uint64)
+    size = np.full(len(prints), 9, np.int32)
+    size[2500] = 1 << 20  # more than a record holds
+    prints[2501], size[2501] = prints[2500] ^ np.uint64(1), 1 << 20
+    counts = np.bincount(lines._blocks(prints).ravel(), minlength=lines.BLOCKS << lines.BLOCK_BITS)
+    tiles = Shared(np.maximum(1, -(-counts // 8)).astype(np.int32))
+    batch = pa.RecordBatch.from_arrays([pa.array(size), *(lines.signed(x) for x in prints.T.copy())], ["size", *lines.LANES])
+    for low in (16, 12, 7):
+        rows = pa.Table.from_batches(lines._packed(tiles, low)(iter([batch]))).sort_by("key")
+        n_tiled = sum(k >= 0 for k in rows.column("key").to_pylist())
+        assert rows.num_rows - n_tiled <= 16 << 16 - low and n_tiled
+        batches = rows.to_batches(max_chunksize=50)
+        found = {}
+        for part in lines._partners(lines.DISTANCE, 0.8, tiles, low)(iter(batches)):
+            for s0, bits in zip(*(c.to_pylist() for c in part.columns)):
+                found[s0] = found.get(s0, 0) | bits
+        expected = {}
+        blocks = lines._blocks(prints)
+        for i, j in close_pairs(prints[:, 0], 64):
+            same = np.flatnonzero(blocks[i] == blocks[j])
+            if len(same) and 0.8 * max(size[i], size[j]) <= min(size[i], size[j]):
+                if np.bitwise_count(prints[i] ^ prints[j]).sum() <= lines.DISTANCE:
+                    for k in (i, j):
+                        s0 = int(prints[k, 0].view(np.int64))
+                        expected[s0] = expected.get(s0, 0) | 1 << int(same[0])
+        assert found == expected and len(found) > 1500
+
+
+def test_words_of_wanted_lines_are_read_from_their_lines():
+    texts = ["One two three\n\n-- --\nFour five\r\nsix", None, "", "Four five", "ä ß\n" + "x " * 40]
+    hashes = [7, 42, 1 << 62, -5, 9]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(hashes, pa.int64())], ["text", "text_hash"])
+
+    class Some:
+        def has(self, at):
+            where = [(hashes[0], 0), (hashes[0], 3), (hashes[0], 2), (hashes[4], 1)]
+            return np.isin(at, np.array([h ^ p << lineforms.PLACE_BIT for h, p in where]).view(np.uint64))
+
+    class Every:
+        def has(self, hashes):
+            return np.ones(len(hashes), bool)
+
+    rows = [tuple(map(tuple, (r["words"],))) + (r["a"], r["b"]) for b in lineforms.wanted_lines(Some())(iter([batch])) for r in b.to_pylist()]
+    every = [tuple(map(tuple, (r["words"],))) + (r["a"], r["b"]) for b in lineforms.wanted_forms(Every())(iter([batch])) for r in b.to_pylist()]
+    assert len(rows) == 3 and set(rows) < set(every)
+    assert sorted(len(r[0]) for r in rows) == [2, 3, 40]
