@@ -232,3 +232,27 @@ def test_learning_in_a_session_that_observed_a_metric(spark, name):
     assert learn.score(model, rows).filter("label IN (0, 1)").count() == 60
     assert learn.score(model, rows).agg(F.count("score")).first()[0] == 60
     assert spark.getActiveSession() is None or spark.getActiveSession()._jsparkSession.equals(spark._jsparkSession)
+
+
+def test_tree_grid_grows_a_tree_once_for_all_depths(labelled, monkeypatch):
+    """One tree a fold and impurity, and the figures of trees that are grown for each depth."""
+    fits, plain = [], learn.DecisionTreeClassifier._fit
+    monkeypatch.setattr(learn.DecisionTreeClassifier, "_fit", lambda self, rows: fits.append(1) or plain(self, rows))
+    grid = {"maxBins": (64,), "maxDepth": (1, 6, 3), "impurity": ("gini", "entropy")}
+    found = learn.fit("Decision Tree", labelled, grid=grid).model
+    assert len(fits) == 2 * learn.FOLDS + 1
+    points = [{p.name: v for p, v in point.items()} for point in found.getEstimatorParamMaps()]
+    assert [p["maxDepth"] for p in points] == [1, 1, 6, 6, 3, 3]
+    for point, metric in list(zip(points, found.avgMetrics))[::2]:
+        alone = learn.fit("Decision Tree", labelled, grid={k: (v,) for k, v in point.items()}).model
+        assert alone.avgMetrics == [metric], point
+    assert len(set(found.avgMetrics[::2])) > 1
+
+
+def test_trees_of_a_grid_share_a_failure(labelled):
+    trees = learn.NestedTrees(labelCol="label", featuresCol="features")
+    points = [{trees.maxDepth: d} for d in (2, 4)]
+    models = trees.fitMultiple(labelled, points)  # there are no vectors
+    for _ in points:
+        with pytest.raises(Exception, match="features"):
+            next(models)
