@@ -129,3 +129,19 @@ def test_a_scope_leaves_nothing(spark, skewed):
 
 def test_scratch_folder_is_the_session_setting(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.mark.parametrize("parts", [1, 8, 13, 200])
+def test_parts_have_a_bucket_each(spark, parts):
+    names = ordered.part_names(parts)
+    assert names == sorted(set(names)) and len(names) == parts
+    hashed = spark.createDataFrame([(n,) for n in names], "n INT").select(F.expr(f"pmod(hash(n), {parts})"))
+    assert sorted(r[0] for r in hashed.collect()) == list(range(parts))
+
+
+def test_a_task_reads_one_part(spark, skewed):
+    """With fewer tasks than parts some tasks would read several and others none."""
+    _, df = skewed
+    table = ordered.sort_table(df, ["k", "v", "n"], bucketed=True)
+    tasks = [set(r.parts) for r in table.groupBy(F.spark_partition_id()).agg(F.collect_set(ordered.PART).alias("parts")).collect()]
+    assert all(len(p) == 1 for p in tasks), tasks
