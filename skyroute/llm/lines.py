@@ -63,7 +63,9 @@ def fingerprints(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
     A word counts once a line, so frequent words don't make unlike lines meet.
     """
     line = np.repeat(np.arange(len(n)), n)
-    order = np.lexsort((hashes, line))
+    # One key is sorted: the line, then as many leading bits of the hash as there is room for.
+    room = U64(max(len(n), 2).bit_length())
+    order = np.argsort(line.astype(U64) << U64(64) - room | hashes >> room)
     hashes, line = hashes[order], line[order]
     once = np.append(True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1]))[: len(hashes)]
     n = np.bincount(line[once], minlength=len(n))
@@ -368,6 +370,19 @@ def links(
     return keyed.mapInArrow(_links(distance, similarity, tiles), pair)
 
 
+def _grouped(linked: DataFrame) -> DataFrame:
+    """``a, b, root`` of all linked forms; forms of one root are connected."""
+    pairs = write_table(linked)
+    forms = write_table(pairs.select("x.a", "x.b").unionAll(pairs.select("y.a", "y.b")).distinct())
+    name = F.struct("a", "b")
+    if forms.groupBy("a").count().filter("count > 1").isEmpty():
+        # No two linked forms share it, so one number stands for the form.
+        name, pairs = F.col("a"), pairs.select(F.col("x.a").alias("x"), F.col("y.a").alias("y"))
+    roots = connect(pairs)
+    named = forms.select("a", "b", name.alias("node")).join(roots, "node", "left")
+    return named.select("a", "b", F.coalesce("root", "node").alias("root"))
+
+
 def repeated(
     docs: DataFrame,
     distance: int = DISTANCE,
@@ -380,21 +395,18 @@ def repeated(
         raise ValueError("the similarity must be above 0 and at most 1")
     lines = write_table(occurrences(docs, fold_digits, similarity))
     first = F.min(F.struct("doc_id", "text_hash", "place")).alias("first")
-    forms = write_table(lines.groupBy("a", "b").agg(first, F.count("*").alias("times")))
+    forms = lines.groupBy("a", "b").agg(first, F.count("*").alias("times"))
     if exact:
+        forms = write_table(forms)
         linked = linesearch.links(docs, forms.drop("first"), similarity, _fold(fold_digits))
     else:
         linked = links(docs, distance, similarity, fold_digits, lines=lines)
-    roots = connect(linked)
-    nodes = roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct())
-    forms = forms.select(F.struct("a", "b").alias("form"), "first", F.col("times").alias("n"))
     # Forms that occur once and have no link, most of all, stay where they are.
-    member = forms.join(nodes, forms["form"] == nodes["node"], "left").filter("n > 1 or root is not null")
-    alone = member.filter("root is null").select("form.a", "form.b", F.col("first").alias("keep"))
-    member = member.filter("root is not null")
-    groups = member.groupBy("root").agg(F.min("first").alias("keep"))
-    keep = alone.unionAll(member.join(groups, "root").select("form.a", "form.b", "keep"))
-    keep = write_table(keep)
+    member = forms.join(_grouped(linked), ["a", "b"], "left").filter("times > 1 or root is not null")
+    member = write_table(member)
+    groups = member.filter("root is not null").groupBy("root").agg(F.min("first").alias("keep"))
+    alone = member.filter("root is null").select("a", "b", F.col("first").alias("keep"))
+    keep = write_table(alone.unionAll(member.join(groups, "root").select("a", "b", "keep")))
     here = F.struct("doc_id", "text_hash", "place")
     gone = lines.join(keep, ["a", "b"]).filter(~here.eqNullSafe(F.col("keep")))
     return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("place")).alias("places"))

@@ -324,3 +324,14 @@ def test_words_of_wanted_lines_are_read_from_their_lines():
     every = [tuple(map(tuple, (r["words"],))) + (r["a"], r["b"]) for b in lineforms.wanted_forms(Every())(iter([batch])) for r in b.to_pylist()]
     assert len(rows) == 3 and set(rows) < set(every)
     assert sorted(len(r[0]) for r in rows) == [2, 3, 40]
+
+
+def test_linked_forms_that_share_a_number_stay_apart(spark):
+    """Groups are connected by one number a form, unless two linked forms share it."""
+    pair = "x struct<a:long,b:long>, y struct<a:long,b:long>"
+    chain = [((1, 10), (2, 20)), ((2, 20), (3, 30)), ((7, 70), (8, 80))]
+    for links, n in ((chain, 2), ([*chain, ((3, 31), (9, 90))], 3), ([], 0)):
+        found = lines._grouped(spark.createDataFrame(links, pair)).collect()
+        assert sorted((r.a, r.b) for r in found) == sorted({f for link in links for f in link})
+        root = {(r.a, r.b): r.root for r in found}
+        assert all(root[x] == root[y] for x, y in links) and len(set(root.values())) == n
