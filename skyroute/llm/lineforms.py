@@ -29,9 +29,9 @@ from skyroute.llm.text import (
 )
 
 PAIRS = 1 << 20  # compared at a time
+LINES_BYTES = 1 << 18  # of text in a piece: what its words are hashed by stays in the processor's cache
+COUNTED = 1 << 12  # words whose bits are counted at a time
 PLACE_BIT = 40  # the places of a text change the leading bits, which a bitmap of lines looks at
-# A byte's bits, one in each byte of an integer.
-_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(U64)[:, 0]
 
 
 def line_bounds(data: np.ndarray, byte_bounds: np.ndarray):
@@ -47,31 +47,50 @@ def line_bounds(data: np.ndarray, byte_bounds: np.ndarray):
 
 def line_words(texts: pa.Array, fold: np.ndarray = FOLD):
     """Per piece: rows, line places, words' hashes and each line's first and last word."""
-    for first, last, words in words_of(texts, ALNUM):
+    for first, last, words in words_of(texts, ALNUM, LINES_BYTES):
         begin, end, row, place = line_bounds(words.data, words.byte_bounds)
         lo, hi = np.searchsorted(words.starts, begin), np.searchsorted(words.starts, end)
         some = hi > lo
         yield first, row[some], place[some], words.hashes(fold), lo[some], hi[some], words
 
 
-def simhashes(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+def simhashes(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray, salts: np.ndarray | None = None) -> np.ndarray:
     """Bits set in more than half of the words of each span; spans follow each other.
 
+    With ``salts`` there is a column for each of them, of words salted by it.
+
     Eight counters of eight bits share an integer, so spans are counted in parts of 255.
+    Integers wrap around, so a part's counters are the difference of two running sums.
     """
-    if not len(lo):
-        return np.zeros(0, U64)
-    parts = -(-(hi - lo) // 255)
-    first = np.cumsum(parts) - parts
-    starts = np.repeat(lo - 255 * first, parts) + 255 * np.arange(int(parts.sum())) - lo[0]
-    lanes = np.ascontiguousarray(hashes[lo[0] : hi[-1]]).view(np.uint8).reshape(-1, 8)
-    counts = np.empty((len(starts), 64), np.int32)
-    for lane in range(8):
-        sums = np.add.reduceat(_SPREAD[lanes[:, lane]], starts)
-        counts[:, 8 * lane : 8 * lane + 8] = sums.view(np.uint8).reshape(-1, 8)
-    if len(starts) > len(lo):
-        counts = np.add.reduceat(counts, first, axis=0)
-    return np.packbits(2 * counts > (hi - lo)[:, None], axis=1, bitorder="little").view(U64)[:, 0]
+    found = np.zeros((len(lo), 1 if salts is None else len(salts)), U64)
+    i = 0
+    while i < len(lo):
+        j = max(i + 1, int(np.searchsorted(hi, lo[i] + COUNTED, "right")))
+        here = hashes[lo[i] : hi[j - 1]]
+        here = np.ascontiguousarray(here[None]) if salts is None else mix(here ^ salts[:, None])
+        found[i:j] = _bits(here, lo[i:j] - lo[i], hi[i:j] - lo[i])
+        i = j
+    return found[:, 0] if salts is None else found
+
+
+def _bits(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    n, bytes_ = hi - lo, hashes.view(np.uint8).reshape(*hashes.shape, 8).transpose(0, 2, 1)
+    # A byte's bits, one in each byte of an integer.
+    spread = np.unpackbits(bytes_.ravel(), bitorder="little").view(U64).reshape(-1, hashes.shape[1])
+    sums = np.cumsum(spread, axis=1, out=spread)
+    if n.max() < 256:
+        ends = sums.take(hi - 1, axis=1)
+        ends[:, 1:] -= ends[:, :-1].copy()
+        more = ends.T.copy().view(np.uint8) > (n >> 1)[:, None].astype(np.uint8)
+    else:
+        parts = -(-n // 255)
+        first = np.cumsum(parts) - parts
+        starts = np.repeat(lo - 255 * first, parts) + 255 * np.arange(int(parts.sum()))
+        ends = sums.take(np.append(starts[1:], hi[-1]) - 1, axis=1)
+        ends[:, 1:] -= ends[:, :-1].copy()
+        counts = np.add.reduceat(ends.T.copy().view(np.uint8).astype(np.int32), first, axis=0)
+        more = 2 * counts > n[:, None]
+    return np.packbits(more, axis=1, bitorder="little").view(U64)
 
 
 def spans(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -153,6 +172,23 @@ def edit_distance(a: list, b: list) -> int:
     return score
 
 
+def aligned(a: list, b: list, most: int) -> int:
+    """Edits of a greedy alignment, at least the edit distance; it ends once they exceed ``most``."""
+    n, m, i, j, edits = len(a), len(b), 0, 0, 0
+    while i < n and j < m and edits <= most:
+        if a[i] == b[j]:
+            i, j = i + 1, j + 1
+            continue
+        edits += 1
+        if a[i + 1 : i + 2] != b[j + 1 : j + 2]:
+            if i + 1 < n and a[i + 1] == b[j]:
+                j -= 1
+            elif j + 1 < m and a[i] == b[j + 1]:
+                i -= 1
+        i, j = i + 1, j + 1
+    return edits + max(n - i, m - j)
+
+
 def similar(a: np.ndarray | list, b: np.ndarray | list, least: float) -> bool:
     longest, shortest = max(len(a), len(b)), min(len(a), len(b))
     if shortest < least * longest:
@@ -169,6 +205,8 @@ def similar(a: np.ndarray | list, b: np.ndarray | list, least: float) -> bool:
     a, b = a[same : len(a) - end], b[same : len(b) - end]
     if longest - max(len(a), len(b)) >= least * longest:
         return True  # so few words differ that replacing them all will do
+    if longest - aligned(a, b, int(longest - least * longest)) >= least * longest:
+        return True
     # The distance is at least the number of words without a counterpart anywhere.
     common = (Counter(a) & Counter(b)).total()
     if longest - (max(len(a), len(b)) - common) < least * longest:

@@ -52,6 +52,7 @@ SEEN = 1 << 16
 LANES = ("s0", "s1", "s2", "s3")
 SHARD, MOST_SHARDS = 1 << 13, 11  # fingerprints that meet in one place, bits of such places in a block
 PACKED, SENT = 1 << 20, 512  # records packed at a time, rows of them in a batch
+PART = 1 << 12  # blocks whose counts share a row
 _RECORD = np.dtype([("lanes", "<u8", len(LANES)), ("size", "<u2")])
 _SALTS = mix(np.arange(1, len(LANES) + 1, dtype=U64))
 _PRINT = ", ".join(f"{lane} long" for lane in LANES)
@@ -70,7 +71,7 @@ def fingerprints(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
     once = np.append(True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1]))[: len(hashes)]
     n = np.bincount(line[once], minlength=len(n))
     hashes, end = hashes[once], np.cumsum(n)
-    return np.stack([simhashes(mix(hashes ^ salt), end - n, end) for salt in _SALTS], axis=1)
+    return simhashes(hashes, end - n, end, _SALTS)
 
 
 def _fold(fold_digits: bool) -> np.ndarray:
@@ -120,25 +121,51 @@ def occurrences(docs: DataFrame, fold_digits: bool = False, least: float = SIMIL
     )
 
 
+def forms(lines: DataFrame) -> DataFrame:
+    """``a, b``, how many ``times`` they occur, ``size``, ``at``, a line of theirs, and the fingerprint."""
+    most = [F.max(lane).alias(lane) for lane in LANES]  # those of one form are equal or null
+    at = F.max(line_at("text_hash", "place")).alias("at")
+    return lines.groupBy("a", "b").agg(F.count("*").alias("times"), F.max("size").alias("size"), at, *most)
+
+
 def _blocks(prints: np.ndarray) -> np.ndarray:
     """The blocks of each fingerprint, a number below ``BLOCKS << BLOCK_BITS`` each."""
     bits = np.ascontiguousarray(prints).view("<u2").astype(np.int64)
     return bits + (np.arange(BLOCKS) << BLOCK_BITS)
 
 
-def _tiles(prints: DataFrame, tile: int) -> np.ndarray:
-    """For each block the number of groups of some ``tile`` forms that it is dealt into."""
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many forms of the task each block has, ``PART`` blocks a row."""
+    counts = np.zeros(BLOCKS << BLOCK_BITS, np.int64)
+    for batch in batches:
+        lanes = np.stack([c.to_numpy().view(U64) for c in batch.columns], axis=1)
+        np.add.at(counts, _blocks(lanes).ravel(), 1)
+    for part, some in enumerate(counts.astype("<u4").reshape(-1, PART)):
+        if some.any():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([some.tobytes()])], ["part", "counts"])
+
+
+def _crowded(tile: int):
+    """Blocks with more than ``tile`` forms, from all counts of the parts that are in the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BLOCKS << BLOCK_BITS, np.int64)
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            lanes = np.stack([c.to_numpy().view(U64) for c in batch.columns], axis=1)
-            counts += np.bincount(_blocks(lanes).ravel(), minlength=len(counts))
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["block", "n"])
+            for part, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                here = total.setdefault(part, np.zeros(PART, np.int64))
+                here += np.frombuffer(counts, "<u4")
+        for part, n in total.items():
+            some = np.flatnonzero(n > tile)
+            yield pa.RecordBatch.from_arrays([pa.array(part * PART + some), pa.array(n[some])], ["block", "n"])
+
+    return run
 
-    found = prints.select(*LANES).mapInArrow(run, "block long, n long").groupBy("block").agg(F.sum("n").alias("n"))
-    found = found.filter(F.col("n") > tile).toArrow()  # at most 2**20 rows of two numbers
+
+def _tiles(prints: DataFrame, tile: int) -> np.ndarray:
+    """For each block the number of groups of some ``tile`` forms that it is dealt into."""
+    counts = prints.select(*LANES).mapInArrow(_counts, "part int, counts binary")
+    found = counts.repartition("part").mapInArrow(_crowded(tile), "block long, n long")
+    found = found.toArrow()  # at most 2**20 rows of two numbers
     groups = np.ones(BLOCKS << BLOCK_BITS, np.int32)
     groups[found.column("block").to_numpy()] = -(-found.column("n").to_numpy() // tile)
     return groups
@@ -169,9 +196,9 @@ class _Reach:
     def __init__(self, key: np.ndarray, prints: np.ndarray, distance: int, tiles: np.ndarray):
         self.key, self.prints, self.distance = key, prints, distance
         self.lanes = prints.T.copy()
-        self.blocks = _blocks(prints)
-        self.group = _group(prints, tiles[key >> 32])
+        self.blocks = prints.view("<u2")
         self.within = (key >> 16 & 0xFFFF) == (key & 0xFFFF)
+        self.group = None if self.within.all() else _group(prints, tiles[key >> 32])
 
     def pairs(self, size: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         half = len(LANES) // 2
@@ -180,7 +207,8 @@ class _Reach:
             near = apart <= self.distance
             x, y, apart = x[near], y[near], apart[near]
             near = apart + self._apart(self.lanes[half:], x, y) <= self.distance
-            near &= self.within[x] | (self.group[x] != self.group[y])
+            if self.group is not None:
+                near &= self.within[x] | (self.group[x] != self.group[y])
             x, y = x[near], y[near]
             first = (self.blocks[x] == self.blocks[y]).argmax(axis=1) == self.key[x] >> 32 + BLOCK_BITS
             yield x[first], y[first]
@@ -200,22 +228,33 @@ def _packed(tiles, low: int):
     of ``2**low`` neighbouring ones.
     """
 
-    def packed(waiting: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        prints, size = (np.concatenate(x) for x in zip(*waiting))
-        records = np.empty(len(size), _RECORD)
-        records["lanes"], records["size"] = prints, np.minimum(size, 0xFFFF)
-        row, key = _places(prints, None, tiles.value)
-        block = key >> 32
-        key = np.where(tiles.value[block] > 1, key, ~(block >> low))
-        order = np.argsort(key, kind="stable")
-        key, records = key[order], records[row[order]]
+    def rows(key: np.ndarray, records: np.ndarray) -> Iterator[pa.RecordBatch]:
         begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         bounds = (np.append(begin, len(key)) * _RECORD.itemsize).astype(np.int32)
         buffers = [None, pa.py_buffer(bounds), pa.py_buffer(records.view(np.uint8))]
         columns = [pa.array(key[begin]), pa.Array.from_buffers(pa.binary(), len(begin), buffers)]
-        rows = pa.RecordBatch.from_arrays(columns, ["key", "records"])
+        found = pa.RecordBatch.from_arrays(columns, ["key", "records"])
         for i in range(0, len(begin), SENT):
-            yield rows.slice(i, SENT)
+            yield found.slice(i, SENT)
+
+    def packed(waiting: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        prints, size = (np.concatenate(x) for x in zip(*waiting))
+        records = np.empty(len(size), _RECORD)
+        records["lanes"], records["size"] = prints, np.minimum(size, 0xFFFF)
+        # Numbers of 16 bits are sorted in proportion to their count.
+        key = prints.view("<u2") >> low | np.arange(BLOCKS) << BLOCK_BITS - low
+        key = key.astype(np.min_scalar_type((BLOCKS << BLOCK_BITS - low) - 1)).ravel()
+        dealt = tiles.value[_blocks(prints)] > 1
+        if dealt.any():
+            row, pair = _places(prints, (dealt << np.arange(BLOCKS)).sum(axis=1), tiles.value)
+            order = np.argsort(pair, kind="stable")
+            yield from rows(pair[order], records[row[order]])
+            some = np.flatnonzero(~dealt)
+            order = some[np.argsort(key[some], kind="stable")]
+        else:
+            order = np.argsort(key, kind="stable")
+        if len(order):
+            yield from rows(~key[order].astype(np.int64), records[order // BLOCKS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, n = [], 0
@@ -249,9 +288,10 @@ def _unpacked(batches: Iterator[pa.RecordBatch], low: int):
             records = np.frombuffer(packed.buffers()[2][bounds[i] : bounds[j]], _RECORD)
             prints, size = np.ascontiguousarray(records["lanes"]), records["size"].astype(np.int64)
             if key[i] < 0:
-                block = _blocks(prints)[:, ~key[i] >> BLOCK_BITS - low]
-                order = np.argsort(block << 16 | size)
-                yield block[order] << 32, prints[order], size[order]
+                at = ~key[i] >> BLOCK_BITS - low
+                order = np.argsort(prints.view("<u2")[:, at].astype(np.int64) << 16 | size)
+                prints = prints[order]
+                yield (prints.view("<u2")[:, at] + (at << BLOCK_BITS)) << 32, prints, size[order]
             else:
                 order = np.argsort(size)
                 yield np.full(len(size), key[i]), prints[order], size[order]
@@ -292,7 +332,7 @@ def _keys_of_words(tiles):
 
 
 def _links(distance: int, least: float, tiles):
-    """Verified pairs that connect, in each task, all that are linked there."""
+    """Pairs that connect, in each task, all that are linked there: a form and the smallest of its group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict[tuple[int, int], tuple[int, int]] = {}  # linked forms of this task
@@ -317,18 +357,17 @@ def _links(distance: int, least: float, tiles):
                     lists[i] = flat[end[i] : end[i + 1]].tolist()  # noqa: B023
                 return lists[i]  # noqa: B023
 
-            found: list[tuple[int, int]] = []
             prints = np.stack([rows.column(lane).to_numpy().view(U64) for lane in LANES], axis=1)
             reach = _Reach(rows.column("key").to_numpy(), prints, distance, tiles.value)
             for x, y in reach.pairs(rows.column("size").to_numpy().astype(np.int64), least):
                 for i, j in zip(x.tolist(), y.tolist()):
                     u, v = root(form[i]), root(form[j])
                     if u != v and similar(line(i), line(j), least):
-                        parent[v] = u
-                        found.append((i, j))
-            forms = pa.StructArray.from_arrays([rows.column(c).combine_chunks() for c in ("a", "b")], ["a", "b"])
-            ends = np.array(found, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([forms.take(pa.array(e)) for e in ends.T.copy()], ["x", "y"])
+                        parent[max(u, v)] = min(u, v)
+        linked = [(*root(form), *form) for form in list(parent)]
+        ends = [pa.array(c, pa.int64()) for c in (zip(*linked) if linked else [()] * 4)]
+        ends = [pa.StructArray.from_arrays(ends[i : i + 2], ["a", "b"]) for i in (0, 2)]
+        yield pa.RecordBatch.from_arrays(ends, ["x", "y"])
 
     return run
 
@@ -339,17 +378,16 @@ def links(
     similarity: float = SIMILARITY,
     fold_digits: bool = False,
     tile: int = TILE,
-    lines: DataFrame | None = None,
+    named: DataFrame | None = None,
 ) -> DataFrame:
     """Pairs ``x, y`` of forms that connect what linked forms connect, and no more.
 
-    ``lines`` are the stored ``occurrences`` of these documents, folding and similarity.
+    ``named`` are the stored ``forms`` of these documents, folding and similarity.
     """
     spark, fold = docs.sparkSession, _fold(fold_digits)
-    if lines is None:
-        lines = write_table(occurrences(docs, fold_digits, similarity))
-    prints = lines.filter("s0 is not null").select("a", "size", line_at("text_hash", "place").alias("at"), *LANES)
-    prints = write_table(prints.dropDuplicates(["a"]))
+    if named is None:
+        named = write_table(forms(occurrences(docs, fold_digits, similarity)), hashes=True)
+    prints = named.filter("s0 is not null")
     tiles = spark.sparkContext.broadcast(_tiles(prints, tile))
     shards = max(prints.count() // SHARD, 1).bit_length() - 1
     low = BLOCK_BITS - min(shards, MOST_SHARDS)
@@ -358,10 +396,10 @@ def links(
     partners = met.mapInArrow(_partners(distance, similarity, tiles, low), "s0 long, blocks long")
     # Forms of one s0 share their blocks here; the words tell them apart.
     blocks = partners.groupBy("s0").agg(F.bit_or("blocks").alias("blocks"))
-    wanted = write_table(prints.select("a", "s0", "at").join(blocks, "s0").select("a", "at", "blocks"))
+    wanted = write_table(prints.select("a", "b", "s0", "at").join(blocks, "s0").drop("s0"))
     texts = docs.select("text", F.xxhash64("text").alias("text_hash"))
     found = texts.mapInArrow(wanted_lines(Slots(wanted.select("at")), fold), "a long, b long, words array<long>")
-    words = found.dropDuplicates(["a", "b"]).join(wanted.drop("at"), "a")
+    words = found.dropDuplicates(["a", "b"]).join(wanted.drop("at"), ["a", "b"])
     keyed = words.mapInArrow(
         _keys_of_words(tiles), f"key long, a long, b long, words array<long>, size int, {_PRINT}"
     )
@@ -393,22 +431,26 @@ def repeated(
     """``doc_id, text_hash, places``: for each text with repeated lines, those to remove."""
     if not 0 < similarity <= 1:
         raise ValueError("the similarity must be above 0 and at most 1")
-    lines = write_table(occurrences(docs, fold_digits, similarity))
-    first = F.min(F.struct("doc_id", "text_hash", "place")).alias("first")
-    forms = lines.groupBy("a", "b").agg(first, F.count("*").alias("times"))
+    lines = write_table(occurrences(docs, fold_digits, similarity), hashes=True)
+    named = write_table(forms(lines), hashes=True)
     if exact:
-        forms = write_table(forms)
-        linked = linesearch.links(docs, forms.drop("first"), similarity, _fold(fold_digits))
+        linked = linesearch.links(docs, named.select("a", "b", "times"), similarity, _fold(fold_digits))
     else:
-        linked = links(docs, distance, similarity, fold_digits, lines=lines)
+        linked = links(docs, distance, similarity, fold_digits, named=named)
     # Forms that occur once and have no link, most of all, stay where they are.
-    member = forms.join(_grouped(linked), ["a", "b"], "left").filter("times > 1 or root is not null")
-    member = write_table(member)
-    groups = member.filter("root is not null").groupBy("root").agg(F.min("first").alias("keep"))
-    alone = member.filter("root is null").select("a", "b", F.col("first").alias("keep"))
-    keep = write_table(alone.unionAll(member.join(groups, "root").select("a", "b", "keep")))
+    often = named.filter("times > 1").select("a", "b")
+    member = often.join(_grouped(linked), ["a", "b"], "full")
+    # A group is named by its root, or if it has one form, by both hashes of that.
+    name = F.struct("a", "b") if "struct" in dict(member.dtypes)["root"] else F.col("a")
+    alone = F.col("root").isNull()
+    group = (F.coalesce("root", name).alias("group"), F.when(alone, F.col("b")).otherwise(0).alias("other"))
+    # What hot forms and groups are joined with is written, so that Spark can split their rows.
+    member = write_table(member.select("a", "b", *group))
+    found = lines.select("doc_id", "text_hash", "place", "a", "b").join(member, ["a", "b"])
+    found = write_table(found.drop("a", "b"))
     here = F.struct("doc_id", "text_hash", "place")
-    gone = lines.join(keep, ["a", "b"]).filter(~here.eqNullSafe(F.col("keep")))
+    keep = write_table(found.groupBy("group", "other").agg(F.min(here).alias("keep")))
+    gone = found.join(keep, ["group", "other"]).filter(~here.eqNullSafe(F.col("keep")))
     return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
 
@@ -421,12 +463,14 @@ def _apply(docs: DataFrame, *how) -> DataFrame:
     drop = drop.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "places")
     rows = docs.select(F.struct("*").alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("row.text") == F.col("_hash"))
-    joined = rows.join(drop, same, "left").withColumn("every", F.split("row.text", "\n", -1))
+    every = F.when(F.col("places").isNotNull(), F.split("row.text", "\n", -1))
+    joined = rows.join(drop, same, "left").withColumn("every", every)
     every = F.col("every")
     left = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("places"))
     lines = F.transform(left, lambda i: F.get(every, i))
     text = F.when(F.col("places").isNull(), F.col("row.text")).otherwise(F.array_join(lines, "\n"))
-    return joined.select("row", text.alias("text"), (F.size(every)).cast("long").alias("n_lines"), "places")
+    breaks = F.octet_length("row.text") - F.octet_length(F.replace("row.text", F.lit("\n"), F.lit("")))
+    return joined.select("row", text.alias("text"), (breaks + 1).cast("long").alias("n_lines"), "places")
 
 
 def dedup(

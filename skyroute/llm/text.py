@@ -87,7 +87,7 @@ class Words(NamedTuple):
 
     def hashes(self, fold: np.ndarray | None = None, family: Family = PRIMARY) -> np.ndarray:
         letters = family.letters if fold is None else family.letters[fold]
-        return mix(family.spans(letters[self.data], self.starts, self.ends))
+        return mix(family.spans(letters.take(self.data), self.starts, self.ends))
 
     def whole(self, k: int) -> np.ndarray:
         """For each start of ``k`` words: whether they lie in one document."""
@@ -132,8 +132,10 @@ def text_pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int
         first = last
 
 
-def words_of(texts: pa.Array, letters: np.ndarray = BLANKS) -> Iterator[tuple[int, int, Words]]:
-    for first, last, data, bounds in text_pieces(texts):
+def words_of(
+    texts: pa.Array, letters: np.ndarray = BLANKS, limit: int = PIECE_BYTES
+) -> Iterator[tuple[int, int, Words]]:
+    for first, last, data, bounds in text_pieces(texts, limit):
         yield first, last, split_words(data, bounds, letters)
 
 

@@ -335,3 +335,58 @@ def test_linked_forms_that_share_a_number_stay_apart(spark):
         assert sorted((r.a, r.b) for r in found) == sorted({f for link in links for f in link})
         root = {(r.a, r.b): r.root for r in found}
         assert all(root[x] == root[y] for x, y in links) and len(set(root.values())) == n
+
+
+def test_most_similar_lines_need_no_edit_distance(monkeypatch):
+    """A greedy alignment, never below the edit distance, is enough for scattered edits."""
+    rng = random.Random(7)
+    base = list(range(100))
+    near = []
+    for _ in range(20):
+        line = list(base)
+        for at in sorted(rng.sample(range(2, 98, 4), 15), reverse=True):
+            line[at : at + 1] = [[], [1000 + at], [line[at], 2000 + at]][rng.randrange(3)]
+        near.append(line)
+        assert plain_distance(base, line) <= lineforms.aligned(base, line, 100) <= 20
+    for _ in range(300):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(1, 15))] for _ in "ab")
+        assert lineforms.aligned(a, b, 100) >= plain_distance(a, b)
+    monkeypatch.setattr(lineforms, "edit_distance", None)
+    assert all(lineforms.similar(base, line, 0.8) for line in near)
+
+
+def test_simhashes_count_long_lines_and_salts():
+    rng = np.random.default_rng(8)
+    n = np.array([1, 2, 5, 254, 255, 256, 700, 5000, 3, 4096, 1])
+    hashes, end = rng.integers(0, 2**64, int(n.sum()), dtype=np.uint64), np.cumsum(n)
+    salts = rng.integers(0, 2**64, 3, dtype=np.uint64)
+
+    def plain(words):
+        return sum(1 << b for b in range(64) if 2 * sum(int(w) >> b & 1 for w in words) > len(words))
+
+    found = lineforms.simhashes(hashes, end - n, end, salts)
+    lone = lineforms.simhashes(hashes, end - n, end)
+    for i, (j, k) in enumerate(zip(end - n, end)):
+        assert int(lone[i]) == plain(hashes[j:k])
+        assert [int(x) for x in found[i]] == [plain(lines.mix(hashes[j:k] ^ s)) for s in salts]
+
+
+def test_counts_of_blocks_travel_in_few_rows():
+    rng = np.random.default_rng(4)
+    prints = rng.integers(0, 2**64, (2000, 4), dtype=np.uint64)
+    prints[:30] = prints[0]
+    batch = pa.RecordBatch.from_arrays([lines.signed(x) for x in prints.T.copy()], list(lines.LANES))
+    rows = [r for half in (batch.slice(0, 900), batch.slice(900)) for r in lines._counts(iter([half]))]
+    assert len(rows) <= 2 * (lines.BLOCKS << lines.BLOCK_BITS) // lines.PART
+    counts = np.bincount(lines._blocks(prints).ravel())
+    for tile in (3, 29, 30):
+        found = {b: n for r in lines._crowded(tile)(iter(rows)) for b, n in zip(*(c.to_pylist() for c in r.columns))}
+        assert found == {int(b): int(counts[b]) for b in np.flatnonzero(counts > tile)}
+
+
+def test_forms_are_named_once_with_a_line_of_theirs(spark):
+    docs = documents(spark, [(1, "one two three four five\nx"), (2, "x\none two three four five"), (3, "x\nx"), (4, None)])
+    found = lines.forms(lines.occurrences(docs)).collect()
+    assert sorted((r.times, r.size, r.s0 is None) for r in found) == [(2, 5, False), (4, 1, True)]
+    places = lines.occurrences(docs).select("a", lineforms.line_at("text_hash", "place").alias("at")).collect()
+    assert {(r.a, r["at"]) for r in found} <= {(r.a, r["at"]) for r in places}
